@@ -25,6 +25,7 @@ from sluicegate.functions.avro_types import (
     parse_or_none,
     slots_for,
     spark_type,
+    struct_of_union,
     type_or_none,
     union_shape,
 )
@@ -310,6 +311,12 @@ class Batch:
         if not wanted:
             return {}, self.skip(node, pos, end)
         if node.kind == "union":
+            whole = [s for walk, s in wanted if not walk and s.type == struct_of_union(node)]
+            wanted = [w for w in wanted if w[0] or w[1] not in whole]
+            if whole:
+                value, after = self.read(node, pos, end)
+                found, after = self.pick(node, wanted, pos, end) if wanted else ({}, after)
+                return found | dict.fromkeys(whole, value), after
             parts, out = {}, np.empty(len(pos), np.int64)
             for member, rows, at in self.branches(node, pos, end):
                 if member is None:
@@ -539,7 +546,8 @@ def slot_describer(paths):
             for text in batch.column(0).to_pylist():
                 root = parse_or_none(text)
                 if root:
-                    seen.update((i, s) for i, p in enumerate(paths) for s in slots_for(root, p))
+                    for i, (path, wanted) in enumerate(paths):
+                        seen.update((i, s) for s in slots_for(root, path, wanted))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([i for i, _ in seen], pa.int32()),

@@ -209,20 +209,28 @@ def _as_field(found):
     return {"name": "v", "type": found, "nullable": True, "metadata": {}}
 
 
-def slots_for(node, path, walked=()):
+def slots_for(node, path, wanted=None, walked=()):
     """Every :class:`Slot` at which ``path`` can end in this schema.
 
     A union contributes one slot per member type, so a field that is text in one schema
-    and a number in another keeps both types until Spark casts them."""
+    and a number in another keeps both types until Spark casts them; only where its own
+    struct type is the ``wanted`` one is it taken whole."""
     if node.kind == "union":
+        if not path and wanted is not None and wanted == struct_of_union(node):
+            return [Slot(walked, wanted)]
         found = []
         for member in node.members:
-            found += [s for s in slots_for(member, path, walked) if s not in found]
+            found += [s for s in slots_for(member, path, wanted, walked) if s not in found]
         return found
     if path and node.kind == "record":
         child = dict(node.fields).get(path[0])
-        return slots_for(child, path[1:], walked + (path[0],)) if child else []
+        return slots_for(child, path[1:], wanted, walked + (path[0],)) if child else []
     if node.kind == "null" or (path and node.kind not in ("map", "array")):
         return []
     found = type_or_none(node)
     return [Slot(walked, found, tuple(path))] if found else []
+
+
+def struct_of_union(node):
+    """The struct type of a union that has one, else ``None``."""
+    return type_or_none(node) if union_shape(node)[0] == "struct" else None

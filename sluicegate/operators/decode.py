@@ -29,7 +29,7 @@ def decode(messages, fields, registry, default_schema=""):
         error = error.when(unframed, NO_DEFAULT_SCHEMA)
     attached = attached.withColumn("schema_error", error)
 
-    paths = [tuple(path.split(".")) for path, _ in _typed(fields).values()]
+    paths = _paths(fields)
     if registry.texts is None:
         key, schemas = F.col("schema_json"), None
         slots = _slots_of_table(registry.table, default_schema, paths)
@@ -44,8 +44,7 @@ def decode(messages, fields, registry, default_schema=""):
 
 def decode_with(messages, fields, schema):
     """Decode every split message with one reader schema, whatever schema id it names."""
-    paths = [tuple(path.split(".")) for path, _ in _typed(fields).values()]
-    slots = _slots([schema], paths)
+    slots = _slots([schema], _paths(fields))
     decoder = make_decoder([s for found in slots for s in found], {}, schema)
     ready = messages.withColumn("schema_error", F.lit(None).cast("string"))
     call = decoder(F.col("payload"), F.lit(None).cast("bigint"))
@@ -61,13 +60,24 @@ def record_fields(schema):
 
 
 def _typed(fields):
-    return {a: (p, "string") if isinstance(p, str) else p for a, p in fields.items()}
+    """``{alias: (path, Spark type)}`` of a ``fields`` argument."""
+    pairs = {a: (p, "string") if isinstance(p, str) else p for a, p in fields.items()}
+    return {
+        a: (p, T.DataType.fromDDL(t) if isinstance(t, str) else t) for a, (p, t) in pairs.items()
+    }
+
+
+def _paths(fields):
+    return [(tuple(path.split(".")), wanted) for path, wanted in _typed(fields).values()]
 
 
 def _slots(texts, paths):
     """The distinct slots of each path over all schemas; unreadable schemas have none."""
     roots = [root for root in map(parse_or_none, texts) if root]
-    found = [dict.fromkeys(s for r in roots for s in slots_for(r, p)) for p in paths]
+    found = [
+        dict.fromkeys(s for root in roots for s in slots_for(root, path, wanted))
+        for path, wanted in paths
+    ]
     return _bounded([sorted(slots, key=str) for slots in found])
 
 

@@ -58,11 +58,10 @@ class Rules:
 
     def check(self, spark):
         """Raise ``ValueError`` for a pattern Spark cannot use, before any message is read."""
-        for pattern in dict.fromkeys(p for p, _ in self.pairs):
-            try:
-                spark.range(1).select(F.lit("").rlike(pattern)).head()
-            except PySparkException as e:
-                raise ValueError(f"not a regular expression: {pattern!r}") from e
+        patterns = list(dict.fromkeys(p for p, _ in self.pairs))
+        if not _usable(spark, patterns):
+            bad = [p for p in patterns if not _usable(spark, [p])]
+            raise ValueError(f"not regular expressions: {bad}")
         return self
 
     @property
@@ -70,6 +69,15 @@ class Rules:
         return tuple(dict.fromkeys(b for _, b in self.pairs))
 
 
+def _usable(spark, patterns):
+    text = spark.sql("select '' as text")
+    try:
+        text.select(F.array(*[F.col("text").rlike(p) for p in patterns])).head()
+    except PySparkException:
+        return False
+    return True
+
+
 def apply_rules(decoded, rules, config):
     """Add ``bucket`` for the text in ``route_value``: expressions only, no join."""
     return decoded.withColumn("bucket", route_bucket(F.col("route_value"), rules.pairs, config))

@@ -2,6 +2,7 @@
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,9 +82,8 @@ def attach_schema(messages, registry):
     A checked small table is a broadcast join on its ids.  A large one is a salted join:
     the messages of one schema are spread over ``SALTS`` tasks by their coordinates."""
     if registry.texts is not None:
-        spark = messages.sparkSession
-        rows = [(i, True) for i in registry.texts]
-        ids = spark.createDataFrame(rows, "schema_id bigint, known boolean")
+        ids = pa.table({"schema_id": pa.array(registry.texts, pa.int64())})
+        ids = messages.sparkSession.createDataFrame(ids).withColumn("known", F.lit(True))
         joined = messages.join(F.broadcast(ids), "schema_id", "left")
     else:
         salt = F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(SALTS)).cast("int")

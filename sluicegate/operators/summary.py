@@ -1,9 +1,7 @@
-"""Counts of routed messages, for finished tables and for running streams."""
+"""Counts of routed messages."""
 
 from pyspark.sql import functions as F
 
-OBSERVATION = "routing"
-
 
 def routing_summary(routed):
     """Messages per topic and error; counted per task before the shuffle."""
@@ -14,21 +12,3 @@ def branch_counts(routed):
     """Messages per verdict; the two add up to the input."""
     branch = F.when(F.col("error").isNull(), "valid").otherwise("error").alias("branch")
     return routed.groupBy(branch).agg(F.count("*").alias("n"))
-
-
-def observe_routing(routed, topics):
-    """The same counts while a stream runs, in each progress report's observed metrics:
-    ``total``, ``errors`` and one ``topic_<i>`` per entry of ``topics``.  No extra pass."""
-    counts = [
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("error").isNotNull()).alias("errors"),
-    ]
-    counts += [F.count_if(F.col("topic") == t).alias(f"topic_{i}") for i, t in enumerate(topics)]
-    return routed.observe(OBSERVATION, *counts)
-
-
-def observed_counts(progress, topics):
-    """Counts by name from one progress report of an observed query."""
-    row = progress.observedMetrics[OBSERVATION]
-    by_topic = {t: row[f"topic_{i}"] for i, t in enumerate(topics)}
-    return {"total": row["total"], "errors": row["errors"], "topics": by_topic}

@@ -116,3 +116,142 @@ def raw_messages(events):
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
+
+
+def varint(number, size):
+    """Avro encoding of a non-negative whole number in exactly ``size`` bytes (7 bits each)."""
+    zigzag = F.shiftleft(number.cast("bigint"), 1)
+    parts = []
+    for i in range(size):
+        byte = F.shiftright(zigzag, 7 * i).bitwiseAND(F.lit(0x7F))
+        byte = byte.bitwiseOR(F.lit(0x80)) if i < size - 1 else byte
+        parts.append(F.unhex(F.lpad(F.hex(byte), 2, "0")))
+    return F.concat(*parts)
+
+
+def framed(schema_id, body):
+    return F.concat(F.lit(b"\x00"), F.unhex(F.lpad(F.hex(schema_id), 8, "0")), body)
+
+
+def as_messages(events, value):
+    """Messages without headers around a value column."""
+    return events.select(
+        F.lit(None).cast("binary").alias("key"),
+        value.alias("value"),
+        F.lit("typed").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+    )
+
+
+# One record with every kind of Avro type.
+TYPED_ID = 9
+COLOURS = ("red", "green", "blue")
+TYPED_SCHEMA = json.dumps(
+    {
+        "type": "record",
+        "name": "Typed",
+        "fields": [
+            {"name": "nothing", "type": "null"},
+            {"name": "user", "type": "int"},
+            {"name": "flag", "type": "boolean"},
+            {"name": "ratio", "type": "float"},
+            {
+                "name": "amount",
+                "type": {"type": "bytes", "logicalType": "decimal", "precision": 18, "scale": 2},
+            },
+            {"name": "ts", "type": {"type": "long", "logicalType": "timestamp-micros"}},
+            {"name": "day", "type": {"type": "int", "logicalType": "date"}},
+            {"name": "tags", "type": {"type": "array", "items": "string"}},
+            {"name": "numbers", "type": {"type": "array", "items": "long"}},
+            {"name": "attrs", "type": {"type": "map", "values": "long"}},
+            {
+                "name": "inner",
+                "type": [
+                    "null",
+                    {
+                        "type": "record",
+                        "name": "Inner",
+                        "fields": [{"name": "name", "type": "string"}],
+                    },
+                ],
+            },
+            {"name": "colour", "type": {"type": "enum", "name": "Colour", "symbols": COLOURS}},
+            {"name": "mark", "type": {"type": "fixed", "name": "Mark", "size": 2}},
+            {"name": "blob", "type": "bytes"},
+            {"name": "either", "type": ["null", "string", "boolean"]},
+        ],
+    }
+)
+
+
+def typed_schemas(spark):
+    return spark.createDataFrame([("typed-value", 1, TYPED_ID, TYPED_SCHEMA)], SCHEMA_COLUMNS)
+
+
+def typed_messages(events):
+    """One message of the typed record per event."""
+    event, user = F.col("event_id"), F.col("user_id")
+    text, digit = avro_text(F.col("event_type")), event % 10
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    micros = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
+    pair_size = F.unhex(F.lpad(F.hex(4 * (1 + F.length("event_type"))), 2, "0"))
+    tags = (
+        F.when(event % 3 == 0, F.lit(b"\x00"))
+        .when(event % 3 == 1, F.concat(F.lit(b"\x02"), text, F.lit(b"\x00")))
+        .otherwise(F.concat(F.lit(b"\x03"), pair_size, text, text, F.lit(b"\x00")))
+    )
+    body = F.concat(
+        varint(user, 4),
+        F.when(event % 2 == 1, F.lit(b"\x01")).otherwise(F.lit(b"\x00")),
+        F.when(event % 2 == 1, F.lit(b"\x00\x00\xc0\x3f")).otherwise(F.lit(b"\x00\x00\x20\xc0")),
+        F.lit(b"\x10"),
+        F.unhex(F.lpad(F.hex(cents), 16, "0")),
+        varint(micros, 8),
+        varint(F.unix_date(F.col("ts").cast("date")), 3),
+        tags,
+        F.lit(b"\x04"),
+        varint(user, 3),
+        varint(digit, 1),
+        F.lit(b"\x00"),
+        F.lit(b"\x04\x02k"),
+        varint(digit, 2),
+        F.lit(b"\x02u"),
+        varint(user, 3),
+        F.lit(b"\x00"),
+        F.when(digit == 0, F.lit(b"\x00")).otherwise(F.concat(F.lit(b"\x02"), text)),
+        varint(event % 3, 1),
+        F.lit(b"\xab\xcd"),
+        text,
+        F.when(digit == 1, F.lit(b"\x00"))
+        .when(event % 2 == 0, F.concat(F.lit(b"\x02"), text))
+        .otherwise(F.lit(b"\x04\x01")),
+    )
+    return as_messages(events, framed(F.lit(TYPED_ID), body))
+
+
+def user_schemas(events):
+    """A schema per user: the phone is text for even users and a boolean for odd ones."""
+    field = F.when(F.col("user_id") % 2 == 0, "string").otherwise("boolean")
+    head = (
+        '{"type":"record","name":"Event","fields":'
+        '[{"name":"event_type","type":"string"},{"name":"phone","type":"'
+    )
+    return (
+        events.select("user_id")
+        .distinct()
+        .select(
+            F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("subject"),
+            F.lit(1).alias("version"),
+            (F.col("user_id") + 1000).alias("schema_id"),
+            F.concat(F.lit(head), field, F.lit('"}]}')).alias("schema_json"),
+        )
+    )
+
+
+def user_messages(events):
+    """One message per event, framed with the schema of its user."""
+    user = F.col("user_id")
+    phone = F.when(user % 2 == 0, avro_text(user.cast("string"))).otherwise(F.lit(b"\x01"))
+    body = F.concat(avro_text(F.col("event_type")), phone)
+    return as_messages(events, framed(user + 1000, body))

@@ -76,10 +76,38 @@ def append_to_jdbc(rows, **connection):
     rows.write.format("jdbc").options(**jdbc_options(**connection)).mode("append").save()
 
 
-def split_by_size(routed, config):
-    """``(fitting, oversized)``: messages the producer would refuse go to the fallback files."""
-    size = F.coalesce(F.octet_length("value"), F.lit(0))
-    return (
-        routed.where(size <= config.max_request_size),
-        routed.where(size > config.max_request_size),
+# What a producer adds to the bytes of a message, generously: per message and per header.
+MESSAGE_OVERHEAD = 128
+HEADER_OVERHEAD = 16
+
+
+def message_size(key, value, headers):
+    """Upper estimate of the bytes a message takes in a producer request."""
+    header_bytes = F.aggregate(
+        F.coalesce(headers, F.array()),
+        F.lit(0),
+        lambda total, h: total
+        + HEADER_OVERHEAD
+        + F.coalesce(F.octet_length(h["key"]), F.lit(0))
+        + F.coalesce(F.octet_length(h["value"]), F.lit(0)),
     )
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) for c in (key, value)]
+    return sizes[0] + sizes[1] + header_bytes + MESSAGE_OVERHEAD
+
+
+def write_with_fallback(routed, config, write, path, batch_id):
+    """One micro-batch to ``write(rows)``, without the messages a producer would refuse for
+    their size, which would stop the query; those go to files under ``path``."""
+    size = message_size(F.col("key"), F.col("value"), F.col("headers"))
+    oversized = size > config.max_request_size
+    routed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write(routed.where(~oversized))
+        write_batch(routed.where(oversized), path, batch_id)
+    finally:
+        routed.unpersist()
+
+
+def append_to_kafka(rows, config):
+    """One micro-batch to Kafka: the writer for ``write_with_fallback``."""
+    rows.select(*SINK_COLUMNS).write.format("kafka").options(**sink_options(config)).save()
