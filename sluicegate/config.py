@@ -12,6 +12,9 @@ ERROR_STYLE = ("code", "message", "reader")
 
 CATCH_ALL = ".*"
 
+# The rules a router starts with if none are given.
+DEFAULT_RULES = ((r"^\+7\d{10}$", "ru"), (CATCH_ALL, "rest"))
+
 
 @dataclass(frozen=True)
 class RouterConfig:
@@ -41,7 +44,7 @@ class RouterConfig:
     reader_schema: str = ""
     reader_schema_file: str = ""
     subject: str = "raw-input-value"
-    bootstrap: str = ""
+    bootstrap: str = "kafka:9092"
     starting_offsets: str = "latest"
     acks: str = "all"
     max_request_size: int = 10485760

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from sluicegate.config import CATCH_ALL
 
 # Up to here rules become one CASE, whose patterns Spark compiles once per task.  Longer
-# lists become a literal array searched per row: a huge CASE would not compile to bytecode.
-CASE_RULES = 200
+# lists become a literal array searched per row, several times slower: the code generated
+# for a CASE of that size would exceed the JVM's limit for one method.
+CASE_RULES = 500
 
 
 def at_start(pattern):

@@ -24,11 +24,11 @@ def to_output(classified, config, keep=()):
     ``source_topic``; the columns in ``keep`` and ``bucket``, ``error`` follow."""
     valid = F.col("error").isNull()
     topic = F.concat(F.lit(config.topic_prefix + "_"), F.col("bucket"))
-    headers = F.col("headers") if "headers" in classified.columns else F.lit(None)
+    headers = F.col("headers") if "headers" in classified.columns else F.lit(None).cast(HEADERS)
     return classified.select(
         F.col("key").cast("binary").alias("key"),
         F.col("value"),
-        F.when(valid, headers).otherwise(error_headers(F.col("error"))).cast(HEADERS).alias("headers"),
+        F.when(valid, headers).otherwise(error_headers(F.col("error"))).alias("headers"),
         F.when(valid, topic).otherwise(F.lit(config.errors_topic)).alias("topic"),
         *[F.col("topic").alias("source_topic") if c == "topic" else F.col(c) for c in keep],
         F.when(valid, F.col("bucket")).alias("bucket"),

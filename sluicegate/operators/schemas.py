@@ -15,6 +15,7 @@ MAX_BROADCAST_SCHEMAS = 20_000
 
 # Copies of each schema in that join: messages of one schema spread over this many tasks.
 SALTS = 32
+COORDINATES = ("topic", "partition", "offset")
 
 SCHEMA_COLUMNS = "subject string, version int, schema_id bigint, schema_json string"
 
@@ -64,16 +65,17 @@ class Registry:
     ):
         if isinstance(schemas, cls):
             return schemas
-        # An id can be listed under several subjects; its text is the same everywhere.
-        table = schemas.groupBy("schema_id").agg(
-            F.max_by("schema_json", F.struct("version", "subject")).alias("schema_json")
-        )
         size = schemas.agg(
             F.count("*").alias("n"), F.sum(F.octet_length("schema_json")).alias("bytes")
         ).head()
+        # An id can be listed under several subjects or versions; the newest entry counts.
+        newest = F.max_by("schema_json", F.struct("version", "subject")).alias("schema_json")
+        table = schemas.groupBy("schema_id").agg(newest)
         if size.n > max_schemas or (size.bytes or 0) > max_bytes:
             return cls(table, None)
-        return cls(table, {r.schema_id: r.schema_json for r in table.collect()})
+        rows = schemas.select("version", "subject", "schema_id", "schema_json").collect()
+        ordered = sorted(rows, key=lambda r: (r.version or 0, r.subject or ""))
+        return cls(table, {r.schema_id: r.schema_json for r in ordered})
 
 
 def attach_schema(messages, registry):
@@ -86,7 +88,10 @@ def attach_schema(messages, registry):
         ids = messages.sparkSession.createDataFrame(ids).withColumn("known", F.lit(True))
         joined = messages.join(F.broadcast(ids), "schema_id", "left")
     else:
-        salt = F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(SALTS)).cast("int")
+        missing = [c for c in COORDINATES if c not in messages.columns]
+        if missing:
+            raise ValueError(f"a schema table this large needs the message columns {missing}")
+        salt = F.pmod(F.xxhash64(*COORDINATES), F.lit(SALTS)).cast("int")
         copies = registry.table.select(
             "schema_id",
             "schema_json",

@@ -2,10 +2,13 @@
 
 import json
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from sluicegate.operators.schemas import SCHEMA_COLUMNS
 
+SCHEMA_NAMES = ["subject", "version", "schema_id", "schema_json"]
+
 SUBJECT = "raw-input-value"
 UNKNOWN_ID = 4294967294
 
@@ -41,7 +44,7 @@ RULES = (
 
 def schemas_table(spark):
     rows = [(SUBJECT, 1, 7, SCHEMA_7), (SUBJECT, 2, 8, SCHEMA_8)]
-    return spark.createDataFrame(rows, SCHEMA_COLUMNS)
+    return spark.createDataFrame(pd.DataFrame(rows, columns=SCHEMA_NAMES), SCHEMA_COLUMNS)
 
 
 def rules_table(spark, rules=RULES):
@@ -55,67 +58,51 @@ def avro_text(text):
     return F.concat(size, F.encode(text, "UTF-8"))
 
 
-def expected_columns(events):
-    """Events with the digits that pick shape and phone, and the phone itself."""
-    user = F.col("user_id").cast("string")
-    ten, nine = F.lpad(user, 10, "0"), F.lpad(user, 9, "0")
-    k, s = F.col("k"), F.col("s")
-    phone = (
-        F.when(k == 2, F.concat(F.lit("+380"), nine))
-        .when(k == 3, F.concat(F.lit("8"), ten))
-        .when(k == 4, F.lit(""))
-        .when(k == 5, F.lit(None))
-        .when(k == 6, F.concat(F.lit("+7"), nine))
-        .when(k == 7, F.concat(F.lit("x+7"), ten))
-        .when(k == 8, F.concat(F.lit("+7"), ten, F.lit(" ")))
-        .otherwise(F.concat(F.lit("+7"), ten))
-    )
-    return (
-        events.withColumn("k", F.expr("event_id % 10"))
-        .withColumn("s", F.expr("(event_id div 10) % 10"))
-        .withColumn("t", F.expr("(event_id div 100) % 10"))
-        .withColumn("p0", phone)
-        .withColumn("p", F.when(s == 3, F.coalesce("p0", F.lit(""))).otherwise(F.col("p0")))
-    )
+# The messages, step by step: digits that pick phone and shape, the phone, the Avro
+# encodings of both texts, the two bodies, and the value with or without a frame.
+MESSAGE_STEPS = (
+    """*, cast(user_id as string) as user, event_id % 10 as k,
+    (event_id div 10) % 10 as s, (event_id div 100) % 10 as t""",
+    """*, case k
+        when 2 then concat('+380', lpad(user, 9, '0'))
+        when 3 then concat('8', lpad(user, 10, '0'))
+        when 4 then ''
+        when 5 then null
+        when 6 then concat('+7', lpad(user, 9, '0'))
+        when 7 then concat('x+7', lpad(user, 10, '0'))
+        when 8 then concat('+7', lpad(user, 10, '0'), ' ')
+        else concat('+7', lpad(user, 10, '0')) end as phone""",
+    "* except (phone), if(s = 3, coalesce(phone, ''), phone) as phone",
+    """*, concat(unhex(lpad(hex(2 * length(event_type)), 2, '0')), encode(event_type, 'UTF-8'))
+        as av_type,
+    concat(unhex(lpad(hex(2 * length(phone)), 2, '0')), encode(phone, 'UTF-8')) as av_phone""",
+    """*, if(phone is null, concat(av_type, X'00'), concat(av_type, X'02', av_phone)) as body7,
+    concat(av_phone, av_type) as body8""",
+    """encode(user, 'UTF-8') as key,
+    case when s in (0, 1, 2) then concat(X'0000000007', body7)
+        when s = 3 then concat(X'0000000008', body8)
+        when s = 4 and t = 9 then X'000000000710616263'
+        when s = 4 then concat(X'0000000007', body7)
+        when s = 5 then body7
+        when s = 6 then null
+        when s = 7 then X''
+        when s = 8 then X'0000'
+        else concat(X'00FFFFFFFE', body7) end as value,
+    array(struct('trace' as key, encode(cast(event_id as string), 'UTF-8') as value)) as headers,
+    if(event_id % 2 = 0, 'raw-a', 'raw-b') as topic,
+    0 as partition,
+    event_id as offset,
+    cast(ts as timestamp) as timestamp,
+    0 as timestampType""",
+)
 
 
 def raw_messages(events):
     """One message per event, batch or streaming: a projection, nothing else."""
-    s, t = F.col("s"), F.col("t")
-    av_type, av_phone = avro_text(F.col("event_type")), avro_text(F.coalesce("p", F.lit("")))
-    body7 = F.when(F.col("p").isNull(), F.concat(av_type, F.lit(b"\x00"))).otherwise(
-        F.concat(av_type, F.lit(b"\x02"), av_phone)
-    )
-    value = (
-        F.when(s.isin(0, 1, 2), F.concat(F.lit(b"\x00\x00\x00\x00\x07"), F.col("body7")))
-        .when(s == 3, F.concat(F.lit(b"\x00\x00\x00\x00\x08"), F.col("body8")))
-        .when((s == 4) & (t == 9), F.lit(b"\x00\x00\x00\x00\x07\x10abc"))
-        .when(s == 4, F.concat(F.lit(b"\x00\x00\x00\x00\x07"), F.col("body7")))
-        .when(s == 5, F.col("body7"))
-        .when(s == 6, F.lit(None))
-        .when(s == 7, F.lit(b""))
-        .when(s == 8, F.lit(b"\x00\x00"))
-        .otherwise(F.concat(F.lit(b"\x00\xff\xff\xff\xfe"), F.col("body7")))
-    )
-    bodies = (
-        expected_columns(events)
-        .withColumn("body7", body7)
-        .withColumn("body8", F.concat(av_phone, av_type))
-    )
-    trace = F.struct(
-        F.lit("trace").alias("key"),
-        F.encode(F.col("event_id").cast("string"), "UTF-8").alias("value"),
-    )
-    return bodies.select(
-        F.encode(F.col("user_id").cast("string"), "UTF-8").alias("key"),
-        value.alias("value"),
-        F.array(trace).alias("headers"),
-        F.when(F.col("event_id") % 2 == 0, "raw-a").otherwise("raw-b").alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-    )
+    query = "{events}"
+    for step in MESSAGE_STEPS:
+        query = f"(select {step} from {query})"
+    return events.sparkSession.sql(f"select * from {query}", events=events)
 
 
 def varint(number, size):
@@ -186,7 +173,8 @@ TYPED_SCHEMA = json.dumps(
 
 
 def typed_schemas(spark):
-    return spark.createDataFrame([("typed-value", 1, TYPED_ID, TYPED_SCHEMA)], SCHEMA_COLUMNS)
+    rows = [("typed-value", 1, TYPED_ID, TYPED_SCHEMA)]
+    return spark.createDataFrame(pd.DataFrame(rows, columns=SCHEMA_NAMES), SCHEMA_COLUMNS)
 
 
 def typed_messages(events):

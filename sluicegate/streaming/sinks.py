@@ -4,6 +4,8 @@ The plain sinks take one routed DataFrame with both verdicts, so a message is de
 once.  The batch writers are for ``foreachBatch``: a replayed batch overwrites its own
 ``batch_id`` folder, so file output holds each message once."""
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
@@ -45,14 +47,25 @@ def write_batch(rows, path, batch_id, by=()):
     rows.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch_id={batch_id}")
 
 
-def write_branches(routed, valid_path, errors_path, batch_id):
-    """One micro-batch to two sinks.  Persisted, so it is decoded once for both."""
-    routed.persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def persisted(rows):
+    """Keep rows that several writes read, so they are decoded once; spills to disk, and a
+    lost executor's part is computed again.  Rows kept already stay so."""
+    kept = rows.storageLevel == StorageLevel.NONE
+    if kept:
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        yield rows
+    finally:
+        if kept:
+            rows.unpersist()
+
+
+def write_branches(routed, valid_path, errors_path, batch_id):
+    """One micro-batch to two sinks."""
+    with persisted(routed):
         write_batch(valid_messages(routed), valid_path, batch_id, by=["topic"])
         write_batch(rejected_messages(routed), errors_path, batch_id)
-    finally:
-        routed.unpersist()
 
 
 def matched_events(routed):
@@ -100,12 +113,9 @@ def write_with_fallback(routed, config, write, path, batch_id):
     their size, which would stop the query; those go to files under ``path``."""
     size = message_size(F.col("key"), F.col("value"), F.col("headers"))
     oversized = size > config.max_request_size
-    routed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with persisted(routed):
         write(routed.where(~oversized))
         write_batch(routed.where(oversized), path, batch_id)
-    finally:
-        routed.unpersist()
 
 
 def append_to_kafka(rows, config):
