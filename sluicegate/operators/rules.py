@@ -50,7 +50,7 @@ class Rules:
             raise ValueError("the rules table is empty")
         if len(rows) > MAX_RULES:
             raise ValueError(f"the rules table has more than {MAX_RULES} rows")
-        if any(None in r for r in rows):
+        if any(value is None for r in rows for value in r):
             raise ValueError("the rules table has nulls")
         if len({r.ord for r in rows}) != len(rows):
             raise ValueError("the rules table has several rules with the same ord")

@@ -85,8 +85,10 @@ def matched_events(routed):
     )
 
 
-def append_to_jdbc(rows, **connection):
-    rows.write.format("jdbc").options(**jdbc_options(**connection)).mode("append").save()
+def append_to_jdbc(rows, connections=32, **connection):
+    """Append rows over at most so many connections, however many tasks there are."""
+    options = jdbc_options(**connection) | {"numPartitions": str(connections)}
+    rows.write.format("jdbc").options(**options).mode("append").save()
 
 
 # What a producer adds to the bytes of a message, generously: per message and per header.

@@ -1,0 +1,214 @@
+"""Streams, sinks and the job."""
+
+import json
+
+import pytest
+from helpers import messages, texts
+from pyspark.sql import functions as F
+
+from sluicegate import RouterConfig, Rules, route
+from sluicegate import job
+from sluicegate.plans import fixtures as fx
+from sluicegate.session import work_dir
+from sluicegate.sources.kafka import sink_options, source_options
+from sluicegate.sources.tables import from_topics, jdbc_options, message_stream
+from sluicegate.streaming.run import route_batches
+from sluicegate.streaming.sinks import (
+    message_size,
+    persisted,
+    to_batches,
+    to_files,
+    write_batch,
+    write_branches,
+    write_with_fallback,
+)
+
+CONFIG = RouterConfig(default_schema=fx.SCHEMA_7)
+COLUMNS = ["offset", "source_topic", "topic", "bucket", "error", "route_value"]
+
+
+@pytest.fixture()
+def stored(spark, events, tmp_path):
+    path = str(tmp_path / "in")
+    fx.raw_messages(events).repartition(5).write.parquet(path)
+    return path
+
+
+def test_stream_equals_batch(spark, events, stored, tmp_path):
+    stream = message_stream(spark, stored, maxFilesPerTrigger=2)
+    rows = route(stream, fx.schemas_table(spark), fx.RULES, CONFIG)
+    to_files(rows, str(tmp_path / "out"), str(tmp_path / "cp"), once=True).awaitTermination()
+    batch = route(fx.raw_messages(events), fx.schemas_table(spark), fx.RULES, CONFIG)
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert found.count() == batch.count()
+    assert batch.select(COLUMNS).exceptAll(found.select(COLUMNS)).count() == 0
+    assert found.where("topic is null").count() == 0
+
+
+def test_restart_without_new_input_adds_nothing(spark, stored, tmp_path):
+    for _ in range(2):
+        rows = route(message_stream(spark, stored), fx.schemas_table(spark), fx.RULES, CONFIG)
+        to_files(rows, str(tmp_path / "out"), str(tmp_path / "cp"), once=True).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1000
+
+
+def test_a_replayed_batch_replaces_its_output(spark, events, tmp_path):
+    rows = route(fx.raw_messages(events), fx.schemas_table(spark), fx.RULES, CONFIG)
+    valid, errors = str(tmp_path / "valid"), str(tmp_path / "errors")
+    for _ in range(2):
+        write_branches(rows, valid, errors, 0)
+    assert spark.read.parquet(valid).count() + spark.read.parquet(errors).count() == 1000
+
+
+def test_each_batch_sees_the_schemas_of_its_moment(spark, tmp_path):
+    """An id registered between two batches is unknown in the first and known in the second."""
+    base, seen = str(tmp_path), []
+    body = "00000000070261020278"
+
+    def load():
+        return fx.schemas_table(spark).where(F.col("schema_id") == 7) if seen else (
+            fx.schemas_table(spark).where("schema_id = 8")
+        )
+
+    for _ in range(2):
+        messages(spark, [body]).write.mode("append").parquet(f"{base}/in")
+        route_batches(
+            message_stream(spark, f"{base}/in"), load, lambda: Rules.of(fx.RULES), CONFIG,
+            lambda rows, batch_id: write_batch(rows, f"{base}/out", batch_id),
+            f"{base}/cp", once=True,
+        ).awaitTermination()
+        seen.append(True)
+    rows = spark.read.parquet(f"{base}/out").orderBy("batch_id").collect()
+    assert [r.error for r in rows] == ["unknown_schema", None]
+
+
+def test_failure_in_a_batch_surfaces_and_the_restart_completes_it(spark, stored, tmp_path):
+    attempts = []
+
+    def write(rows, batch_id):
+        attempts.append(batch_id)
+        if len(attempts) == 1:
+            raise RuntimeError("sink is down")
+        write_batch(rows, str(tmp_path / "out"), batch_id)
+
+    def run():
+        return route_batches(
+            message_stream(spark, stored), lambda: fx.schemas_table(spark),
+            lambda: fx.RULES, CONFIG, write, str(tmp_path / "cp"), once=True,
+        )
+
+    with pytest.raises(Exception, match="sink is down"):
+        run().awaitTermination()
+    run().awaitTermination()
+    assert attempts[:2] == [0, 0]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1000
+
+
+def test_oversized_messages_go_to_the_fallback(spark, tmp_path):
+    big = "0000000007" + "0261" + "02" + "D00F" + "78" * 1000
+    rows = route(messages(spark, [big, "026100", None]), fx.schemas_table(spark), fx.RULES, CONFIG)
+    config = RouterConfig(max_request_size=500)
+    kept = []
+    fallback = str(tmp_path / "fallback")
+    write_with_fallback(rows, config, lambda r: kept.extend(texts(r, "offset")), fallback, 0)
+    assert kept == [1, 2]
+    assert texts(spark.read.parquet(fallback), "offset") == [0]
+
+
+def test_message_size_counts_headers_and_tolerates_nulls(spark):
+    frame = messages(spark, ["026100", None])
+    sizes = texts(frame, message_size(F.col("key"), F.col("value"), F.col("headers")))
+    assert sizes == [1 + 3 + (16 + 5 + 1) + 128, 1 + 0 + (16 + 5 + 1) + 128]
+    none = frame.withColumn("headers", F.lit(None).cast("array<struct<key:string,value:binary>>"))
+    assert texts(none, message_size(F.col("key"), F.col("value"), F.col("headers"))) == [132, 129]
+
+
+def test_persisted_leaves_kept_rows_alone(spark):
+    frame = spark.range(3)
+    with persisted(frame):
+        assert frame.storageLevel.useMemory
+        with persisted(frame):
+            pass
+        assert frame.storageLevel.useMemory
+    assert not frame.storageLevel.useMemory
+
+
+def test_only_subscribed_topics(spark, events):
+    chosen = from_topics(fx.raw_messages(events), ["raw-a", "other"])
+    assert [r.topic for r in chosen.select("topic").distinct().collect()] == ["raw-a"]
+
+
+def test_kafka_options():
+    config = RouterConfig(
+        bootstrap="b:9092", input_topics=("x", "y"), min_partitions=64, max_offsets_per_trigger=10
+    )
+    assert source_options(config) == {
+        "kafka.bootstrap.servers": "b:9092",
+        "subscribe": "x,y",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+        "includeHeaders": "true",
+        "minPartitions": "64",
+        "maxOffsetsPerTrigger": "10",
+    }
+    assert "minPartitions" not in source_options(RouterConfig())
+    assert sink_options(config) == {
+        "kafka.bootstrap.servers": "b:9092",
+        "kafka.acks": "all",
+        "kafka.max.request.size": "10485760",
+    }
+
+
+def test_jdbc_options():
+    found = jdbc_options("jdbc:sqlserver://h", "dbo.rules", user="u")
+    assert found == {"url": "jdbc:sqlserver://h", "dbtable": "dbo.rules", "user": "u"}
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert work_dir(spark, "x") != work_dir(spark, "x")
+
+
+# -- job ----------------------------------------------------------------------------------
+
+
+def test_job_settings():
+    env = {"ROUTER_VARIANT": "reader", "INPUT_TOPICS": "a,b"}
+    assert job.settings(env).match == "last"
+    assert job.settings({"ROUTER_VARIANT": "message"}).anchored
+    with pytest.raises(ValueError, match="ROUTER_VARIANT"):
+        job.settings({"ROUTER_VARIANT": "other"})
+    assert job.fallback_folder({"MINIO_BUCKET": "b"}) == ""
+    assert job.fallback_folder({"MINIO_BUCKET": "b", "MINIO_ENABLE": "true"}) == "s3a://b"
+
+
+def test_job_needs_a_checkpoint(spark):
+    with pytest.raises(ValueError, match="CHECKPOINT_LOCATION"):
+        job.start(spark, {})
+
+
+def test_job_rules(spark):
+    assert Rules.of(job.rules_loader(spark, {})()).buckets == ("ru", "rest")
+    text = json.dumps({"a": "x"})
+    assert job.rules_loader(spark, {"ROUTING_RULES_JSON": text})().pairs == (("a", "x"),)
+
+
+def test_job_writes_fitting_messages_to_its_sink(spark, events, tmp_path):
+    """The batch writer with a file sink in Kafka's place and a folder as the bucket."""
+    out, fallback = str(tmp_path / "out"), str(tmp_path / "fallback")
+    env = {"MINIO_ENABLE": "true", "MINIO_BUCKET": fallback}
+    config = RouterConfig(default_schema=fx.SCHEMA_7, max_request_size=180)
+    write = job.batch_writer(config, env, sink=lambda rows, config: write_batch(rows, out, 7))
+    write(route(fx.raw_messages(events), fx.schemas_table(spark), fx.RULES, config), 7)
+    fitting = spark.read.parquet(out).count()
+    oversized = spark.read.parquet(f"{fallback}/oversized").count()
+    assert fitting + oversized == 1000 and fitting and oversized
+
+
+def test_batches_are_handed_over_in_order(spark, stored, tmp_path):
+    sizes = []
+    stream = message_stream(spark, stored, maxFilesPerTrigger=1)
+    to_batches(
+        stream, lambda rows, i: sizes.append((i, rows.count())), str(tmp_path / "cp"), once=True
+    ).awaitTermination()
+    assert [i for i, _ in sizes] == list(range(5)) and sum(n for _, n in sizes) == 1000
