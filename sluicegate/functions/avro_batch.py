@@ -25,7 +25,6 @@ from sluicegate.functions.avro_types import (
     parse_or_none,
     slots_for,
     spark_type,
-    struct_of_union,
     type_or_none,
     union_shape,
 )
@@ -34,6 +33,8 @@ from sluicegate.functions.avro_types import (
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(avro_types)
 
+STRING = avro_types.Node("string")
+OWN = "own"  # the slot of a value wanted in its own type
 PAD = 32  # zero bytes behind the buffer: more than any unchecked read can overrun
 PIECE_BYTES = 8 << 20  # payload read at a time: bounds the size of the position arrays
 MAX_DEPTH = 100  # nested records; deeper bodies fail instead of exhausting the stack
@@ -72,7 +73,7 @@ def _decode_piece(payload, keys, schema_of, slots, parsed):
             continue
         whole = len(rows) == len(payload)
         batch = Batch(payload if whole else payload.take(pa.array(rows)))
-        found, pos = batch.pick(parsed[key], [(s.walk, s) for s in slots], *batch.spans)
+        found, pos = batch.take(parsed[key], [(s.walk, s) for s in slots], *batch.spans)
         failed[rows[pos == batch.fail]] = True
         for slot, array in found.items():
             parts[slot].append((rows, array))
@@ -186,27 +187,15 @@ class Batch:
         n = max(2 * len(start) - 1, 0)
         return pa.Array.from_buffers(arrow_type, n, buffers).take(pa.array(np.arange(0, n, 2)))
 
-    def branches(self, node, pos, end):
-        """Union: yields ``(member, rows, positions after the branch number)``; the last
-        item yielded is ``(None, rows with a bad branch number, fail positions)``."""
-        index, pos = self.varint(pos, end)
-        index = np.where(pos == self.fail, -1, index)
-        for i, member in enumerate(node.members):
-            rows = np.flatnonzero(index == i)
-            if rows.size:
-                yield member, rows, pos[rows]
-        rows = np.flatnonzero((index < 0) | (index >= len(node.members)))
-        yield None, rows, np.full(rows.size, self.fail)
-
-    def elements(self, node, pos, end, values=True):
+    def elements(self, node, want, pos, end):
         """Array or map blocks: yields ``(rows, start, next)`` until every block is done.
 
         ``start`` are element positions, ``rows`` the row of each.  The caller puts the
         position behind every element into ``next``.  Array elements whose ends are known
         without reading (fixed size, or one varint each) come a whole block at a time, or
-        not at all without ``values``; others come one per row and step."""
+        not at all unless wanted; others come one per row and step."""
         size = fixed_size(node.item) if node.kind == "array" else None
-        at_once = size is not None or (node.kind == "array" and self.is_varint(node.item))
+        varints = node.kind == "array" and node.item.kind in ("int", "long", "enum")
         left = np.zeros(len(pos), np.int64)
         live = np.arange(len(pos))
         while True:
@@ -225,11 +214,11 @@ class Batch:
                 live = live[left[live] > 0]
             if not live.size:
                 return
-            if at_once:
+            if size is not None or varints:
                 count, before = left[live], pos[live]
                 pos[live] = self.behind(size, count, before, end[live])
                 left[live] = 0
-                if values:
+                if want:
                     count = np.where(pos[live] == self.fail, 0, count)
                     start = self.starts(size, count, before)
                     yield np.repeat(live, count), start, np.empty(len(start), np.int64)
@@ -240,10 +229,6 @@ class Batch:
                 left[live] -= 1
             left[live[pos[live] == self.fail]] = 0
 
-    @staticmethod
-    def is_varint(node):
-        return node.kind in ("int", "long", "enum")
-
     @property
     def stops(self):
         """Where a varint can end: every byte without the continuation bit."""
@@ -269,109 +254,112 @@ class Batch:
         first = np.repeat(np.searchsorted(self.stops, pos), count)
         return np.where(within == 0, np.repeat(pos, count), self.stops[first + within - 1] + 1)
 
-    # -- moving past values ----------------------------------------------------------
+    # -- values ----------------------------------------------------------------------
 
-    def skip(self, node, pos, end):
+    def take(self, node, wanted, pos, end):
+        """Move past one value per row and give the wanted parts: ``{slot: array}``.
+
+        ``wanted`` lists ``(walk, slot)``: the record fields still to enter, and the slot
+        to fill there if the type found is the slot's.  The slot ``OWN`` takes any type."""
         size = fixed_size(node)
-        if size is not None:
-            return self.jump(size, pos, end)[1]
-        if self.is_varint(node):
-            value, pos = self.varint(pos, end)
-            return self.checked_number(node, value, pos)
-        if node.kind in ("bytes", "string"):
-            size, pos = self.varint(pos, end)
-            return self.jump(size, pos, end)[1]
-        if node.kind == "union":
-            out = np.empty(len(pos), np.int64)
-            for member, rows, at in self.branches(node, pos, end):
-                out[rows] = self.skip(member, at, end[rows]) if member else at
-            return out
-        if node.kind == "record":
-            return self.nested(node, [], pos, end)[1]
-        out = pos.copy()
-        for rows, start, after in self.elements(node, out, end, values=False):
-            if node.kind == "map":
-                start = self.skip(STRING, start, end[rows])
-            after[:] = self.skip(node.item, start, end[rows])
-        return out
-
-    def checked_number(self, node, value, pos):
-        if node.kind == "int":
-            bad = (value < -(2**31)) | (value >= 2**31)
-        elif node.kind == "enum":
-            bad = (value < 0) | (value >= len(node.symbols))
-        else:
-            return pos
-        return np.where(bad, self.fail, pos)
-
-    # -- taking chosen fields --------------------------------------------------------
-
-    def pick(self, node, wanted, pos, end):
-        """Values of the wanted slots, ``{slot: array}``; everything else is skipped."""
-        if not wanted:
-            return {}, self.skip(node, pos, end)
-        if node.kind == "union":
-            whole = [s for walk, s in wanted if not walk and s.type == struct_of_union(node)]
-            wanted = [w for w in wanted if w[0] or w[1] not in whole]
-            if whole:
-                value, after = self.read(node, pos, end)
-                found, after = self.pick(node, wanted, pos, end) if wanted else ({}, after)
-                return found | dict.fromkeys(whole, value), after
-            parts, out = {}, np.empty(len(pos), np.int64)
-            for member, rows, at in self.branches(node, pos, end):
-                if member is None:
-                    out[rows] = at
-                    continue
-                found, out[rows] = self.pick(member, wanted, at, end[rows])
-                for slot, array in found.items():
-                    parts.setdefault(slot, []).append((rows, array))
-            arrays = {s: _scatter(p, len(pos), p[0][1].type) for s, p in parts.items()}
-            return arrays, out
-        deeper = [w for w in wanted if w[0]]
-        arrays, after = {}, None
-        if node.kind == "record" and deeper:
-            arrays, after = self.nested(node, deeper, pos, end)
-        here = [slot for walk, slot in wanted if not walk]
-        if here:
-            here = [s for s in here if s.type == type_or_none(node)]
-        if here:
-            value, after = self.read(node, pos, end)
-            arrays.update({slot: value for slot in here})
-        return arrays, self.skip(node, pos, end) if after is None else after
-
-    def nested(self, node, wanted, pos, end):
-        """The fields of a record in order, picking or skipping each."""
+        if not wanted and size is not None:
+            return {}, self.jump(size, pos, end)[1]
+        own = type_or_none(node)
+        here = [slot for walk, slot in wanted if not walk and (slot is OWN or slot.type == own)]
+        if node.kind in ("record", "union"):
+            inner = [w for w in wanted if w[0] or (node.kind == "union" and w[1] not in here)]
+            walk = self.walk_record if node.kind == "record" else self.walk_union
+            value, found, pos = walk(node, inner, bool(here), pos, end)
+            return found | dict.fromkeys(here, value), pos
+        value, pos = getattr(self, "read_" + node.kind)(node, bool(here), pos, end)
+        return dict.fromkeys(here, value), pos
+
+    def own(self, node, want, pos, end):
+        """A value in its own type, or ``None`` unless wanted."""
+        found, pos = self.take(node, [((), OWN)] if want else [], pos, end)
+        return found.get(OWN), pos
+
+    def walk_record(self, node, wanted, want, pos, end):
         if self.depth >= MAX_DEPTH:
-            return {}, np.full(len(pos), self.fail)
+            value = pa.nulls(len(pos), _arrow_type(node)) if want else None
+            return value, {}, np.full(len(pos), self.fail)
         self.depth += 1
-        arrays = {}
+        arrays, columns = {}, []
         for name, child in node.fields:
             inner = [(walk[1:], slot) for walk, slot in wanted if walk[0] == name]
-            found, pos = self.pick(child, inner, pos, end)
+            found, pos = self.take(child, inner + [((), OWN)] * want, pos, end)
+            columns.append(found.pop(OWN, None))
             arrays.update(found)
         self.depth -= 1
-        return arrays, pos
-
-    # -- reading whole values --------------------------------------------------------
+        if not want:
+            return None, arrays, pos
+        if not columns:
+            return pa.array([{}] * len(pos), pa.struct([])), arrays, pos
+        fields = list(_arrow_type(node))
+        return pa.StructArray.from_arrays(columns, fields=fields), arrays, pos
 
-    def read(self, node, pos, end):
-        """Values as an Arrow array of the type ``spark_type(node)`` maps to."""
-        return getattr(self, "read_" + node.kind)(node, pos, end)
+    def walk_union(self, node, wanted, want, pos, end):
+        index, pos = self.varint(pos, end)
+        index = np.where(pos == self.fail, -1, index)
+        out = np.full(len(pos), self.fail)  # where the branch number is none of the union's
+        parts = {}  # by slot, and by member for the union's own value
+        for i, member in enumerate(node.members):
+            rows = np.flatnonzero(index == i)
+            if not rows.size:
+                continue
+            whole = [((), OWN)] * (want and member.kind != "null")
+            found, out[rows] = self.take(member, wanted + whole, pos[rows], end[rows])
+            for slot, array in found.items():
+                parts.setdefault(member if slot is OWN else slot, []).append((rows, array))
+        value = self.union_value(node, parts, len(pos)) if want else None
+        arrays = {
+            slot: _scatter(pieces, len(pos), pieces[0][1].type)
+            for slot, pieces in parts.items()
+            if slot not in node.members
+        }
+        return value, arrays, out
 
-    def read_null(self, node, pos, end):
+    @staticmethod
+    def union_value(node, parts, n):
+        shape, members = union_shape(node)
+        target = _arrow_type(node)
+        if shape != "struct":
+            pieces = [(rows, a.cast(target)) for m in members for rows, a in parts.get(m, [])]
+            return _scatter(pieces, n, target)
+        columns = [_scatter(parts.get(m, []), n, f.type) for m, f in zip(members, target)]
+        empty = np.ones(n, bool)
+        for member in members:
+            for rows, _ in parts.get(member, []):
+                empty[rows] = False
+        return pa.StructArray.from_arrays(columns, fields=list(target), mask=pa.array(empty))
+
+    def read_null(self, node, want, pos, end):
         return pa.nulls(len(pos)), pos
 
-    def read_boolean(self, node, pos, end):
+    def read_boolean(self, node, want, pos, end):
         return pa.array(self.bytes[pos] != 0), self.jump(1, pos, end)[1]
 
-    def read_int(self, node, pos, end):
+    def read_float(self, node, want, pos, end):
+        width = fixed_size(node)
+        data = np.empty((len(pos), width), np.uint8)
+        for i in range(width):
+            data[:, i] = self.bytes[pos + i]
+        return pa.array(data.reshape(-1).view(f"<f{width}")), self.jump(width, pos, end)[1]
+
+    read_double = read_float
+
+    def read_int(self, node, want, pos, end):
         value, pos = self.varint(pos, end)
-        pos = self.checked_number(node, value, pos)
+        pos = np.where((value < -(2**31)) | (value >= 2**31), self.fail, pos)
+        if not want:
+            return None, pos
         array = pa.array(np.where(pos == self.fail, 0, value).astype(np.int32))
         return (array.cast(pa.date32()) if node.logical else array), pos
 
-    def read_long(self, node, pos, end):
+    def read_long(self, node, want, pos, end):
         value, pos = self.varint(pos, end)
+        if not want:
+            return None, pos
         if node.logical.endswith("millis"):
             bad = np.abs(value // 1000) > 9_223_372_036_854
             pos = np.where(bad, self.fail, pos)
@@ -379,40 +367,41 @@ class Batch:
         array = pa.array(value)
         return (array.cast(_arrow_type(node)) if node.logical else array), pos
 
-    def read_float(self, node, pos, end):
-        width = fixed_size(node)
-        data = np.empty((len(pos), width), np.uint8)
-        for i in range(width):
-            data[:, i] = self.bytes[pos + i]
-        return pa.array(data.reshape(-1).view(f"<f{width}")), self.jump(width, pos, end)[1]
-
-    read_double = read_float
+    def read_enum(self, node, want, pos, end):
+        value, pos = self.varint(pos, end)
+        pos = np.where((value < 0) | (value >= len(node.symbols)), self.fail, pos)
+        if not want:
+            return None, pos
+        value = np.where(pos == self.fail, 0, value)
+        return pa.array(node.symbols, pa.string()).take(pa.array(value)), pos
 
-    def read_bytes(self, node, pos, end):
+    def read_bytes(self, node, want, pos, end):
         size, start = self.varint(pos, end)
         size, pos = self.jump(size, start, end)
-        return self.binary_or_decimal(node, start, size, pos)
+        return self.binary_or_decimal(node, want, start, size, pos)
 
-    def read_fixed(self, node, pos, end):
+    def read_fixed(self, node, want, pos, end):
         size, after = self.jump(np.full(len(pos), node.size), pos, end)
-        return self.binary_or_decimal(node, pos, size, after)
+        return self.binary_or_decimal(node, want, pos, size, after)
 
-    def binary_or_decimal(self, node, start, size, pos):
-        array = self.spans_of(start, size, pa.binary())
-        if not node.is_decimal:
+    def binary_or_decimal(self, node, want, start, size, pos):
+        array = self.spans_of(start, size, pa.binary()) if want else None
+        if not want or not node.is_decimal:
             return array, pos
-        limit, values = 10**node.precision, []
+        values = []
         for i, raw in enumerate(array.to_pylist()):
             number = int.from_bytes(raw, "big", signed=True)
-            if abs(number) >= limit:
+            if abs(number) >= 10**node.precision:
                 number, pos[i] = 0, self.fail
-            digits = tuple(int(d) for d in str(abs(number)))
+            digits = tuple(map(int, str(abs(number))))
             values.append(Decimal((int(number < 0), digits, -node.scale)))
-        return pa.array(values, pa.decimal128(node.precision, node.scale)), pos
+        return pa.array(values, _arrow_type(node)), pos
 
-    def read_string(self, node, pos, end):
+    def read_string(self, node, want, pos, end):
         size, start = self.varint(pos, end)
         size, pos = self.jump(size, start, end)
+        if not want:
+            return None, pos
         array = self.spans_of(start, size, pa.string())
         try:
             array.validate(full=True)
@@ -425,77 +414,40 @@ class Batch:
             array = self.spans_of(start, size, pa.string())
         return array, pos
 
-    def read_enum(self, node, pos, end):
-        value, pos = self.varint(pos, end)
-        pos = self.checked_number(node, value, pos)
-        value = np.where(pos == self.fail, 0, value)
-        return pa.array(node.symbols, pa.string()).take(pa.array(value)), pos
-
-    def read_union(self, node, pos, end):
-        shape, members = union_shape(node)
-        target = _arrow_type(node)
-        out, pieces = np.empty(len(pos), np.int64), {}
-        for member, rows, at in self.branches(node, pos, end):
-            if member is None or member.kind == "null":
-                out[rows] = at
-                continue
-            value, out[rows] = self.read(member, at, end[rows])
-            pieces[members.index(member)] = (rows, value)
-        if shape != "struct":
-            parts = [(rows, value.cast(target)) for rows, value in pieces.values()]
-            return _scatter(parts, len(pos), target), out
-        columns = [
-            _scatter([pieces[i]] if i in pieces else [], len(pos), target.field(i).type)
-            for i in range(len(members))
-        ]
-        empty = np.ones(len(pos), bool)
-        for rows, _ in pieces.values():
-            empty[rows] = False
-        return pa.StructArray.from_arrays(columns, fields=list(target), mask=pa.array(empty)), out
-
-    def read_record(self, node, pos, end):
-        if self.depth >= MAX_DEPTH:
-            failed = np.full(len(pos), self.fail)
-            return pa.nulls(len(pos), _arrow_type(node)), failed
-        self.depth += 1
-        columns = []
-        for _, child in node.fields:
-            value, pos = self.read(child, pos, end)
-            columns.append(value)
-        self.depth -= 1
-        if not columns:
-            return pa.array([{}] * len(pos), pa.struct([])), pos
-        return pa.StructArray.from_arrays(columns, fields=list(_arrow_type(node))), pos
-
-    def read_array(self, node, pos, end):
+    def read_array(self, node, want, pos, end):
         pos = pos.copy()
         owners, values = [], []
-        for rows, start, after in self.elements(node, pos, end):
-            value, after[:] = self.read(node.item, start, end[rows])
-            failed = after == self.fail
+        for rows, start, after in self.elements(node, want, pos, end):
+            value, after[:] = self.own(node.item, want, start, end[rows])
             owners.append(rows)
             values.append(value)
-            pos[rows[failed]] = self.fail
+            pos[rows[after == self.fail]] = self.fail
+        if not want:
+            return None, pos
         offsets, order = self.regroup(owners, len(pos))
-        flat = pa.concat_arrays(values) if values else pa.nulls(0, _arrow_type(node.item))
-        return pa.ListArray.from_arrays(offsets, flat.take(order), type=_arrow_type(node)), pos
+        value = self.joined(values, node.item).take(order)
+        return pa.ListArray.from_arrays(offsets, value, type=_arrow_type(node)), pos
 
-    def read_map(self, node, pos, end):
+    def read_map(self, node, want, pos, end):
         pos = pos.copy()
         owners, keys, values = [], [], []
-        for rows, start, after in self.elements(node, pos, end):
-            key, start = self.read(STRING, start, end[rows])
-            value, after[:] = self.read(node.item, start, end[rows])
+        for rows, start, after in self.elements(node, want, pos, end):
+            key, start = self.own(STRING, want, start, end[rows])
+            value, after[:] = self.own(node.item, want, start, end[rows])
             owners.append(rows)
             keys.append(key)
             values.append(value)
+        if not want:
+            return None, pos
         offsets, order = self.regroup(owners, len(pos))
-        if not owners:
-            keys = [pa.nulls(0, pa.string())]
-            values = [pa.nulls(0, _arrow_type(node.item))]
-        key, value = (pa.concat_arrays(a).take(order) for a in (keys, values))
+        key = self.joined(keys, STRING).take(order)
+        value = self.joined(values, node.item).take(order)
         return pa.MapArray.from_arrays(offsets, key, value, type=_arrow_type(node)), pos
 
+    @staticmethod
+    def joined(arrays, node):
+        return pa.concat_arrays(arrays) if arrays else pa.nulls(0, _arrow_type(node))
+
     @staticmethod
     def regroup(owners, n):
         """Element order by row, and list offsets, from the row of each element read."""
@@ -505,9 +457,6 @@ class Batch:
         return pa.array(offsets.astype(np.int32)), pa.array(np.argsort(owner, kind="stable"))
 
 
-STRING = avro_types.Node("string")
-
-
 def make_decoder(slots, schemas=None, default=None):
     """Arrow UDF ``(payload, key) -> struct<failed, v0, v1, ...>``, one value per slot.
 

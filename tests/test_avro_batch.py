@@ -30,7 +30,7 @@ def unique_names(schema, seen=None):
 
 def read_all(schema, bodies):
     batch = Batch(pa.array(bodies, pa.binary()))
-    array, pos = batch.read(parse(json.dumps(schema)), *batch.spans)
+    array, pos = batch.own(parse(json.dumps(schema)), True, *batch.spans)
     array.validate(full=True)
     return array.to_pylist(), pos == batch.fail, pos
 
@@ -65,7 +65,7 @@ def test_skipping_ends_where_reading_ends(case, sized):
     schema, rows = case
     bodies = [encode(schema, r, sized) + b"tail" for r in rows]
     batch = Batch(pa.array(bodies, pa.binary()))
-    after = batch.skip(parse(json.dumps(schema)), *batch.spans)
+    _, after = batch.own(parse(json.dumps(schema)), False, *batch.spans)
     assert (batch.spans[1] - after).tolist() == [4] * len(rows)
 
 
@@ -79,7 +79,8 @@ def test_every_strict_prefix_fails(case):
         _, failed, _ = read_all(schema, cut)
         assert failed.all()
         batch = Batch(pa.array(cut, pa.binary()))
-        assert (batch.skip(parse(json.dumps(schema)), *batch.spans) == batch.fail).all()
+        _, after = batch.own(parse(json.dumps(schema)), False, *batch.spans)
+        assert (after == batch.fail).all()
 
 
 @SLOW
@@ -94,7 +95,7 @@ def test_garbage_fails_alone(case, garbage):
     assert not failed[::2].any()
     assert found[::2] == [plain(schema, rows[i % len(rows)]) for i in range(len(garbage))]
     batch = Batch(pa.array(bodies, pa.binary()))
-    batch.skip(parse(json.dumps(schema)), *batch.spans)
+    batch.own(parse(json.dumps(schema)), False, *batch.spans)
 
 
 @SLOW
