@@ -10,6 +10,7 @@ from sluicegate.functions.errors import (
     NO_DEFAULT_SCHEMA,
     UNKNOWN_SCHEMA,
 )
+from sluicegate.functions.wire import payload
 from sluicegate.operators.schemas import attach_schema
 
 MAX_SLOTS = 1000  # distinct (field, type) pairs; each is a column of the decoder's result
@@ -25,7 +26,7 @@ def decode(messages, fields, registry, default_schema=""):
     framed = F.col("schema_id").isNotNull()
     error = F.when(framed & ~F.col("known"), UNKNOWN_SCHEMA)
     if not default_schema.strip():
-        unframed = F.col("schema_id").isNull() & F.col("payload").isNotNull()
+        unframed = F.col("schema_id").isNull() & F.col("wire_error").isNull()
         error = error.when(unframed, NO_DEFAULT_SCHEMA)
     attached = attached.withColumn("schema_error", error)
 
@@ -38,8 +39,8 @@ def decode(messages, fields, registry, default_schema=""):
         slots = _slots([*registry.texts.values(), default_schema], paths)
     decoder = make_decoder([s for found in slots for s in found], schemas, default_schema)
     # Rows already in error take no bytes to Python.
-    payload = F.when(F.col("schema_error").isNull(), F.col("payload"))
-    return _with_fields(messages, attached, decoder(payload, key), fields, slots)
+    body = F.when(F.col("schema_error").isNull(), _body())
+    return _with_fields(messages, attached, decoder(body, key), fields, slots)
 
 
 def decode_with(messages, fields, schema):
@@ -47,7 +48,7 @@ def decode_with(messages, fields, schema):
     slots = _slots([schema], _paths(fields))
     decoder = make_decoder([s for found in slots for s in found], {}, schema)
     ready = messages.withColumn("schema_error", F.lit(None).cast("string"))
-    call = decoder(F.col("payload"), F.lit(None).cast("bigint"))
+    call = decoder(_body(), F.lit(None).cast("bigint"))
     return _with_fields(messages, ready, call, fields, slots)
 
 
@@ -59,6 +60,12 @@ def record_fields(schema):
     return {f.name: (f.name, f.dataType) for f in found}
 
 
+def _body():
+    """The payload, cut from the value only on its way to Python: as a column it would be
+    a second copy of every message in the rows that wait for the decoder."""
+    return payload(F.col("value"), F.col("schema_id"), F.col("wire_error"))
+
+
 def _typed(fields):
     """``{alias: (path, Spark type)}`` of a ``fields`` argument."""
     pairs = {a: (p, "string") if isinstance(p, str) else p for a, p in fields.items()}
