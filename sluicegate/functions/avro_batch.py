@@ -23,6 +23,7 @@ from sluicegate.functions import avro_types
 from sluicegate.functions.avro_types import (
     fixed_size,
     parse_or_none,
+    shape,
     slots_for,
     spark_type,
     type_or_none,
@@ -38,18 +39,38 @@ OWN = "own"  # the slot of a value wanted in its own type
 PAD = 32  # zero bytes behind the buffer: more than any unchecked read can overrun
 PIECE_BYTES = 8 << 20  # payload read at a time: bounds the size of the position arrays
 MAX_DEPTH = 100  # nested records; deeper bodies fail instead of exhausting the stack
-MAX_PARSED = 10_000  # schema trees a task keeps between batches
+MAX_KEYS, MAX_TREES = 20_000, 4_000  # schemas a task remembers between batches
 MAX_EMPTY_ITEMS = 1_000_000  # per block, for items that take no bytes and so have no other bound
 
 
-def decode_batch(payload, keys, schema_of, slots, parsed):
-    """Read ``payload[i]`` with the schema ``schema_of(keys[i])``.
+class Schemas:
+    """Schema trees by key, read when first met and shared by schemas of the same shape."""
+
+    def __init__(self, text_of):
+        self.text_of = text_of
+        self.by_key = {}
+        self.by_shape = {}
+
+    def tree(self, key):
+        """The tree to read a body with, or ``None`` if there is no such record schema."""
+        if key not in self.by_key:
+            if len(self.by_key) >= MAX_KEYS or len(self.by_shape) >= MAX_TREES:
+                self.by_key.clear()
+                self.by_shape.clear()
+            node = parse_or_none(self.text_of(key))
+            usable = node is not None and node.kind in ("record", "union")
+            self.by_key[key] = self.by_shape.setdefault(shape(node), node) if usable else None
+        return self.by_key[key]
+
+
+def decode_batch(payload, keys, schemas, slots):
+    """Read ``payload[i]`` with the schema of ``keys[i]``.
 
     Returns ``(arrays, failed)``: one Arrow array per slot, null where a schema has no
     such slot, and a mask of the rows that could not be read.  Null payloads give nulls
-    and do not count as failed.  ``parsed`` caches schema trees between batches."""
+    and do not count as failed."""
     results = [
-        _decode_piece(payload.slice(at, n), keys.slice(at, n), schema_of, slots, parsed)
+        _decode_piece(payload.slice(at, n), keys.slice(at, n), schemas, slots)
         for at, n in _pieces(payload)
     ]
     if len(results) == 1:
@@ -61,39 +82,35 @@ def decode_batch(payload, keys, schema_of, slots, parsed):
     return arrays, np.concatenate([r[1] for r in results] or [np.zeros(0, bool)])
 
 
-def _decode_piece(payload, keys, schema_of, slots, parsed):
-    present = np.flatnonzero(payload.is_valid().to_numpy(zero_copy_only=False))
+def _decode_piece(payload, keys, schemas, slots):
     failed = np.zeros(len(payload), bool)
     parts = {slot: [] for slot in slots}
-    for key, rows in _groups(keys, present):
-        if key not in parsed:
-            parsed[key] = _parsed(schema_of(key))
-        if parsed[key] is None:
+    for node, rows in _by_tree(payload, keys, schemas):
+        if node is None:
             failed[rows] = True
             continue
         whole = len(rows) == len(payload)
         batch = Batch(payload if whole else payload.take(pa.array(rows)))
-        found, pos = batch.take(parsed[key], [(s.walk, s) for s in slots], *batch.spans)
+        found, pos = batch.take(node, [(s.walk, s) for s in slots], *batch.spans)
         failed[rows[pos == batch.fail]] = True
         for slot, array in found.items():
             parts[slot].append((rows, array))
     return [_scatter(parts[s], len(payload), _arrow_type(s.type)) for s in slots], failed
 
 
-def _parsed(text):
-    node = parse_or_none(text)
-    return node if node and node.kind in ("record", "union") else None
-
-
-def _groups(keys, present):
-    """Rows by key: ``(key, row numbers)``; a null key is a group of its own."""
-    if not len(present):
-        return
+def _by_tree(payload, keys, schemas):
+    """Rows that have a payload, by schema tree: ``(tree, ascending row numbers)``."""
+    present = np.flatnonzero(payload.is_valid().to_numpy(zero_copy_only=False))
     coded = keys.dictionary_encode(null_encoding="encode")
     codes = coded.indices.to_numpy(zero_copy_only=False)[present]
-    order = np.argsort(codes, kind="stable")
-    for rows in np.split(present[order], np.flatnonzero(np.diff(codes[order])) + 1):
-        yield keys[int(rows[0])].as_py(), rows
+    groups, group_of = {}, np.zeros(len(coded.dictionary), np.int64)
+    for code in np.unique(codes):
+        tree = schemas.tree(coded.dictionary[int(code)].as_py())
+        group_of[code] = groups.setdefault(tree, len(groups))
+    order = np.argsort(group_of[codes], kind="stable")
+    ends = np.cumsum(np.bincount(group_of[codes], minlength=len(groups)))
+    for tree, rows in zip(groups, np.split(present[order], ends[:-1])):
+        yield tree, rows
 
 
 def _arrow_type(node_or_type):
@@ -321,9 +338,9 @@ class Batch:
 
     @staticmethod
     def union_value(node, parts, n):
-        shape, members = union_shape(node)
+        kind, members = union_shape(node)
         target = _arrow_type(node)
-        if shape != "struct":
+        if kind != "struct":
             pieces = [(rows, a.cast(target)) for m in members for rows, a in parts.get(m, [])]
             return _scatter(pieces, n, target)
         columns = [_scatter(parts.get(m, []), n, f.type) for m, f in zip(members, target)]
@@ -468,17 +485,15 @@ def make_decoder(slots, schemas=None, default=None):
         + [T.StructField(f"v{i}", slot.type) for i, slot in enumerate(slots)]
     )
 
-    def schema_of(key):
+    def text_of(key):
         if key is None:
             return default
         return key if schemas is None else schemas[key]
 
     def decode(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        parsed = {}  # schema trees, kept for the task
+        trees = Schemas(text_of)  # kept for the task
         for payload, keys in batches:
-            if len(parsed) > MAX_PARSED:
-                parsed.clear()
-            values, failed = decode_batch(payload, keys, schema_of, slots, parsed)
+            values, failed = decode_batch(payload, keys, trees, slots)
             yield pa.StructArray.from_arrays(
                 [pa.array(failed), *values], names=[f.name for f in returns]
             )

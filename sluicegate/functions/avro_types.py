@@ -118,6 +118,22 @@ def _set_logical(node, spec):
     return node
 
 
+def shape(node, seen=None):
+    """Text equal for schemas that read alike, whatever their types are called."""
+    seen = {} if seen is None else seen
+    if node in seen:
+        return f"#{seen[node]}"
+    if node.kind == "record":
+        seen[node] = len(seen)
+        parts = [f"{name}:{shape(child, seen)}" for name, child in node.fields]
+    elif node.item:
+        parts = [shape(node.item, seen)]
+    else:
+        parts = [shape(m, seen) for m in node.members] or node.symbols
+    extra = (node.logical, node.precision, node.scale, node.size)
+    return f"{node.kind}{extra if any(extra) else ''}({','.join(parts)})"
+
+
 def fixed_size(node, inside=()):
     """Encoded size in bytes if every value has the same one, else ``None``.
 

@@ -8,8 +8,8 @@ from avro_encode import encode, long, plain, records, values
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from sluicegate.functions.avro_batch import Batch, decode_batch
-from sluicegate.functions.avro_types import Slot, parse, slots_for, spark_type
+from sluicegate.functions.avro_batch import Batch, Schemas, decode_batch
+from sluicegate.functions.avro_types import Slot, parse, shape, slots_for, spark_type
 
 SLOW = settings(max_examples=150, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -35,12 +35,16 @@ def read_all(schema, bodies):
     return array.to_pylist(), pos == batch.fail, pos
 
 
+def one_schema(schema):
+    return Schemas(lambda _: json.dumps(schema))
+
+
 def decode(schema, bodies, *paths):
     root = parse(json.dumps(schema))
     slots = [s for p in paths for s in slots_for(root, tuple(p.split(".")))]
     keys = pa.nulls(len(bodies), pa.int64())
     payload = pa.array(bodies, pa.binary())
-    arrays, failed = decode_batch(payload, keys, lambda _: json.dumps(schema), slots, {})
+    arrays, failed = decode_batch(payload, keys, one_schema(schema), slots)
     return [a.to_pylist() for a in arrays], failed.tolist()
 
 
@@ -110,7 +114,7 @@ def test_picked_fields_equal_the_whole_record(case):
     bodies = [encode(schema, r) for r in rows]
     keys = pa.nulls(len(bodies), pa.int64())
     arrays, failed = decode_batch(
-        pa.array(bodies, pa.binary()), keys, lambda _: json.dumps(schema), list(slots.values()), {}
+        pa.array(bodies, pa.binary()), keys, one_schema(schema), list(slots.values())
     )
     assert not failed.any()
     for (name, _), array, shape in zip(slots.items(), arrays, shapes):
@@ -184,8 +188,8 @@ def test_rows_of_several_schemas_and_null_payloads():
     texts = {1: a, 2: b, 3: "not a schema", None: a}
     slot = slots_for(parse(a), ("x",))
     payload = pa.array([b"\x02p", None, b"\x02\x02q", b"\x02r", b"\x02s", b""], pa.binary())
-    keys = pa.array([1, 1, 2, None, 3, 2], pa.int64())
-    arrays, failed = decode_batch(payload, keys, texts.get, slot, {})
+    keys = pa.array([1, 99, 2, None, 3, 2], pa.int64())  # 99 is unknown, but has no payload
+    arrays, failed = decode_batch(payload, keys, Schemas(texts.__getitem__), slot)
     assert failed.tolist() == [False, False, False, False, True, True]
     assert arrays[0].to_pylist()[:4] == ["p", None, "q", "r"]
 
@@ -203,13 +207,42 @@ def test_sliced_batches():
     schema = {"type": "record", "name": "R", "fields": [{"name": "s", "type": "string"}]}
     payload = pa.array([b"\x02a", b"\x02b", None, b"\x02c"], pa.binary()).slice(1)
     slot = slots_for(parse(json.dumps(schema)), ("s",))
-    arrays, failed = decode_batch(
-        payload, pa.nulls(3, pa.int64()), lambda _: json.dumps(schema), slot, {}
-    )
+    arrays, failed = decode_batch(payload, pa.nulls(3, pa.int64()), one_schema(schema), slot)
     assert arrays[0].to_pylist() == ["b", None, "c"]
     assert not np.any(failed)
 
 
+def test_schemas_of_one_shape_share_a_tree():
+    def text(name, field="x", kind="string"):
+        return json.dumps({"type": "record", "name": name, "doc": name, "fields": [
+            {"name": field, "type": kind, "default": None}, {"name": "e", "type": {"type": "enum", "name": "E" + name, "symbols": ["A"]}}]})
+
+    texts = {1: text("P"), 2: text("Q"), 3: text("R", field="y"), 4: text("S", kind="bytes"), 5: "{"}
+    schemas = Schemas(texts.__getitem__)
+    assert schemas.tree(1) is schemas.tree(2)
+    assert len({id(schemas.tree(k)) for k in (1, 3, 4)}) == 3
+    assert schemas.tree(5) is None
+
+
+@SLOW
+@given(cases(), cases())
+def test_shape_tells_schemas_apart(one, other):
+    same = plain_names(one[0]) == plain_names(other[0])
+    assert same == (shape(parse(json.dumps(one[0]))) == shape(parse(json.dumps(other[0]))))
+
+
+def plain_names(schema):
+    """The schema without the names of its types."""
+    if isinstance(schema, list):
+        return [plain_names(s) for s in schema]
+    if isinstance(schema, dict):
+        kept = {k: plain_names(v) for k, v in schema.items() if k != "name" or "type" not in schema}
+        if schema.get("type") == "record":
+            kept["fields"] = [(f["name"], plain_names(f["type"])) for f in schema["fields"]]
+        return kept
+    return schema
+
+
 LOGICAL = {
     "type": "record",
     "name": "L",
