@@ -6,8 +6,7 @@ import pytest
 from helpers import messages, texts
 from pyspark.sql import functions as F
 
-from sluicegate import RouterConfig, Rules, route
-from sluicegate import job
+from sluicegate import Registry, RouterConfig, Rules, job, route
 from sluicegate.plans import fixtures as fx
 from sluicegate.session import work_dir
 from sluicegate.sources.kafka import sink_options, source_options
@@ -212,3 +211,24 @@ def test_batches_are_handed_over_in_order(spark, stored, tmp_path):
         stream, lambda rows, i: sizes.append((i, rows.count())), str(tmp_path / "cp"), once=True
     ).awaitTermination()
     assert [i for i, _ in sizes] == list(range(5)) and sum(n for _, n in sizes) == 1000
+
+
+def test_default_trigger_runs_until_stopped(spark, stored, tmp_path):
+    rows = route(message_stream(spark, stored), fx.schemas_table(spark), fx.RULES, CONFIG)
+    query = to_files(rows, str(tmp_path / "out"), str(tmp_path / "cp"), name="router")
+    try:
+        query.processAllAvailable()
+        assert query.isActive and query.name == "router"
+    finally:
+        query.stop()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1000
+
+
+def test_stream_with_a_schema_table_too_large_to_broadcast(spark, events, stored, tmp_path):
+    registry = Registry.load(fx.schemas_table(spark), max_schemas=0)
+    rows = route(message_stream(spark, stored), registry, fx.RULES, CONFIG)
+    to_files(rows, str(tmp_path / "out"), str(tmp_path / "cp"), once=True).awaitTermination()
+    batch = route(fx.raw_messages(events), fx.schemas_table(spark), fx.RULES, CONFIG)
+    found = spark.read.parquet(str(tmp_path / "out")).select(COLUMNS)
+    assert found.count() == 1000
+    assert batch.select(COLUMNS).exceptAll(found).count() == 0
