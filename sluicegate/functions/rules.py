@@ -2,41 +2,19 @@
 
 from pyspark.sql import functions as F
 
-from sluicegate.config import CATCH_ALL
-
-# Up to here rules become one CASE, whose patterns Spark compiles once per task.  Longer
-# lists become a literal array searched per row, several times slower: the code generated
-# for a CASE of that size would exceed the JVM's limit for one method.
-CASE_RULES = 500
-
 
 def at_start(pattern):
     """A pattern that must match from the first character on."""
     return rf"\A(?:{pattern})"
 
 
-def bucket_of(text, rules, match="first", anchored=False):
-    """Bucket of the first (or last) rule whose pattern is found in ``text``, else null."""
+def in_order(rules, match="first", anchored=False):
+    """The rules so that the first match decides: ``last`` turns their order round."""
     ordered = list(rules) if match == "first" else list(reversed(rules))
-    if anchored:
-        ordered = [(at_start(p), b) for p, b in ordered]
-    if not ordered:
-        return F.lit(None).cast("string")
-    if len(ordered) <= CASE_RULES:
-        return F.coalesce(*[F.when(text.rlike(p), F.lit(b)) for p, b in ordered])
-    table = F.array(
-        *[F.struct(F.lit(p).alias("pattern"), F.lit(b).alias("bucket")) for p, b in ordered]
-    )
-    hits = F.filter(table, lambda r: F.rlike(text, r["pattern"]))
-    return F.get(hits, F.lit(0))["bucket"]
+    return [(at_start(p), b) for p, b in ordered] if anchored else ordered
 
 
-def route_bucket(field, rules, config):
-    """Bucket of a routing field (text or null), with the catch-all rule as the default."""
-    default = F.lit(dict(rules).get(CATCH_ALL)).cast("string")
-    matched = bucket_of(
-        F.coalesce(field, F.lit("")), rules, match=config.match, anchored=config.anchored
-    )
-    if config.null_field == "default":
-        matched = F.when(field.isNotNull(), matched)
-    return F.coalesce(matched, default)
+def first_match(text, rules):
+    """Bucket of the first rule whose pattern is found in ``text``, else null."""
+    cases = [F.when(text.rlike(p), F.lit(b)) for p, b in rules]
+    return F.coalesce(*cases) if cases else F.lit(None).cast("string")

@@ -6,10 +6,16 @@ from dataclasses import dataclass
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from sluicegate.functions.rules import route_bucket
+from sluicegate.config import CATCH_ALL
+from sluicegate.functions.rules import first_match, in_order
 
 MAX_RULES = 100_000  # rules are configuration; more than this is a mistake in the table
 
+# Rules per expression.  Spark compiles each pattern once per task; longer lists become
+# several columns, each for the messages the ones before left unmatched, because the JVM
+# does not optimise, and in the end does not accept, generated methods much larger.
+CASE_RULES = 50
+
 RULE_COLUMNS = "ord int, pattern string, bucket string"
 
 
@@ -70,14 +76,31 @@ class Rules:
 
 
 def _usable(spark, patterns):
-    text = spark.sql("select '' as text")
+    row = spark.sql("select 1")  # literals on one row: evaluated while planning, no job
     try:
-        text.select(F.array(*[F.col("text").rlike(p) for p in patterns])).head()
+        for some in _chunks(patterns):
+            row.select(F.array(*[F.lit("").rlike(p) for p in some])).head()
     except PySparkException:
         return False
     return True
 
 
+def _chunks(items):
+    return [items[i : i + CASE_RULES] for i in range(0, len(items), CASE_RULES)]
+
+
 def apply_rules(decoded, rules, config):
-    """Add ``bucket`` for the text in ``route_value``: expressions only, no join."""
-    return decoded.withColumn("bucket", route_bucket(F.col("route_value"), rules.pairs, config))
+    """Add ``bucket`` for the text in ``route_value``: expressions only, no join.
+
+    Unmatched messages get the bucket of the catch-all rule, if there is one."""
+    text = F.coalesce("route_value", F.lit(""))
+    bucket = F.lit(None).cast("string")
+    matched = decoded
+    for some in _chunks(in_order(rules.pairs, config.match, config.anchored)):
+        rest = F.when(bucket.isNull(), first_match(text, some)).otherwise(bucket)
+        matched = matched.withColumn("bucket", rest)
+        bucket = F.col("bucket")
+    if config.null_field == "default":
+        bucket = F.when(F.col("route_value").isNotNull(), bucket)
+    default = F.lit(dict(rules.pairs).get(CATCH_ALL)).cast("string")
+    return matched.withColumn("bucket", F.coalesce(bucket, default))

@@ -288,7 +288,7 @@ def q_route_null_default(spark, sf_dir):
 
 
 def q_route_many_rules(spark, sf_dir):
-    """One exact rule per user digit pair ahead of the usual ones: too many for one CASE."""
+    """A rule per last two digits ahead of the usual ones: too many for one expression."""
     exact = [(rf"^\+7\d{{8}}{n:02d}$", f"ru{n:02d}") for n in range(100)]
     exact += [(rf"^\+380\d{{7}}{n:02d}$", f"ua{n:02d}") for n in range(100)]
     return buckets(spark, sf_dir, rules=[*exact, *fx.RULES])

@@ -8,9 +8,9 @@ from helpers import messages, plan, record, schemas, texts
 from pyspark.sql import functions as F
 
 from sluicegate import Registry, RouterConfig, Rules, route
-from sluicegate.functions import rules as rule_functions
-from sluicegate.functions.rules import bucket_of
+from sluicegate.operators import rules as rule_steps
 from sluicegate.operators.decode import decode, decode_with, record_fields
+from sluicegate.operators.rules import apply_rules
 from sluicegate.operators.schemas import attach_schema, latest_schema, resolve_schema
 from sluicegate.operators.wire import split_wire
 from sluicegate.plans import fixtures as fx
@@ -265,18 +265,20 @@ def test_table_rules_are_ordered_by_ord(spark):
 CASES = ["+7123", "x+7123", "+380", "", None, "+7123\n"]
 
 
-@pytest.mark.parametrize("limit", [500, 0], ids=["case", "array"])
+@pytest.mark.parametrize("limit", [250, 2, 1], ids=["one", "two", "three"])
 def test_matching_modes(spark, monkeypatch, limit):
-    monkeypatch.setattr(rule_functions, "CASE_RULES", limit)
-    frame = spark.createDataFrame([(t, i) for i, t in enumerate(CASES)], "text string, offset int")
-    rules = [(r"\+7|\+38", "plus"), (r"\d", "digit"), (r"^$", "blank")]
-
-    def found(**options):
-        return texts(frame, bucket_of(F.col("text"), rules, **options))
-
-    assert found() == ["plus", "plus", "plus", "blank", None, "plus"]
-    assert found(match="last") == ["digit", "digit", "digit", "blank", None, "digit"]
-    assert found(anchored=True) == ["plus", None, "plus", "blank", None, "plus"]
+    """However many expressions the rules take."""
+    monkeypatch.setattr(rule_steps, "CASE_RULES", limit)
+    frame = spark.createDataFrame([(t, i) for i, t in enumerate(CASES)], "route_value string, offset int")
+    rules = Rules.of([(r"\+7|\+38", "plus"), (r"\d", "digit"), (r"^$", "blank")])
+
+    def found(**settings):
+        return texts(apply_rules(frame, rules, RouterConfig(**settings)), "bucket")
+
+    assert found() == ["plus", "plus", "plus", "blank", "blank", "plus"]
+    assert found(match="last") == ["digit", "digit", "digit", "blank", "blank", "digit"]
+    assert found(anchored=True) == ["plus", None, "plus", "blank", "blank", "plus"]
+    assert found(null_field="default") == ["plus", "plus", "plus", "blank", None, "plus"]
 
 
 def test_absent_field_and_the_catch_all_rule(spark):
