@@ -1,140 +1,39 @@
-"""Reading a whole Arrow batch of Avro bodies at once.
+"""Reading many Avro bodies at once.
 
-A position per row moves through the batch's byte buffer; every step (a varint, a
+A position per row moves through the bytes of an Arrow batch; every step (a varint, a
 text, a union branch) is taken for all rows together with numpy, so the cost per row
 is a few vector operations rather than a Python loop.  A row that cannot be read gets
 the position ``fail``, which lies behind every row end and stays there: later steps
 read nothing for it, and the other rows are not affected.
 """
 
-import sys
-from collections.abc import Iterator
 from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import cloudpickle
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from sluicegate.functions import avro_types
-from sluicegate.functions.avro_types import (
-    fixed_size,
-    parse_or_none,
-    shape,
-    slots_for,
-    spark_type,
-    type_or_none,
-    union_shape,
-)
-
-# Ship this code inside the pickled UDF, so executors need no installed copy.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-cloudpickle.register_pickle_by_value(avro_types)
-
-STRING = avro_types.Node("string")
+from sluicegate.functions.avro_types import Node, fixed_size, spark_type, type_or_none, union_shape
+
+VARINTS = ("int", "long", "enum")
+STRING = Node("string")
 OWN = "own"  # the slot of a value wanted in its own type
 PAD = 32  # zero bytes behind the buffer: more than any unchecked read can overrun
-PIECE_BYTES = 8 << 20  # payload read at a time: bounds the size of the position arrays
 MAX_DEPTH = 100  # nested records; deeper bodies fail instead of exhausting the stack
-MAX_KEYS, MAX_TREES = 20_000, 4_000  # schemas a task remembers between batches
+FEW_ROWS = 16  # below this a step for all rows costs more than a scan of each
 MAX_EMPTY_ITEMS = 1_000_000  # per block, for items that take no bytes and so have no other bound
 
 
-class Schemas:
-    """Schema trees by key, read when first met and shared by schemas of the same shape."""
-
-    def __init__(self, text_of):
-        self.text_of = text_of
-        self.by_key = {}
-        self.by_shape = {}
-
-    def tree(self, key):
-        """The tree to read a body with, or ``None`` if there is no such record schema."""
-        if key not in self.by_key:
-            if len(self.by_key) >= MAX_KEYS or len(self.by_shape) >= MAX_TREES:
-                self.by_key.clear()
-                self.by_shape.clear()
-            node = parse_or_none(self.text_of(key))
-            usable = node is not None and node.kind in ("record", "union")
-            self.by_key[key] = self.by_shape.setdefault(shape(node), node) if usable else None
-        return self.by_key[key]
-
-
-def decode_batch(payload, keys, schemas, slots):
-    """Read ``payload[i]`` with the schema of ``keys[i]``.
-
-    Returns ``(arrays, failed)``: one Arrow array per slot, null where a schema has no
-    such slot, and a mask of the rows that could not be read.  Null payloads give nulls
-    and do not count as failed."""
-    results = [
-        _decode_piece(payload.slice(at, n), keys.slice(at, n), schemas, slots)
-        for at, n in _pieces(payload)
-    ]
-    if len(results) == 1:
-        return results[0]
-    arrays = [
-        pa.concat_arrays([r[0][i] for r in results] or [pa.nulls(0, _arrow_type(s.type))])
-        for i, s in enumerate(slots)
-    ]
-    return arrays, np.concatenate([r[1] for r in results] or [np.zeros(0, bool)])
-
-
-def _decode_piece(payload, keys, schemas, slots):
-    failed = np.zeros(len(payload), bool)
-    parts = {slot: [] for slot in slots}
-    for node, rows in _by_tree(payload, keys, schemas):
-        if node is None:
-            failed[rows] = True
-            continue
-        whole = len(rows) == len(payload)
-        batch = Batch(payload if whole else payload.take(pa.array(rows)))
-        found, pos = batch.take(node, [(s.walk, s) for s in slots], *batch.spans)
-        failed[rows[pos == batch.fail]] = True
-        for slot, array in found.items():
-            parts[slot].append((rows, array))
-    return [_scatter(parts[s], len(payload), _arrow_type(s.type)) for s in slots], failed
-
-
-def _by_tree(payload, keys, schemas):
-    """Rows that have a payload, by schema tree: ``(tree, ascending row numbers)``."""
-    present = np.flatnonzero(payload.is_valid().to_numpy(zero_copy_only=False))
-    coded = keys.dictionary_encode(null_encoding="encode")
-    codes = coded.indices.to_numpy(zero_copy_only=False)[present]
-    groups, group_of = {}, np.zeros(len(coded.dictionary), np.int64)
-    for code in np.unique(codes):
-        tree = schemas.tree(coded.dictionary[int(code)].as_py())
-        group_of[code] = groups.setdefault(tree, len(groups))
-    order = np.argsort(group_of[codes], kind="stable")
-    ends = np.cumsum(np.bincount(group_of[codes], minlength=len(groups)))
-    for tree, rows in zip(groups, np.split(present[order], ends[:-1])):
-        yield tree, rows
-
-
-def _arrow_type(node_or_type):
-    if isinstance(node_or_type, avro_types.Node):
+def arrow_type(node_or_type):
+    if isinstance(node_or_type, Node):
         node_or_type = spark_type(node_or_type)
     return to_arrow_type(node_or_type)
 
 
-def _pieces(payload):
-    """Row ranges of at most ``PIECE_BYTES`` of payload each, or of a single row."""
-    size = pc.binary_length(payload).fill_null(0).to_numpy(zero_copy_only=False)
-    total = np.cumsum(size, dtype=np.int64)
-    start = 0
-    while start < len(payload):
-        before = total[start] - size[start]
-        stop = max(start + 1, int(np.searchsorted(total, before + PIECE_BYTES, side="right")))
-        yield start, stop - start
-        start = stop
-
-
-def _scatter(parts, n, arrow_type):
+def scatter(parts, n, target):
     """Put ``(rows, array)`` pieces at their rows of an array of length ``n``."""
     if not parts:
-        return pa.nulls(n, arrow_type)
+        return pa.nulls(n, target)
     if len(parts) == 1 and len(parts[0][0]) == n:
         return parts[0][1]
     at = np.full(n, -1, np.int64)
@@ -146,6 +45,59 @@ def _scatter(parts, n, arrow_type):
     return joined.take(pa.array(at, mask=at < 0))
 
 
+def number_at(view, at, end):
+    """One zig-zag integer: ``(value, position behind it)``, the position -1 if cut off."""
+    raw = shift = 0
+    while 0 <= at < end and shift < 70:
+        byte = view[at]
+        at += 1
+        raw |= (byte & 0x7F) << shift
+        if byte < 0x80:
+            raw &= 0xFFFFFFFFFFFFFFFF
+            return (raw >> 1) ^ -(raw & 1), at
+        shift += 7
+    return 0, -1
+
+
+def value_end(node, view, at, end, depth):
+    """The position behind one value, -1 if it cannot be read: what ``Batch.take`` finds for
+    many rows together, for the elements of a few long arrays."""
+    size = fixed_size(node)
+    if at < 0 or (node.kind == "record" and size is None and depth >= MAX_DEPTH):
+        return -1
+    if size is not None:
+        return at + size if size <= end - at else -1
+    if node.kind == "record":
+        for _, child in node.fields:
+            at = value_end(child, view, at, end, depth + 1)
+        return at
+    number, at = number_at(view, at, end)
+    if node.kind == "long" or at < 0:
+        return at
+    if node.kind == "int":
+        return at if -(2**31) <= number < 2**31 else -1
+    if node.kind == "enum":
+        return at if 0 <= number < len(node.symbols) else -1
+    if node.kind in ("string", "bytes"):
+        return at + number if 0 <= number <= end - at else -1
+    if node.kind == "union":
+        known = 0 <= number < len(node.members)
+        return value_end(node.members[number], view, at, end, depth) if known else -1
+    while number and at >= 0:
+        if number < 0:
+            number = -number
+            at = number_at(view, at, end)[1]
+        empty = node.kind == "array" and fixed_size(node.item) == 0
+        if number > (MAX_EMPTY_ITEMS if empty else end - at):
+            return -1
+        for _ in range(0 if empty else number):
+            if node.kind == "map":
+                at = value_end(STRING, view, at, end, depth)
+            at = value_end(node.item, view, at, end, depth)
+        number, at = number_at(view, at, end)
+    return at
+
+
 class Batch:
     """The bytes of some messages and vectorised reads on them.
 
@@ -193,7 +145,7 @@ class Batch:
         ok = (size >= 0) & (size <= end - pos)
         return np.where(ok, size, 0), np.where(ok, pos + np.where(ok, size, 0), self.fail)
 
-    def spans_of(self, start, size, arrow_type):
+    def spans_of(self, start, size, target):
         """The given spans (ascending) as an array.
 
         Starts and ends interleaved are the offsets of an array in which every second
@@ -202,17 +154,17 @@ class Batch:
         offsets = np.stack([start, start + size], axis=1).reshape(-1).astype(np.int32)
         buffers = [None, pa.py_buffer(offsets), pa.py_buffer(self.bytes)]
         n = max(2 * len(start) - 1, 0)
-        return pa.Array.from_buffers(arrow_type, n, buffers).take(pa.array(np.arange(0, n, 2)))
+        return pa.Array.from_buffers(target, n, buffers).take(pa.array(np.arange(0, n, 2)))
 
     def elements(self, node, want, pos, end):
         """Array or map blocks: yields ``(rows, start, next)`` until every block is done.
 
         ``start`` are element positions, ``rows`` the row of each.  The caller puts the
-        position behind every element into ``next``.  Array elements whose ends are known
-        without reading (fixed size, or one varint each) come a whole block at a time, or
-        not at all unless wanted; others come one per row and step."""
+        position behind every element into ``next``.  Elements whose ends are known without
+        reading them come a whole block at a time; others come one per row and step, or,
+        once few rows have any left, all at once after a scan for their ends."""
         size = fixed_size(node.item) if node.kind == "array" else None
-        varints = node.kind == "array" and node.item.kind in ("int", "long", "enum")
+        varints = node.kind == "array" and node.item.kind in VARINTS
         left = np.zeros(len(pos), np.int64)
         live = np.arange(len(pos))
         while True:
@@ -235,10 +187,17 @@ class Batch:
                 count, before = left[live], pos[live]
                 pos[live] = self.behind(size, count, before, end[live])
                 left[live] = 0
-                if want:
+                if want or varints:
                     count = np.where(pos[live] == self.fail, 0, count)
                     start = self.starts(size, count, before)
                     yield np.repeat(live, count), start, np.empty(len(start), np.int64)
+            elif live.size < FEW_ROWS:
+                starts = [self.scan(node, r, left, pos, end) for r in live]
+                left[live] = 0
+                if want:
+                    start = np.concatenate(starts)
+                    rows = np.repeat(live, [len(s) for s in starts])
+                    yield rows, start, np.empty(len(start), np.int64)
             else:
                 after = pos[live]
                 yield live, pos[live], after
@@ -246,6 +205,21 @@ class Batch:
                 left[live] -= 1
             left[live[pos[live] == self.fail]] = 0
 
+    def scan(self, node, row, left, pos, end):
+        """Starts of the ``left[row]`` next elements; moves ``pos[row]`` behind them."""
+        view, at, stop = memoryview(self.bytes), int(pos[row]), int(end[row])
+        starts = np.empty(int(left[row]), np.int64)
+        for i in range(len(starts)):
+            starts[i] = at
+            if node.kind == "map":
+                at = value_end(STRING, view, at, stop, self.depth)
+            at = value_end(node.item, view, at, stop, self.depth)
+            if at < 0:
+                pos[row] = self.fail
+                return starts[:0]
+        pos[row] = at
+        return starts
+
     @property
     def stops(self):
         """Where a varint can end: every byte without the continuation bit."""
@@ -298,7 +272,7 @@ class Batch:
 
     def walk_record(self, node, wanted, want, pos, end):
         if self.depth >= MAX_DEPTH:
-            value = pa.nulls(len(pos), _arrow_type(node)) if want else None
+            value = pa.nulls(len(pos), arrow_type(node)) if want else None
             return value, {}, np.full(len(pos), self.fail)
         self.depth += 1
         arrays, columns = {}, []
@@ -312,7 +286,7 @@ class Batch:
             return None, arrays, pos
         if not columns:
             return pa.array([{}] * len(pos), pa.struct([])), arrays, pos
-        fields = list(_arrow_type(node))
+        fields = list(arrow_type(node))
         return pa.StructArray.from_arrays(columns, fields=fields), arrays, pos
 
     def walk_union(self, node, wanted, want, pos, end):
@@ -330,7 +304,7 @@ class Batch:
                 parts.setdefault(member if slot is OWN else slot, []).append((rows, array))
         value = self.union_value(node, parts, len(pos)) if want else None
         arrays = {
-            slot: _scatter(pieces, len(pos), pieces[0][1].type)
+            slot: scatter(pieces, len(pos), pieces[0][1].type)
             for slot, pieces in parts.items()
             if slot not in node.members
         }
@@ -339,11 +313,11 @@ class Batch:
     @staticmethod
     def union_value(node, parts, n):
         kind, members = union_shape(node)
-        target = _arrow_type(node)
+        target = arrow_type(node)
         if kind != "struct":
             pieces = [(rows, a.cast(target)) for m in members for rows, a in parts.get(m, [])]
-            return _scatter(pieces, n, target)
-        columns = [_scatter(parts.get(m, []), n, f.type) for m, f in zip(members, target)]
+            return scatter(pieces, n, target)
+        columns = [scatter(parts.get(m, []), n, f.type) for m, f in zip(members, target)]
         empty = np.ones(n, bool)
         for member in members:
             for rows, _ in parts.get(member, []):
@@ -382,7 +356,7 @@ class Batch:
             pos = np.where(bad, self.fail, pos)
             value = np.where(bad, 0, value) * 1000
         array = pa.array(value)
-        return (array.cast(_arrow_type(node)) if node.logical else array), pos
+        return (array.cast(arrow_type(node)) if node.logical else array), pos
 
     def read_enum(self, node, want, pos, end):
         value, pos = self.varint(pos, end)
@@ -412,7 +386,7 @@ class Batch:
                 number, pos[i] = 0, self.fail
             digits = tuple(map(int, str(abs(number))))
             values.append(Decimal((int(number < 0), digits, -node.scale)))
-        return pa.array(values, _arrow_type(node)), pos
+        return pa.array(values, arrow_type(node)), pos
 
     def read_string(self, node, want, pos, end):
         size, start = self.varint(pos, end)
@@ -443,7 +417,7 @@ class Batch:
             return None, pos
         offsets, order = self.regroup(owners, len(pos))
         value = self.joined(values, node.item).take(order)
-        return pa.ListArray.from_arrays(offsets, value, type=_arrow_type(node)), pos
+        return pa.ListArray.from_arrays(offsets, value, type=arrow_type(node)), pos
 
     def read_map(self, node, want, pos, end):
         pos = pos.copy()
@@ -454,16 +428,17 @@ class Batch:
             owners.append(rows)
             keys.append(key)
             values.append(value)
+            pos[rows[after == self.fail]] = self.fail
         if not want:
             return None, pos
         offsets, order = self.regroup(owners, len(pos))
         key = self.joined(keys, STRING).take(order)
         value = self.joined(values, node.item).take(order)
-        return pa.MapArray.from_arrays(offsets, key, value, type=_arrow_type(node)), pos
+        return pa.MapArray.from_arrays(offsets, key, value, type=arrow_type(node)), pos
 
     @staticmethod
     def joined(arrays, node):
-        return pa.concat_arrays(arrays) if arrays else pa.nulls(0, _arrow_type(node))
+        return pa.concat_arrays(arrays) if arrays else pa.nulls(0, arrow_type(node))
 
     @staticmethod
     def regroup(owners, n):
@@ -472,52 +447,3 @@ class Batch:
         offsets = np.zeros(n + 1, np.int64)
         np.cumsum(np.bincount(owner, minlength=n), out=offsets[1:])
         return pa.array(offsets.astype(np.int32)), pa.array(np.argsort(owner, kind="stable"))
-
-
-def make_decoder(slots, schemas=None, default=None):
-    """Arrow UDF ``(payload, key) -> struct<failed, v0, v1, ...>``, one value per slot.
-
-    ``schemas`` maps a key to schema text and ``default`` is the text for a null key; with
-    ``schemas=None`` the keys are schema texts themselves.  The UDF counts as
-    non-deterministic, so the optimizer neither repeats it nor moves filters below it."""
-    returns = T.StructType(
-        [T.StructField("failed", T.BooleanType())]
-        + [T.StructField(f"v{i}", slot.type) for i, slot in enumerate(slots)]
-    )
-
-    def text_of(key):
-        if key is None:
-            return default
-        return key if schemas is None else schemas[key]
-
-    def decode(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        trees = Schemas(text_of)  # kept for the task
-        for payload, keys in batches:
-            values, failed = decode_batch(payload, keys, trees, slots)
-            yield pa.StructArray.from_arrays(
-                [pa.array(failed), *values], names=[f.name for f in returns]
-            )
-
-    return F.arrow_udf(decode, returnType=returns).asNondeterministic()
-
-
-def slot_describer(paths):
-    """For ``mapInArrow`` over ``schema_json``: the distinct slots each path can end at."""
-
-    def describe(batches):
-        seen = set()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                root = parse_or_none(text)
-                if root:
-                    for i, (path, wanted) in enumerate(paths):
-                        seen.update((i, s) for s in slots_for(root, path, wanted))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([i for i, _ in seen], pa.int32()),
-                pa.array([s.to_json() for _, s in seen], pa.string()),
-            ],
-            names=["path", "slot"],
-        )
-
-    return describe

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.functions.avro_batch import make_decoder, slot_describer
+from sluicegate.functions.avro_udf import make_decoder, slot_describer
 from sluicegate.functions.avro_types import Slot, parse, parse_or_none, slots_for, spark_type
 from sluicegate.functions.errors import (
     DECODE_FAILED,

@@ -8,8 +8,10 @@ from avro_encode import encode, long, plain, records, values
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from sluicegate.functions.avro_batch import Batch, Schemas, decode_batch
+from sluicegate.functions import avro_batch, avro_udf
+from sluicegate.functions.avro_batch import Batch, value_end
 from sluicegate.functions.avro_types import Slot, parse, shape, slots_for, spark_type
+from sluicegate.functions.avro_udf import Schemas, decode_batch
 
 SLOW = settings(max_examples=150, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -54,6 +56,26 @@ def cases(draw):
     return schema, draw(st.lists(values(schema), min_size=1, max_size=5))
 
 
+@pytest.fixture(params=[0, 16, 10**9], ids=["step", "mixed", "scan"], autouse=True)
+def few_rows(request, monkeypatch):
+    """Every test with array elements found step by step, by scan, and by either."""
+    monkeypatch.setattr(avro_batch, "FEW_ROWS", request.param)
+
+
+@SLOW
+@given(cases(), st.lists(st.binary(max_size=30), max_size=8), st.booleans())
+def test_one_row_ends_where_many_do(case, garbage, sized):
+    schema, rows = case
+    node = parse(json.dumps(schema))
+    bodies = [encode(schema, r, sized) for r in rows]
+    bodies += garbage + [b[: len(b) * 2 // 3] + g for b, g in zip(bodies, garbage)]
+    batch = Batch(pa.array(bodies, pa.binary()))
+    _, after = batch.own(node, False, *batch.spans)
+    view = memoryview(batch.bytes)
+    alone = [value_end(node, view, int(a), int(b), 0) for a, b in zip(*batch.spans)]
+    assert alone == [-1 if a == batch.fail else a for a in after.tolist()]
+
+
 @SLOW
 @given(cases(), st.booleans())
 def test_roundtrip(case, sized):
@@ -195,9 +217,7 @@ def test_rows_of_several_schemas_and_null_payloads():
 
 
 def test_large_batches_are_read_in_pieces(monkeypatch):
-    import sluicegate.functions.avro_batch as module
-
-    monkeypatch.setattr(module, "PIECE_BYTES", 10)
+    monkeypatch.setattr(avro_udf, "PIECE_BYTES", 10)
     schema = {"type": "record", "name": "R", "fields": [{"name": "s", "type": "string"}]}
     texts = ["x" * (i % 30) for i in range(200)]
     assert decode(schema, [long(len(t)) + t.encode() for t in texts], "s") == ([texts], [False] * 200)
