@@ -7,8 +7,6 @@ the position ``fail``, which lies behind every row end and stays there: later st
 read nothing for it, and the other rows are not affected.
 """
 
-from decimal import Decimal
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql.pandas.types import to_arrow_type
@@ -376,17 +374,30 @@ class Batch:
         return self.binary_or_decimal(node, want, pos, size, after)
 
     def binary_or_decimal(self, node, want, start, size, pos):
-        array = self.spans_of(start, size, pa.binary()) if want else None
-        if not want or not node.is_decimal:
-            return array, pos
-        values = []
-        for i, raw in enumerate(array.to_pylist()):
-            number = int.from_bytes(raw, "big", signed=True)
-            if abs(number) >= 10**node.precision:
-                number, pos[i] = 0, self.fail
-            digits = tuple(map(int, str(abs(number))))
-            values.append(Decimal((int(number < 0), digits, -node.scale)))
-        return pa.array(values, arrow_type(node)), pos
+        if want and node.is_decimal:
+            return self.decimals(node, start, size, pos)
+        return self.spans_of(start, size, pa.binary()) if want else None, pos
+
+    def decimals(self, node, start, size, pos):
+        """Big-endian numbers of any width, as the 16 little-endian bytes Arrow keeps."""
+        negative = (size > 0) & (self.bytes[start] >= 0x80)
+        number = np.where(negative, 0xFF, 0).astype(np.uint8).repeat(16).reshape(-1, 16)
+        for i in range(16):
+            rows = np.flatnonzero(size > i)
+            number[rows, i] = self.bytes[start[rows] + size[rows] - 1 - i]
+        low, high = number.view("<u8")[:, 0], number.view("<i8")[:, 1]
+        fits = (high < 0) == negative
+        for row in np.flatnonzero(size > 16):
+            extra = self.bytes[start[row] : start[row] + size[row] - 16]
+            fits[row] &= (extra == (0xFF if negative[row] else 0)).all()
+        limit = 10**node.precision
+        for bound, order in ((limit, np.less), (-limit, np.greater)):
+            top, rest = bound >> 64, np.uint64(bound & 0xFFFFFFFFFFFFFFFF)
+            fits &= order(high, top) | ((high == top) & order(low, rest))
+        number[~fits] = 0
+        buffers = [None, pa.py_buffer(np.ascontiguousarray(number))]
+        value = pa.Array.from_buffers(arrow_type(node), len(size), buffers)
+        return value, np.where(fits, pos, self.fail)
 
     def read_string(self, node, want, pos, end):
         size, start = self.varint(pos, end)

@@ -302,3 +302,33 @@ def test_decimal_beyond_its_precision_fails():
     schema = {"type": "record", "name": "R", "fields": [
         {"name": "d", "type": {"type": "bytes", "logicalType": "decimal", "precision": 2, "scale": 0}}]}
     assert decode(schema, [long(1) + b"\x63", long(1) + b"\x64"], "d")[1] == [False, True]
+
+
+@SLOW
+@given(
+    st.lists(st.tuples(st.integers(-(10**40), 10**40), st.integers(0, 3)), min_size=1, max_size=20),
+    st.integers(1, 38),
+    st.booleans(),
+)
+def test_decimals(numbers, precision, fixed):
+    """Numbers of every width, padded with sign bytes or not."""
+    kind = {"type": "bytes", "logicalType": "decimal", "precision": precision, "scale": 0}
+    if fixed:
+        kind |= {"type": "fixed", "name": "F", "size": 20}
+    schema = {"type": "record", "name": "R", "fields": [{"name": "d", "type": kind}]}
+    bodies = []
+    for number, padding in numbers:
+        size = 20 if fixed else (number.bit_length() + 8) // 8 + padding * 6
+        raw = number.to_bytes(size, "big", signed=True)
+        bodies.append(raw if fixed else long(size) + raw)
+    found, failed = decode(schema, bodies, "d")
+    fits = [abs(n) < 10**precision for n, _ in numbers]
+    assert failed == [not f for f in fits]
+    assert [int(v) for v, f in zip(found[0], fits) if f] == [n for (n, _), f in zip(numbers, fits) if f]
+
+
+def test_decimal_of_no_bytes_is_zero():
+    kind = {"type": "bytes", "logicalType": "decimal", "precision": 5, "scale": 2}
+    schema = {"type": "record", "name": "R", "fields": [{"name": "d", "type": kind}]}
+    found, failed = decode(schema, [long(0)], "d")
+    assert (str(found[0][0]), failed) == ("0.00", [False])
