@@ -49,6 +49,7 @@ class RouterConfig:
     acks: str = "all"
     max_request_size: int = 10485760
     min_partitions: int = 0
+    max_records_per_partition: int = 0
     max_offsets_per_trigger: int = 0
     checkpoint: str = ""
 
@@ -91,7 +92,7 @@ class RouterConfig:
         for variable, name in ENVIRONMENT.items():
             if env.get(variable):
                 text = env[variable]
-                given[name] = tuple(text.split(",")) if types[name] is tuple else text
+                given[name] = tuple(text.split(",")) if types[name] is tuple else types[name](text)
         return replace(base, **given)
 
 
@@ -111,6 +112,13 @@ ENVIRONMENT = {
     "OUTPUT_KAFKA_ACKS": "acks",
 }
 
+# Environment variables for the size of reads, which the scripts leave to Spark's defaults.
+ENVIRONMENT |= {
+    "MIN_PARTITIONS": "min_partitions",
+    "MAX_RECORDS_PER_PARTITION": "max_records_per_partition",
+    "MAX_OFFSETS_PER_TRIGGER": "max_offsets_per_trigger",
+}
+
 
 def check_json(name, text):
     """A schema given as text must be JSON before the job starts."""

@@ -264,7 +264,8 @@ def q_decode_large_registry(spark, sf_dir):
 
 
 def q_route_first(spark, sf_dir):
-    return buckets(spark, sf_dir)
+    """The rules as a JSON object, in the order of its keys."""
+    return buckets(spark, sf_dir, rules=json.dumps(dict(fx.RULES)))
 
 
 def q_route_last(spark, sf_dir):

@@ -3,7 +3,10 @@
 
 def source_options(config):
     """Options of the Kafka source.  Headers are always read; a start position counts only
-    for a query without a checkpoint."""
+    for a query without a checkpoint.
+
+    By default a Kafka partition is one task, however many messages it holds.  The minimum
+    number of partitions and the maximum of records per partition split large ones."""
     options = {
         "kafka.bootstrap.servers": config.bootstrap,
         "subscribe": ",".join(config.input_topics),
@@ -11,11 +14,12 @@ def source_options(config):
         "failOnDataLoss": "false",
         "includeHeaders": "true",
     }
-    if config.min_partitions:
-        options["minPartitions"] = str(config.min_partitions)
-    if config.max_offsets_per_trigger:
-        options["maxOffsetsPerTrigger"] = str(config.max_offsets_per_trigger)
-    return options
+    sizes = {
+        "minPartitions": config.min_partitions,
+        "maxRecordsPerPartition": config.max_records_per_partition,
+        "maxOffsetsPerTrigger": config.max_offsets_per_trigger,
+    }
+    return options | {name: str(size) for name, size in sizes.items() if size}
 
 
 def sink_options(config):

@@ -139,8 +139,9 @@ def test_only_subscribed_topics(spark, events):
 
 def test_kafka_options():
     config = RouterConfig(
-        bootstrap="b:9092", input_topics=("x", "y"), min_partitions=64, max_offsets_per_trigger=10
-    )
+        bootstrap="b:9092", input_topics=("x", "y"), min_partitions=64,
+        max_records_per_partition=1000, max_offsets_per_trigger=10,
+    )
     assert source_options(config) == {
         "kafka.bootstrap.servers": "b:9092",
         "subscribe": "x,y",
@@ -148,6 +149,7 @@ def test_kafka_options():
         "failOnDataLoss": "false",
         "includeHeaders": "true",
         "minPartitions": "64",
+        "maxRecordsPerPartition": "1000",
         "maxOffsetsPerTrigger": "10",
     }
     assert "minPartitions" not in source_options(RouterConfig())
@@ -174,6 +176,7 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 def test_job_settings():
     env = {"ROUTER_VARIANT": "reader", "INPUT_TOPICS": "a,b"}
     assert job.settings(env).match == "last"
+    assert job.settings({"MIN_PARTITIONS": "64"}).min_partitions == 64
     assert job.settings({"ROUTER_VARIANT": "message"}).anchored
     with pytest.raises(ValueError, match="ROUTER_VARIANT"):
         job.settings({"ROUTER_VARIANT": "other"})
