@@ -13,8 +13,9 @@ from sluicegate.config import check_json
 MAX_BROADCAST_BYTES = 16 << 20
 MAX_BROADCAST_SCHEMAS = 20_000
 
-# Copies of each schema in that join: messages of one schema spread over this many tasks.
-SALTS = 32
+# In that join the messages of one schema are spread over as many tasks as there are shuffle
+# partitions, each with its own copy of the schema, as long as all copies stay within this.
+MAX_COPIED_BYTES = 64 << 30
 COORDINATES = ("topic", "partition", "offset")
 
 SCHEMA_COLUMNS = "subject string, version int, schema_id bigint, schema_json string"
@@ -54,10 +55,12 @@ def resolve_schema(spark, schemas, config):
 class Registry:
     """A schema table prepared for decoding: one row per id, and its size checked.
 
-    ``texts`` maps id to schema if the table may be broadcast, else it is ``None``."""
+    ``texts`` maps id to schema if the table may be broadcast, else it is ``None`` and
+    ``copies`` says how often each schema goes into the join."""
 
     table: DataFrame  # schema_id, schema_json
     texts: dict | None
+    copies: int = 1
 
     @classmethod
     def load(
@@ -72,7 +75,8 @@ class Registry:
         newest = F.max_by("schema_json", F.struct("version", "subject")).alias("schema_json")
         table = schemas.groupBy("schema_id").agg(newest)
         if size.n > max_schemas or (size.bytes or 0) > max_bytes:
-            return cls(table, None)
+            partitions = int(schemas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            return cls(table, None, max(1, min(partitions, MAX_COPIED_BYTES // (size.bytes or 1))))
         rows = schemas.select("version", "subject", "schema_id", "schema_json").collect()
         ordered = sorted(rows, key=lambda r: (r.version or 0, r.subject or ""))
         return cls(table, {r.schema_id: r.schema_json for r in ordered})
@@ -82,7 +86,7 @@ def attach_schema(messages, registry):
     """Add ``known`` (null for un-framed messages) and, from a large table, ``schema_json``.
 
     A checked small table is a broadcast join on its ids.  A large one is a salted join:
-    the messages of one schema are spread over ``SALTS`` tasks by their coordinates."""
+    the messages of one schema are spread over many tasks by their coordinates."""
     if registry.texts is not None:
         ids = pa.table({"schema_id": pa.array(registry.texts, pa.int64())})
         ids = messages.sparkSession.createDataFrame(ids).withColumn("known", F.lit(True))
@@ -91,11 +95,11 @@ def attach_schema(messages, registry):
         missing = [c for c in COORDINATES if c not in messages.columns]
         if missing:
             raise ValueError(f"a schema table this large needs the message columns {missing}")
-        salt = F.pmod(F.xxhash64(*COORDINATES), F.lit(SALTS)).cast("int")
+        salt = F.pmod(F.xxhash64(*COORDINATES), F.lit(registry.copies)).cast("int")
         copies = registry.table.select(
             "schema_id",
             "schema_json",
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+            F.explode(F.sequence(F.lit(0), F.lit(registry.copies - 1))).alias("salt"),
             F.lit(True).alias("known"),
         )
         joined = (
