@@ -244,7 +244,21 @@ def slots_for(node, path, wanted=None, walked=()):
     if node.kind == "null" or (path and node.kind not in ("map", "array")):
         return []
     found = type_or_none(node)
-    return [Slot(walked, found, tuple(path))] if found else []
+    return [Slot(walked, found, tuple(path))] if behind(found, path) else []
+
+
+def behind(found, path):
+    """The type Spark finds by applying a path to a value of a type, ``None`` if it cannot."""
+    for step in path:
+        inside = found.elementType if isinstance(found, T.ArrayType) else found
+        if isinstance(inside, T.StructType) and step in inside.names:
+            field = inside[step].dataType
+            found = T.ArrayType(field) if inside is not found else field
+        elif isinstance(found, T.MapType):
+            found = found.valueType
+        else:
+            return None
+    return found
 
 
 def struct_of_union(node):

@@ -1,10 +1,18 @@
 """Avro decoding as a step on messages: one Arrow UDF, typed columns out."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluicegate.functions.avro_types import (
+    Slot,
+    behind,
+    parse,
+    parse_or_none,
+    slots_for,
+    spark_type,
+)
 from sluicegate.functions.avro_udf import make_decoder, slot_describer
-from sluicegate.functions.avro_types import Slot, parse, parse_or_none, slots_for, spark_type
 from sluicegate.functions.errors import (
     DECODE_FAILED,
     NO_DEFAULT_SCHEMA,
@@ -110,6 +118,15 @@ def _slots_of_table(table, default_schema, paths):
     return _bounded([sorted(slots, key=str) for slots in found])
 
 
+def _castable(spark, found, wanted):
+    """Whether Spark can try the cast at all; a field of a type that cannot is null."""
+    try:
+        spark.sql("select null as v").select(F.col("v").cast(found).try_cast(wanted))
+    except AnalysisException:
+        return False
+    return True
+
+
 def _with_fields(messages, ready, call, fields, slots):
     """Turn the decoder's result into the output columns and ``decode_error``."""
     ready = ready.withColumn("decoded", call)
@@ -122,7 +139,11 @@ def _with_fields(messages, ready, call, fields, slots):
             value = F.col(f"decoded.v{next(numbers)}")
             for step in slot.rest:
                 value = value[step]
-            values.append(value if slot.type == wanted else value.try_cast(wanted))
+            reached = behind(slot.type, slot.rest)
+            if reached == wanted:
+                values.append(value)
+            elif _castable(ready.sparkSession, reached, wanted):
+                values.append(value.try_cast(wanted))
         value = F.coalesce(*values) if values else F.lit(None).cast(wanted)
         columns.append(F.when(ok, value).alias(alias))
     error = F.coalesce("schema_error", F.when(F.col("decoded.failed"), DECODE_FAILED))

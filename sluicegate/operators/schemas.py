@@ -45,6 +45,8 @@ def resolve_schema(spark, schemas, config):
         return "inline", config.reader_schema
     if config.reader_schema_file.strip():
         return "file", read_schema_file(spark, config.reader_schema_file)
+    if isinstance(schemas, Registry):
+        raise ValueError("the newest schema of a subject needs the schema table itself")
     newest = latest_schema(schemas, config.subject).head()
     if newest is None:
         raise ValueError(f"no schema registered for subject {config.subject!r}")
@@ -72,8 +74,8 @@ class Registry:
             F.count("*").alias("n"), F.sum(F.octet_length("schema_json")).alias("bytes")
         ).head()
         # An id can be listed under several subjects or versions; the newest entry counts.
-        newest = F.max_by("schema_json", F.struct("version", "subject")).alias("schema_json")
-        table = schemas.groupBy("schema_id").agg(newest)
+        newest = F.max_by("schema_json", F.struct("version", "subject"))
+        table = schemas.groupBy("schema_id").agg(F.coalesce(newest, F.lit("")).alias("schema_json"))
         if size.n > max_schemas or (size.bytes or 0) > max_bytes:
             partitions = int(schemas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             return cls(table, None, max(1, min(partitions, MAX_COPIED_BYTES // (size.bytes or 1))))

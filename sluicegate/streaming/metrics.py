@@ -57,8 +57,8 @@ class RoutingMetrics(StreamingQueryListener):
 
     def totals(self, query, timeout=60):
         """Counts by name so far; for a query that has ended, all of them."""
-        if not query.isActive:
-            self._end(query.id).wait(timeout)
+        if not query.isActive and not self._end(query.id).wait(timeout):
+            raise TimeoutError("the last progress reports of the query have not arrived")
         total = Counter()
         for (query_id, _), row in self.batches.items():
             if query_id == str(query.id):

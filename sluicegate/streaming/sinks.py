@@ -51,13 +51,13 @@ def write_batch(rows, path, batch_id, by=()):
 def persisted(rows):
     """Keep rows that several writes read, so they are decoded once; spills to disk, and a
     lost executor's part is computed again.  Rows kept already stay so."""
-    kept = rows.storageLevel == StorageLevel.NONE
-    if kept:
+    kept_here = rows.storageLevel == StorageLevel.NONE
+    if kept_here:
         rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield rows
     finally:
-        if kept:
+        if kept_here:
             rows.unpersist()
 
 

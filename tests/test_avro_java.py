@@ -66,7 +66,7 @@ def has_map(schema):
     return '"map"' in json.dumps(schema)
 
 
-@settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=40, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(st.data())
 def test_test_encoder_writes_what_the_avro_library_writes(spark, data):
     schema = unique_names(data.draw(records()))

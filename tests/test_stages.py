@@ -216,6 +216,40 @@ def test_path_into_maps_arrays_and_nested_records(spark):
     assert (row.at_k, row.at_z, row.qs, row.deep) == ("v", None, ["x", "y"], "[x, y]")
 
 
+def test_fields_that_cannot_be_reached_or_cast_are_null(spark):
+    texts_ = {"type": "array", "items": "string"}
+    table = schemas(
+        spark,
+        (1, record(a=texts_, n=texts_)),
+        (2, record(a={"type": "map", "values": "long"}, n="boolean")),
+        (3, record(a="string", n="long")),
+    )
+    values = [
+        framed(1, long(1) + b"\x02x" + long(0) + long(0)),
+        framed(2, long(1) + b"\x02q" + long(5) + long(0) + b"\x01"),
+        framed(3, b"\x02x" + long(8)),
+    ]
+    fields = {"at_q": "a.q", "n": ("n", "date"), "m": ("n", "bigint")}
+    for limit in (10, 0):
+        registry = Registry.load(table, max_schemas=limit)
+        rows = decode(split_wire(messages(spark, values)), fields, registry)
+        assert texts(rows, "at_q") == [None, "5", None]
+        assert texts(rows, "m") == [None, 1, 8]
+        assert texts(rows, "n") == [None, None, None]
+        assert texts(rows, "decode_error") == [None, None, None]
+
+
+def test_schema_without_text_fails_its_messages_only(spark):
+    table = schemas(spark, (1, None), (2, record(phone="string")))
+    values = [framed(1, b"\x02a"), framed(2, b"\x02a"), "0261"]
+    for limit in (10, 0):
+        registry = Registry.load(table, max_schemas=limit)
+        split = split_wire(messages(spark, values))
+        rows = decode(split, {"phone": "phone"}, registry, record(phone="string"))
+        assert texts(rows, "phone") == [None, "a", "a"]
+        assert texts(rows, "decode_error") == ["decode_failed", None, None]
+
+
 def test_writer_schema_that_is_no_record_fails(spark):
     table = schemas(spark, (1, '"string"'), (2, "{oops"), (3, '{"type":"nosuch"}'), (4, "[]"))
     values = [framed(i, b"\x02a") for i in (1, 2, 3, 4)]
