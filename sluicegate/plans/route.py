@@ -1,7 +1,5 @@
 """The whole path of a message, as one DataFrame for batch and streaming alike."""
 
-from pyspark.sql import functions as F
-
 from sluicegate.config import RouterConfig
 from sluicegate.operators.classify import classify, to_output
 from sluicegate.operators.decode import decode, decode_with

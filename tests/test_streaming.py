@@ -4,13 +4,19 @@ import json
 
 import pytest
 from helpers import messages, texts
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sluicegate import Registry, RouterConfig, Rules, job, route
 from sluicegate.plans import fixtures as fx
 from sluicegate.session import work_dir
-from sluicegate.sources.kafka import sink_options, source_options
-from sluicegate.sources.tables import from_topics, jdbc_options, message_stream
+from sluicegate.sources.kafka import read_batch, read_stream, sink_options, source_options
+from sluicegate.sources.tables import (
+    from_topics,
+    jdbc_options,
+    message_stream,
+    rules_from_files,
+)
 from sluicegate.streaming.run import route_batches
 from sluicegate.streaming.sinks import (
     message_size,
@@ -235,3 +241,69 @@ def test_stream_with_a_schema_table_too_large_to_broadcast(spark, events, stored
     found = spark.read.parquet(str(tmp_path / "out")).select(COLUMNS)
     assert found.count() == 1000
     assert batch.select(COLUMNS).exceptAll(found).count() == 0
+
+
+def test_kafka_readers_reach_the_connector(spark):
+    """Without the connector Spark says so; with it the plan is built without a broker."""
+    for read in (read_stream, read_batch):
+        try:
+            found = read(spark, RouterConfig())
+        except AnalysisException as e:
+            assert "kafka" in str(e)
+        else:
+            assert "headers" in found.columns
+
+
+def job_env(tmp_path, **more):
+    return {
+        "CHECKPOINT_LOCATION": str(tmp_path / "cp"),
+        "SCHEMAS_PATH": str(tmp_path / "schemas"),
+        "DEFAULT_SCHEMA_STR": fx.SCHEMA_7,
+        **more,
+    }
+
+
+def test_job_from_stream_to_sink(spark, stored, tmp_path, monkeypatch):
+    """The plain job, with a file sink in Kafka's place."""
+    out = str(tmp_path / "out")
+    fx.schemas_table(spark).write.parquet(str(tmp_path / "schemas"))
+    monkeypatch.setattr(
+        job, "to_kafka", lambda rows, config: to_files(rows, out, config.checkpoint, once=True)
+    )
+    job.start(spark, job_env(tmp_path), message_stream(spark, stored)).awaitTermination()
+    found = {r.topic: r["count"] for r in spark.read.parquet(out).groupBy("topic").count().collect()}
+    assert found == {"errors": 410, "route_ru": 177, "route_rest": 413}
+
+
+def test_job_with_tables_in_a_database(spark, stored, tmp_path, monkeypatch):
+    """The job with a rules and a target table, files in the place of both and of Kafka."""
+    out, matched = str(tmp_path / "out"), str(tmp_path / "matched")
+    fx.schemas_table(spark).write.parquet(str(tmp_path / "schemas"))
+    fx.rules_table(spark).write.parquet(str(tmp_path / "rules"))
+    asked = []
+
+    def rules_from_jdbc(spark, **connection):
+        asked.append(connection["table"])
+        return rules_from_files(spark, str(tmp_path / "rules"))
+
+    def append_to_jdbc(rows, **connection):
+        asked.append(connection["table"])
+        rows.write.mode("append").parquet(matched)
+
+    monkeypatch.setattr(job, "rules_from_jdbc", rules_from_jdbc)
+    monkeypatch.setattr(job, "append_to_jdbc", append_to_jdbc)
+    writer = job.batch_writer
+    monkeypatch.setattr(
+        job,
+        "batch_writer",
+        lambda config, env: writer(config, env, sink=lambda rows, c: write_batch(rows, out, 0)),
+    )
+    env = job_env(
+        tmp_path, MSSQL_JDBC_URL="jdbc:x", MSSQL_RULES_TABLE="r", MSSQL_TARGET_TABLE="t"
+    )
+    query = job.start(spark, env, message_stream(spark, stored))
+    query.processAllAvailable()
+    query.stop()
+    assert set(asked) == {"r", "t"}
+    assert spark.read.parquet(out).count() == 1000
+    assert spark.read.parquet(matched).count() == 590
