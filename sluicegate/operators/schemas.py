@@ -70,9 +70,9 @@ class Registry:
     ):
         if isinstance(schemas, cls):
             return schemas
-        size = schemas.agg(
+        [size] = schemas.agg(
             F.count("*").alias("n"), F.sum(F.octet_length("schema_json")).alias("bytes")
-        ).head()
+        ).collect()
         # An id can be listed under several subjects or versions; the newest entry counts.
         newest = F.max_by("schema_json", F.struct("version", "subject"))
         table = schemas.groupBy("schema_id").agg(F.coalesce(newest, F.lit("")).alias("schema_json"))

@@ -108,12 +108,12 @@ def raw_messages(events):
 def varint(number, size):
     """Avro encoding of a non-negative whole number in exactly ``size`` bytes (7 bits each)."""
     zigzag = F.shiftleft(number.cast("bigint"), 1)
-    parts = []
+    digits = F.lit(0).cast("bigint")
     for i in range(size):
         byte = F.shiftright(zigzag, 7 * i).bitwiseAND(F.lit(0x7F))
         byte = byte.bitwiseOR(F.lit(0x80)) if i < size - 1 else byte
-        parts.append(F.unhex(F.lpad(F.hex(byte), 2, "0")))
-    return F.concat(*parts)
+        digits = digits.bitwiseOR(F.shiftleft(byte.cast("bigint"), 8 * (size - 1 - i)))
+    return F.unhex(F.lpad(F.hex(digits), 2 * size, "0"))
 
 
 def framed(schema_id, body):
