@@ -289,7 +289,7 @@ class Batch:
 
     def walk_union(self, node, wanted, want, pos, end):
         index, pos = self.varint(pos, end)
-        index = np.where(pos == self.fail, -1, index)
+        index[pos == self.fail] = -1
         out = np.full(len(pos), self.fail)  # where the branch number is none of the union's
         parts = {}  # by slot, and by member for the union's own value
         for i, member in enumerate(node.members):
@@ -297,7 +297,10 @@ class Batch:
             if not rows.size:
                 continue
             whole = [((), OWN)] * (want and member.kind != "null")
-            found, out[rows] = self.take(member, wanted + whole, pos[rows], end[rows])
+            if rows.size == len(pos):
+                found, out = self.take(member, wanted + whole, pos, end)
+            else:
+                found, out[rows] = self.take(member, wanted + whole, pos[rows], end[rows])
             for slot, array in found.items():
                 parts.setdefault(member if slot is OWN else slot, []).append((rows, array))
         value = self.union_value(node, parts, len(pos)) if want else None

@@ -68,6 +68,12 @@ def record_fields(schema):
     return {f.name: (f.name, f.dataType) for f in found}
 
 
+def as_record(fields):
+    """Decoded fields together as one struct, null where nothing could be decoded."""
+    readable = F.col("wire_error").isNull() & F.col("decode_error").isNull()
+    return F.when(readable, F.struct(*fields))
+
+
 def _body():
     """The payload, cut from the value only on its way to Python: as a column it would be
     a second copy of every message in the rows that wait for the decoder."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sluicegate.config import RouterConfig
 from sluicegate.functions.wire import wire_info
 from sluicegate.operators.classify import rejected_messages, valid_messages
-from sluicegate.operators.decode import decode, decode_with, record_fields
+from sluicegate.operators.decode import as_record, decode, decode_with, record_fields
 from sluicegate.operators.rules import Rules
 from sluicegate.operators.schemas import (
     Registry,
@@ -194,8 +194,10 @@ def q_decode_single_schema(spark, sf_dir):
 
 
 def q_decode_full(spark, sf_dir):
-    fields = record_fields(fx.SCHEMA_7)
-    return decoded(spark, sf_dir, fields).select("event_id", *fields)
+    """The whole record as one struct, here flattened again."""
+    fields, registry = record_fields(fx.SCHEMA_7), Registry.load(fx.schemas_table(spark))
+    rows = decode(split_wire(messages(spark, sf_dir)), fields, registry, fx.SCHEMA_7)
+    return rows.select(event_id(), as_record(fields).alias("record")).select("event_id", "record.*")
 
 
 def enveloped(text):
