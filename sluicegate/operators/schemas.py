@@ -15,7 +15,8 @@ MAX_BROADCAST_SCHEMAS = 20_000
 
 # In that join the messages of one schema are spread over as many tasks as there are shuffle
 # partitions, each with its own copy of the schema, as long as all copies stay within this.
-MAX_COPIED_BYTES = 64 << 30
+# Adaptive execution splits a hot schema further; micro-batches may want fewer copies.
+MAX_COPIED_BYTES = 8 << 30
 COORDINATES = ("topic", "partition", "offset")
 
 SCHEMA_COLUMNS = "subject string, version int, schema_id bigint, schema_json string"
@@ -66,7 +67,11 @@ class Registry:
 
     @classmethod
     def load(
-        cls, schemas, max_bytes=MAX_BROADCAST_BYTES, max_schemas=MAX_BROADCAST_SCHEMAS
+        cls,
+        schemas,
+        max_bytes=MAX_BROADCAST_BYTES,
+        max_schemas=MAX_BROADCAST_SCHEMAS,
+        max_copied_bytes=MAX_COPIED_BYTES,
     ):
         if isinstance(schemas, cls):
             return schemas
@@ -78,7 +83,7 @@ class Registry:
         table = schemas.groupBy("schema_id").agg(F.coalesce(newest, F.lit("")).alias("schema_json"))
         if size.n > max_schemas or (size.bytes or 0) > max_bytes:
             partitions = int(schemas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            return cls(table, None, max(1, min(partitions, MAX_COPIED_BYTES // (size.bytes or 1))))
+            return cls(table, None, max(1, min(partitions, max_copied_bytes // (size.bytes or 1))))
         rows = schemas.select("version", "subject", "schema_id", "schema_json").collect()
         ordered = sorted(rows, key=lambda r: (r.version or 0, r.subject or ""))
         return cls(table, {r.schema_id: r.schema_json for r in ordered})

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from sluicegate import Registry, RouterConfig, Rules, route
 from sluicegate.operators import rules as rule_steps
-from sluicegate.operators import schemas as schema_steps
 from sluicegate.operators.decode import decode, decode_with, record_fields
 from sluicegate.operators.rules import apply_rules
 from sluicegate.operators.schemas import attach_schema, latest_schema, resolve_schema
@@ -145,13 +144,11 @@ def test_large_registry_gives_the_same_answers(spark, events):
     assert small.select(columns).exceptAll(large.select(columns)).count() == 0
 
 
-def test_copies_of_a_large_registry_follow_the_shuffle_up_to_a_bound(spark, monkeypatch):
+def test_copies_of_a_large_registry_follow_the_shuffle_up_to_a_bound(spark):
     table = fx.schemas_table(spark)
     assert Registry.load(table, max_schemas=0).copies == 8
-    monkeypatch.setattr(schema_steps, "MAX_COPIED_BYTES", 3 * 300)
-    assert 1 <= Registry.load(table, max_schemas=0).copies < 8
-    monkeypatch.setattr(schema_steps, "MAX_COPIED_BYTES", 0)
-    one = Registry.load(table, max_schemas=0)
+    assert 1 <= Registry.load(table, max_schemas=0, max_copied_bytes=900).copies < 8
+    one = Registry.load(table, max_schemas=0, max_copied_bytes=0)
     assert one.copies == 1
     split = split_wire(messages(spark, ["000000000702610200", "00FFFFFFFE00"]))
     assert texts(attach_schema(split, one), "known") == [True, False]
