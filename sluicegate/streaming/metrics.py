@@ -12,7 +12,7 @@ OBSERVATION = "routing"
 
 
 def observe_routing(routed, topics):
-    """Count all messages, those per topic, and those per error code."""
+    """Count all messages, those per topic, and those per error code (not error text)."""
     counts = [F.count(F.lit(1)).alias("total")]
     counts += [F.count_if(F.col("topic") == t).alias(f"topic_{i}") for i, t in enumerate(topics)]
     counts += [F.count_if(F.col("error") == c).alias(c) for c in CODES]
