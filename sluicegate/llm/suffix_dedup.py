@@ -30,6 +30,7 @@ from sluicegate.llm.suffix_sort import BASE, BASE_INVERSE, Hashed, merge_sorted
 GRAM = 32
 BLOCK = 1 << 19  # windows looked at together
 MOST = 4096
+BROADCAST_ROWS = 1_000_000  # 8 bytes each
 
 
 def powers(n):
@@ -140,6 +141,18 @@ def with_texts(docs, wanted):
     The segments are the side that is hashed: a few small rows for each text."""
     lists = wanted.groupBy("row").agg(F.collect_list(F.struct("place", "key", "sole")).alias("_s"))
     joined = docs.join(lists.hint("shuffle_hash"), docs["_row"] == lists["row"])
+    return selected(joined)
+
+
+def with_few_texts(docs, wanted):
+    """The same where segments of few documents are wanted: only their texts are shuffled."""
+    rows = wanted.select(F.col("row").alias("_few")).distinct()
+    if rows.count() <= BROADCAST_ROWS:
+        docs = docs.join(F.broadcast(rows), docs["_row"] == rows["_few"], "left_semi")
+    return with_texts(docs, wanted)
+
+
+def selected(joined):
     return joined.select("_row", "_text", "_s", "_id")  # _id: the exchange is shared, see below
 
 
@@ -192,7 +205,7 @@ def single_windows(docs, wanted, length):
                         ["row", "start", "sole", "window"],
                     )
 
-    return with_texts(docs, wanted).mapInArrow(
+    return with_few_texts(docs, wanted).mapInArrow(
         cut, "row bigint, start bigint, sole boolean, window binary"
     )
 
