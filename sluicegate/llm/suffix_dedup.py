@@ -377,7 +377,9 @@ def repeated_spans(docs, length=400, doc_id="doc_id", text="text", most=MOST):
     # all three columns go into both joins with the texts, so one exchange serves both
     keyed = with_rows(docs, doc_id, text)
     segments_ = segment_rows(keyed, length)
+    # stored, so that both sides of the join are plain exchanges and a hot key can be split
     common = segments_.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    common = checkpointed(common)
     found = checkpointed(segments_.join(common, "key", "left_semi"))
     kinds = found.groupBy("key", "digest").agg(
         F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one")
