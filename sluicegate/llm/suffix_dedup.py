@@ -381,8 +381,10 @@ def repeated_spans(docs, length=400, doc_id="doc_id", text="text", most=MOST):
     common = segments_.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     common = checkpointed(common)
     found = checkpointed(segments_.join(common, "key", "left_semi"))
-    kinds = found.groupBy("key", "digest").agg(
-        F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one")
+    kinds = checkpointed(  # stored for the same reason
+        found.groupBy("key", "digest").agg(
+            F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one")
+        )
     )
     shared = kinds.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
     meeting = checkpointed(
