@@ -5,6 +5,7 @@ of a text are the ids of its words in order.  Words made only of common Latin le
 ASCII signs, whose lower case and normal form do not depend on context, are encoded once and
 remembered; any text with other characters goes to the library as it is."""
 
+import gc
 import os
 import re
 
@@ -13,7 +14,7 @@ import numpy as np
 #: Characters for which Python and the library agree on lower case, normal form and classes.
 PLAIN = re.compile("[\t\n\r -~¡-¬®-ÿ]*")
 SPACE = " \t\n\r"
-WORDS = 700_000  # a cache is emptied at this size; ids do not depend on it
+WORDS = 1_000_000  # a cache is emptied at this size; ids do not depend on it
 
 
 class WordIds:
@@ -73,6 +74,15 @@ class WordIds:
 
     def encode(self, texts):
         """The ids of each text as bytes."""
+        collects = gc.isenabled()
+        gc.disable()  # nothing here has cycles, and a collection walks the whole cache
+        try:
+            return self._ids(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _ids(self, texts):
         split, other = [], {}
         for i, text in enumerate(texts):
             if PLAIN.fullmatch(text) and "<|" not in text:
@@ -91,7 +101,7 @@ class WordIds:
                     new = set().union(*part)
                 self._learn(new)
             known = self.words
-            out.extend(b"".join([known[w] for w in words]) for words in part)
+            out.extend(b"".join(map(known.__getitem__, words)) for words in part)
         for (i, _), ids in zip(other.items(), self._encode(list(other.values()))):
             out[i] = ids
         return out

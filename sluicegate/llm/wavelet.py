@@ -33,13 +33,13 @@ def build(ids, documents, lengths, planes=16, block_bits=BLOCK_BITS):
     blocks, ones, zeros = [], [], []
     now = np.ascontiguousarray(ids)
     for plane in range(planes - 1, -1, -1):
-        bits = (now >> plane) & 1 == 1
+        bits = (now & now.dtype.type(1 << plane)).astype(bool)
         for start in range(0, len(bits), block_bits):
             part = bits[start : start + block_bits]
             blocks.append(pack(np.packbits(part, bitorder="little").tobytes()))
             ones.append(np.count_nonzero(part))
         if plane:
-            now = np.concatenate([now[~bits], now[bits]])
+            now = np.concatenate([now.compress(~bits), now.compress(bits)])
         zeros.append(len(bits) - np.count_nonzero(bits))
     per_plane = len(blocks) // planes
     before = np.zeros((planes, per_plane), "<u8")
