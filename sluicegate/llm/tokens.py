@@ -22,11 +22,20 @@ class WordIds:
 
     def __init__(self, path):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary need more than 16 bits")
+        # for words that are cut and in lower case already: the same model with less before it
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(1 << 16, bool)  # tokens that end a word
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -46,7 +55,7 @@ class WordIds:
         out = []
         for start in range(0, len(words), step):
             part = words[start : start + step]
-            (found,) = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            (found,) = self.plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)
             ids = np.array(found.ids, "<u2")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(part):  # a vocabulary that doesn't mark word ends
@@ -90,18 +99,15 @@ class WordIds:
             else:
                 split.append(())
                 other[i] = text
-        out = []
-        step = 512
-        for start in range(0, len(split), step):
-            part = split[start : start + step]
-            new = set().union(*part) - self.words.keys()
-            if new:
-                if len(self.words) + len(new) > WORDS:
-                    self.words.clear()
-                    new = set().union(*part)
-                self._learn(new)
-            known = self.words
-            out.extend(b"".join(map(known.__getitem__, words)) for words in part)
+        used = set().union(*split)
+        new = used - self.words.keys()
+        if len(self.words) + len(new) > WORDS:
+            self.words.clear()
+            new = used
+        self._learn(new)
+        # a small dictionary of the words at hand is looked up faster than the large one
+        known = dict(zip(used, map(self.words.__getitem__, used)))
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
         for (i, _), ids in zip(other.items(), self._encode(list(other.values()))):
             out[i] = ids
         return out
@@ -119,7 +125,7 @@ def word_ids(path):
     return home.encoder
 
 
-def text_slices(texts, characters=4_000_000):
+def text_slices(texts, characters=3_000_000):
     """Index ranges of about so many characters, so that a batch of long texts needs little memory."""
     start, held = 0, 0
     for i, text in enumerate(texts):
