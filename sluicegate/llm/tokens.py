@@ -6,8 +6,10 @@ ASCII signs, whose lower case and normal form do not depend on context, are enco
 remembered; any text with other characters goes to the library as it is."""
 
 import gc
+import itertools
 import os
 import re
+from collections import defaultdict
 
 import numpy as np
 
@@ -92,24 +94,24 @@ class WordIds:
                 gc.enable()
 
     def _ids(self, texts):
-        split, other = [], {}
+        # words get numbers in their order of appearance: one look at a dictionary for each
+        number = defaultdict(itertools.count().__next__)
+        coded, other, look = [], {}, number.__getitem__
         for i, text in enumerate(texts):
             if PLAIN.fullmatch(text) and "<|" not in text:
-                split.append(text.lower().split())
+                coded.append(list(map(look, text.lower().split())))
             else:
-                split.append(())
+                coded.append(())
                 other[i] = text
-        used = set().union(*split)
-        new = used - self.words.keys()
+        new = number.keys() - self.words.keys()
         if len(self.words) + len(new) > WORDS:
             self.words.clear()
-            new = used
+            new = set(number)
         self._learn(new)
-        # a small dictionary of the words at hand is looked up faster than the large one
-        known = dict(zip(used, map(self.words.__getitem__, used)))
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for (i, _), ids in zip(other.items(), self._encode(list(other.values()))):
-            out[i] = ids
+        ids = list(map(self.words.__getitem__, number))
+        out = [b"".join(map(ids.__getitem__, words)) for words in coded]
+        for i, found in zip(other, self._encode(list(other.values()))):
+            out[i] = found
         return out
 
 

@@ -179,8 +179,9 @@ class Reader:
                 )
             back = np.empty_like(ids)
             zeros = int(self.zeros[plane])
-            back[~bits] = ids[:zeros]
-            back[bits] = ids[zeros:] | (1 << (self.planes - 1 - plane))
+            # places are given as numbers: several times faster than by masks
+            back[np.flatnonzero(~bits)] = ids[:zeros]
+            back[np.flatnonzero(bits)] = ids[zeros:] | (1 << (self.planes - 1 - plane))
             ids = back
         return ids
 
