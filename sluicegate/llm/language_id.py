@@ -210,8 +210,9 @@ def fit(labelled, doc_id="doc_id", text="text", label="lang", documents=300, spa
     return network.train(batch, wanted)
 
 
-def identify(docs, network, text="text"):
-    """Adds lang_pred and score to ``docs``; only the text is looked at."""
+def identify(docs, network, text="text", label="lang_pred", score="score"):
+    """Adds ``label`` and ``score`` to ``docs`` (in place of columns so named); only the text is read."""
+    docs = docs.drop(label, score)
     names = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
@@ -223,10 +224,10 @@ def identify(docs, network, text="text"):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([k for k, _ in found], pa.string()),
                  pa.array([s for _, s in found], pa.float64())],
-                [*names, "lang_pred", "score"],
+                [*names, label, score],
             )
 
-    return docs.mapInArrow(predict, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(predict, f"{schema}, `{label}` string, `{score}` double")
 
 
 def identify_documents(docs, doc_id="doc_id", text="text", label="lang", **settings):

@@ -330,7 +330,7 @@ def sorted_repeats(rows, length):
     """row, start, end of repeats among the bodies of each key."""
 
     def find(batches):
-        for table in whole_groups(batches, ["key"], 20_000):
+        for table in whole_groups(batches, ["key"], 5_000):
             keys = table.column("key").to_numpy()
             places = table.column("place").to_numpy()
             own = table.column("row").to_numpy()
