@@ -54,6 +54,27 @@ def numbered(frame, keys, order, name, salts):
     )
 
 
+def tidy(work):
+    """``work`` on batches, giving freed memory back to the system at the end of a task.
+
+    Python workers live on from stage to stage, and what one leaves would count for the next."""
+
+    def then_release(batches):
+        try:
+            yield from work(batches)
+        finally:
+            import ctypes
+            import gc
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+            if trim:
+                trim(0)
+
+    return then_release
+
+
 def whole_groups(batches, keys, rows):
     """Tables of at least ``rows`` rows that never split a run of equal ``keys``."""
     held, count = [], 0

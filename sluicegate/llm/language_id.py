@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from sluicegate.llm.common import tidy
 from sluicegate.llm.tokens import text_slices
 
 WINDOW = 256
@@ -227,7 +228,7 @@ def identify(docs, network, text="text", label="lang_pred", score="score"):
                 [*names, label, score],
             )
 
-    return docs.mapInArrow(predict, f"{schema}, `{label}` string, `{score}` double")
+    return docs.mapInArrow(tidy(predict), f"{schema}, `{label}` string, `{score}` double")
 
 
 def identify_documents(docs, doc_id="doc_id", text="text", label="lang", **settings):

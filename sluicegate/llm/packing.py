@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import checkpointed, numbered, partitions
+from sluicegate.llm.common import checkpointed, numbered, partitions, tidy
 from sluicegate.llm.tokens import text_slices, word_ids
 
 
@@ -161,10 +161,11 @@ def pieces(docs, path, capacity=2048, end_id=0, doc_id="doc_id", text="text"):
                     + [pa.array(c, t) for c, t in zip(columns, types)],
                     ["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        encoder.words.clear()  # the worker lives on
 
     wanted = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     return wanted.mapInArrow(
-        cut, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
+        tidy(cut), f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
     )
 
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import checkpointed, whole_groups
+from sluicegate.llm.common import checkpointed, tidy, whole_groups
 
 BLOCKS = (11, 11, 11, 11, 10, 10)
 
@@ -63,7 +63,7 @@ def fingerprints(docs, width=3, doc_id="doc_id", text="text"):
             )
 
     wanted = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return wanted.mapInArrow(compute, f"doc_id {kind}, fingerprint bigint")
+    return wanted.mapInArrow(tidy(compute), f"doc_id {kind}, fingerprint bigint")
 
 
 class Trees:
@@ -168,7 +168,7 @@ def links(prints, radius=3):
         .select("fingerprint", "at.choice", "at.key")
         .repartition("choice", "key")
         .sortWithinPartitions("choice", "key")
-        .mapInArrow(link, "a bigint, b bigint")
+        .mapInArrow(tidy(link), "a bigint, b bigint")
         .distinct()
     )
 

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import checkpointed, row_key, whole_groups
+from sluicegate.llm.common import checkpointed, row_key, tidy, whole_groups
 from sluicegate.llm.suffix_sort import BASE, BASE_INVERSE, Hashed, merge_sorted
 
 GRAM = 32
@@ -131,7 +131,7 @@ def segment_rows(docs, length):
                 )
 
     return docs.select("_row", "_text").mapInArrow(
-        find, "row bigint, place bigint, key bigint, digest bigint"
+        tidy(find), "row bigint, place bigint, key bigint, digest bigint"
     )
 
 
@@ -181,7 +181,7 @@ def bodies(docs, wanted, length):
             yield pa.RecordBatch.from_arrays([pa.array(*x) for x in zip(found, kinds)], names)
 
     return with_texts(docs, wanted).mapInArrow(
-        cut, "key bigint, row bigint, place bigint, sole boolean, body binary"
+        tidy(cut), "key bigint, row bigint, place bigint, sole boolean, body binary"
     )
 
 
@@ -206,7 +206,7 @@ def single_windows(docs, wanted, length):
                     )
 
     return with_few_texts(docs, wanted).mapInArrow(
-        cut, "row bigint, start bigint, sole boolean, window binary"
+        tidy(cut), "row bigint, start bigint, sole boolean, window binary"
     )
 
 
@@ -347,7 +347,7 @@ def sorted_repeats(rows, length):
         rows.select("key", "row", "place", "sole", "body")
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(find, "row bigint, start bigint, end bigint")
+        .mapInArrow(tidy(find), "row bigint, start bigint, end bigint")
     )
 
 
@@ -442,7 +442,7 @@ def removed_repeats(docs, length=400, doc_id="doc_id", text="text"):
 
     found = repeated_spans(docs, length, doc_id, text)
     return found.select("_id", "_text", "_spans", "_row").mapInArrow(
-        judge, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+        tidy(judge), f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     )
 
 
@@ -467,4 +467,4 @@ def without_repeats(docs, length=400, doc_id="doc_id", text="text"):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["_row", "kept"])
 
     found = repeated_spans(docs, length, doc_id, text).where("_spans is not null")
-    return found.select("_row", "_text", "_spans", "_id").mapInArrow(keep, "_row bigint, kept string")
+    return found.select("_row", "_text", "_spans", "_id").mapInArrow(tidy(keep), "_row bigint, kept string")
