@@ -46,6 +46,7 @@ class RouterConfig:
     subject: str = "raw-input-value"
     bootstrap: str = "kafka:9092"
     starting_offsets: str = "latest"
+    fail_on_data_loss: bool = False  # whether offsets that are gone stop the query
     acks: str = "all"
     max_request_size: int = 10485760
     min_partitions: int = 0

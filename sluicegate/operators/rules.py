@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from sluicegate.config import CATCH_ALL
 from sluicegate.functions.rules import first_match, in_order
 
-MAX_RULES = 100_000  # rules are configuration; more than this is a mistake in the table
-
 # Rules per expression.  Spark compiles each pattern once per task; longer lists become
 # several columns, each for the messages the ones before left unmatched, because the JVM
 # does not optimise, and in the end does not accept, generated methods much larger.
@@ -51,11 +49,9 @@ class Rules:
     @classmethod
     def from_table(cls, table):
         """From a table ``ord, pattern, bucket`` as it is now."""
-        rows = table.select("ord", "pattern", "bucket").limit(MAX_RULES + 1).collect()
+        rows = table.select("ord", "pattern", "bucket").collect()  # configuration
         if not rows:
             raise ValueError("the rules table is empty")
-        if len(rows) > MAX_RULES:
-            raise ValueError(f"the rules table has more than {MAX_RULES} rows")
         if any(value is None for r in rows for value in r):
             raise ValueError("the rules table has nulls")
         if len({r.ord for r in rows}) != len(rows):

@@ -79,14 +79,18 @@ class Registry:
             F.count("*").alias("n"), F.sum(F.octet_length("schema_json")).alias("bytes")
         ).collect()
         # An id can be listed under several subjects or versions; the newest entry counts.
-        newest = F.max_by("schema_json", F.struct("version", "subject"))
+        newest = F.max_by("schema_json", F.struct("version", "subject", "schema_json"))
         table = schemas.groupBy("schema_id").agg(F.coalesce(newest, F.lit("")).alias("schema_json"))
         if size.n > max_schemas or (size.bytes or 0) > max_bytes:
             partitions = int(schemas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             return cls(table, None, max(1, min(partitions, max_copied_bytes // (size.bytes or 1))))
         rows = schemas.select("version", "subject", "schema_id", "schema_json").collect()
-        ordered = sorted(rows, key=lambda r: (r.version or 0, r.subject or ""))
-        return cls(table, {r.schema_id: r.schema_json for r in ordered})
+
+        def age(row):  # as Spark orders the struct above: null before any value
+            found = (row.version, row.subject, row.schema_json)
+            return [(v is not None, v) if v is not None else (False,) for v in found]
+
+        return cls(table, {r.schema_id: r.schema_json or "" for r in sorted(rows, key=age)})
 
 
 def attach_schema(messages, registry):

@@ -11,7 +11,7 @@ def source_options(config):
         "kafka.bootstrap.servers": config.bootstrap,
         "subscribe": ",".join(config.input_topics),
         "startingOffsets": config.starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(config.fail_on_data_loss).lower(),
         "includeHeaders": "true",
     }
     sizes = {

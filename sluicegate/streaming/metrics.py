@@ -6,28 +6,32 @@ from collections import Counter
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from sluicegate.functions.errors import CODES
+from sluicegate.functions.errors import CODES, error_text
 
 OBSERVATION = "routing"
 
 
-def observe_routing(routed, topics):
-    """Count all messages, those per topic, and those per error code (not error text)."""
+def observe_routing(routed, topics, style="code"):
+    """Count all messages, those per topic, and those per error code.
+
+    ``style`` is the router's ``error_style``: a code is counted by the text it has there."""
     counts = [F.count(F.lit(1)).alias("total")]
     counts += [F.count_if(F.col("topic") == t).alias(f"topic_{i}") for i, t in enumerate(topics)]
-    counts += [F.count_if(F.col("error") == c).alias(c) for c in CODES]
+    for code in CODES:
+        text = error_text(F.lit(code), F.col("value"), style)
+        counts.append(F.count_if(F.col("error") == text).alias(code))
     return routed.observe(OBSERVATION, *counts)
 
 
 class RoutingMetrics(StreamingQueryListener):
     """Adds up the observed counts of every micro-batch while the ``with`` block runs.
 
-    A batch that is repeated counts once.  Only a dozen numbers per batch are kept."""
+    A batch that is repeated counts once.  Only totals and the last batch's number are kept."""
 
     def __init__(self, spark, topics):
         self.spark = spark
         self.names = {f"topic_{i}": t for i, t in enumerate(topics)}
-        self.batches = {}
+        self.counted = {}  # query: (last batch, totals)
         self.ended = {}
 
     def __enter__(self):
@@ -47,7 +51,10 @@ class RoutingMetrics(StreamingQueryListener):
         progress = event.progress
         if OBSERVATION in progress.observedMetrics:
             row = progress.observedMetrics[OBSERVATION].asDict()
-            self.batches[str(progress.id), progress.batchId] = row
+            last, total = self.counted.get(str(progress.id), (-1, Counter()))
+            if progress.batchId > last:
+                total.update({self.names.get(k, k): v for k, v in row.items()})
+                self.counted[str(progress.id)] = (progress.batchId, total)
 
     def onQueryTerminated(self, event):
         self._end(event.id).set()
@@ -59,8 +66,4 @@ class RoutingMetrics(StreamingQueryListener):
         """Counts by name so far; for a query that has ended, all of them."""
         if not query.isActive and not self._end(query.id).wait(timeout):
             raise TimeoutError("the last progress reports of the query have not arrived")
-        total = Counter()
-        for (query_id, _), row in self.batches.items():
-            if query_id == str(query.id):
-                total.update({self.names.get(k, k): v for k, v in row.items()})
-        return dict(total)
+        return dict(self.counted.get(str(query.id), (-1, {}))[1])

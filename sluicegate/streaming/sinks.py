@@ -42,9 +42,19 @@ def to_batches(stream, step, checkpoint, once=False, name=""):
     return _started(stream.writeStream.foreachBatch(step), checkpoint, once, name)
 
 
+def run_id(rows):
+    """The id of the streaming query that hands out ``rows``; it lasts as long as its checkpoint."""
+    found = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return found or "none"
+
+
 def write_batch(rows, path, batch_id, by=()):
-    """Write one micro-batch to its own folder of ``path``, replacing an earlier attempt."""
-    rows.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch_id={batch_id}")
+    """Write one micro-batch to its own folder of ``path``, replacing an earlier attempt.
+
+    A query with a new checkpoint counts its batches from 0 again, so the folder also holds the
+    query's id: what an earlier query wrote stays."""
+    folder = f"{path}/run={run_id(rows)}/batch_id={batch_id}"
+    rows.write.mode("overwrite").partitionBy(*by).parquet(folder)
 
 
 @contextmanager
@@ -120,7 +130,9 @@ def write_with_fallback(routed, config, write, path, batch_id):
     oversized = size > config.max_request_size
     with persisted(routed):
         write(routed.where(~oversized))
-        write_batch(routed.where(oversized), path, batch_id)
+        rest = routed.where(oversized)
+        if not rest.isEmpty():
+            write_batch(rest, path, batch_id)
 
 
 def append_to_kafka(rows, config):

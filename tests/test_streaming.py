@@ -309,3 +309,53 @@ def test_job_with_tables_in_a_database(spark, stored, tmp_path, monkeypatch):
     assert set(asked) == {"r", "t"}
     assert spark.read.parquet(out).count() == 1000
     assert spark.read.parquet(matched).count() == 590
+
+
+def test_a_new_checkpoint_keeps_what_an_earlier_one_wrote(spark, events, tmp_path):
+    out = str(tmp_path / "out")
+    raw = fx.raw_messages(events)
+    for number, part in enumerate((raw.where("offset < 500"), raw.where("offset >= 500"))):
+        part.write.parquet(str(tmp_path / f"in{number}"))
+        stream = message_stream(spark, str(tmp_path / f"in{number}"))
+        to_batches(
+            stream, lambda rows, i: write_batch(rows, out, i), str(tmp_path / f"cp{number}"), once=True
+        ).awaitTermination()
+    found = spark.read.parquet(out)
+    assert found.count() == raw.count()
+    assert found.select("run").distinct().count() == 2
+
+
+def test_no_fallback_files_without_oversized_messages(spark, events, tmp_path):
+    rows = route(fx.raw_messages(events), fx.schemas_table(spark), fx.RULES, CONFIG)
+    write_with_fallback(rows, CONFIG, lambda r: None, str(tmp_path / "fallback"), 0)
+    assert not (tmp_path / "fallback").exists()
+
+
+@pytest.mark.parametrize("style", ["code", "message", "reader"])
+def test_counts_by_code_in_every_style(spark, events, style):
+    from pyspark.sql import Observation
+
+    from sluicegate.functions.errors import CODES
+    from sluicegate.streaming import metrics
+
+    raw = fx.raw_messages(events)
+    plain = route(raw, fx.schemas_table(spark), fx.RULES, CONFIG)
+    wanted = {r.error: r["count"] for r in plain.groupBy("error").count().collect()}
+    config = RouterConfig(default_schema=fx.SCHEMA_7, error_style=style)
+    rows = metrics.observe_routing(route(raw, fx.schemas_table(spark), fx.RULES, config), [], style)
+    counts = [F.count_if(F.col("error") == metrics.error_text(F.lit(c), F.col("value"), style)).alias(c) for c in CODES]
+    seen = Observation("seen")
+    rows.observe(seen, *counts).write.format("noop").mode("overwrite").save()
+    assert {c: n for c, n in seen.get.items() if n} == {c: n for c, n in wanted.items() if c}
+
+
+def test_small_and_large_registries_agree_on_the_newest_entry(spark):
+    rows = [("s", None, 1, "a"), ("s", -1, 1, "b"), ("s", 2, 2, "x"), ("s", 2, 2, "y"), (None, 2, 2, "z"), ("s", 1, 3, None)]
+    table = spark.createDataFrame(rows, "subject string, version int, schema_id bigint, schema_json string")
+    small, large = Registry.load(table), Registry.load(table, max_schemas=0)
+    assert small.texts == {r.schema_id: r.schema_json for r in large.table.collect()}
+
+
+def test_lost_offsets_can_stop_the_query():
+    assert source_options(CONFIG)["failOnDataLoss"] == "false"
+    assert source_options(RouterConfig(fail_on_data_loss=True))["failOnDataLoss"] == "true"
