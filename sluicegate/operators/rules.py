@@ -1,18 +1,25 @@
 """Routing rules: an ordered list of (pattern, bucket), from text, a list or a table."""
 
 import json
+import math
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sluicegate.config import CATCH_ALL
-from sluicegate.functions.rules import first_match, in_order
+from sluicegate.functions.rules import can_join, first_match, first_match_joined, in_order
 
-# Rules per expression.  Spark compiles each pattern once per task; longer lists become
-# several columns, each for the messages the ones before left unmatched, because the JVM
-# does not optimise, and in the end does not accept, generated methods much larger.
-CASE_RULES = 50
+# Up to so many rules are searched one by one; more are joined into larger patterns, each of
+# about 8 times the root of their number: one search per pattern for a message without a match
+# there, and the searches inside one pattern for the message it matches.
+FEW_RULES = 8
+JOINED_RULES = 64  # at least in one pattern
+JOINED_BYTES = 40_000  # of patterns in one; the JVM's limit for a text constant is 65,535
+
+# Patterns per column.  More become several columns, each for the messages the ones before left
+# unmatched, because the JVM does not optimise generated methods much larger.
+COLUMN_PATTERNS = 16
 
 RULE_COLUMNS = "ord int, pattern string, bucket string"
 
@@ -72,17 +79,40 @@ class Rules:
 
 
 def _usable(spark, patterns):
-    row = spark.sql("select 1")  # literals on one row: evaluated while planning, no job
+    """Whether all are regular expressions; one row of literals, evaluated while planning."""
     try:
-        for some in _chunks(patterns):
-            row.select(F.array(*[F.lit("").rlike(p) for p in some])).head()
+        found = F.transform(F.lit(patterns), lambda p: F.regexp_like(F.lit(""), p))
+        spark.sql("select 1").select(found).head()
     except PySparkException:
         return False
     return True
 
 
-def _chunks(items):
-    return [items[i : i + CASE_RULES] for i in range(0, len(items), CASE_RULES)]
+def _joined(pairs):
+    """The rules in runs: ``(whether they can be joined, rules)``, in order."""
+    most = max(JOINED_RULES, int(8 * math.sqrt(len(pairs))))
+    runs, size = [], 0
+    for pattern, bucket in pairs:
+        joins = can_join(pattern)
+        length = len(pattern.encode()) + 40
+        last = runs[-1] if runs else None
+        if last and last[0] == joins and len(last[1]) < most and size + length <= JOINED_BYTES:
+            last[1].append((pattern, bucket))
+            size += length
+        else:
+            runs.append((joins, [(pattern, bucket)]))
+            size = length
+    return runs
+
+
+def _matches(text, pairs, anchored):
+    """Expressions of which the first that is not null is the bucket."""
+    for joins, some in _joined(pairs):
+        if joins and len(some) > FEW_RULES:
+            yield first_match_joined(text, some, anchored)
+        else:
+            for i in range(0, len(some), FEW_RULES):
+                yield first_match(text, in_order(some[i : i + FEW_RULES], anchored=anchored))
 
 
 def apply_rules(decoded, rules, config):
@@ -92,8 +122,10 @@ def apply_rules(decoded, rules, config):
     text = F.coalesce("route_value", F.lit(""))
     bucket = F.lit(None).cast("string")
     matched = decoded
-    for some in _chunks(in_order(rules.pairs, config.match, config.anchored)):
-        rest = F.when(bucket.isNull(), first_match(text, some)).otherwise(bucket)
+    found = list(_matches(text, in_order(rules.pairs, config.match), config.anchored))
+    for i in range(0, len(found), COLUMN_PATTERNS):
+        some = F.coalesce(*found[i : i + COLUMN_PATTERNS])
+        rest = F.when(bucket.isNull(), some).otherwise(bucket)
         matched = matched.withColumn("bucket", rest)
         bucket = F.col("bucket")
     if config.null_field == "default":

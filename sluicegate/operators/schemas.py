@@ -19,7 +19,7 @@ MAX_BROADCAST_SCHEMAS = 20_000
 MAX_COPIED_BYTES = 8 << 30
 COORDINATES = ("topic", "partition", "offset")
 
-SCHEMA_COLUMNS = "subject string, version int, schema_id bigint, schema_json string"
+SCHEMA_COLUMNS = "subject string, version bigint, schema_id bigint, schema_json string"
 
 
 def latest_schema(schemas, subject=None):

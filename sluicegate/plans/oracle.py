@@ -137,6 +137,12 @@ MANY = (
     "when regexp_matches(coalesce(phone, ''), '^\\+380[0-9]{9}$') "
     "then 'ua' || right(phone, 2) else 'rest' end"
 )
+THOUSAND = (
+    "case when regexp_matches(coalesce(phone, ''), '^\\+7[0-9]{10}$') "
+    "then 'ru' || if(right(phone, 3) < '500', right(phone, 3), '') "
+    "when regexp_matches(coalesce(phone, ''), '^\\+380[0-9]{9}$') "
+    "then 'ua' || if(right(phone, 3) < '500', right(phone, 3), '') else 'rest' end"
+)
 
 ORACLE = {
     "q_wire_split": of_messages(
@@ -148,7 +154,7 @@ ORACLE = {
         "case when s in (6, 7) then 'empty_value' end as wire_error"
     ),
     "q_schema_latest": """
-        select event_type || '-value' as subject, max(event_id)::int as version,
+        select event_type || '-value' as subject, max(event_id) as version,
                max(event_id) + 1000 as schema_id,
                '{"type":"record","name":"E","fields":[{"name":"f'
                  || cast(arg_max(user_id, event_id) as varchar)
@@ -209,6 +215,7 @@ ORACLE = {
     "q_route_null": buckets("case when coalesce(phone, '') = '' then 'blank' else 'rest' end"),
     "q_route_null_default": buckets("case when phone = '' then 'blank' else 'rest' end"),
     "q_route_many_rules": buckets(MANY),
+    "q_route_1000_rules": buckets(THOUSAND),
     "q_no_route": of_messages(
         "event_id, case when error is not null then error "
         f"when {bucket(TEXT, rest='null')} is null then 'no_route_matched' end as error"

@@ -117,7 +117,7 @@ def event_registry(spark, sf_dir):
     field = F.concat(F.lit('{"name":"f'), F.col("user_id").cast("string"), F.lit('","type":"long"}'))
     return events(spark, sf_dir).select(
         F.concat("event_type", F.lit("-value")).alias("subject"),
-        F.col("event_id").cast("int").alias("version"),
+        F.col("event_id").alias("version"),
         (F.col("event_id") + 1000).alias("schema_id"),
         F.concat(F.lit('{"type":"record","name":"E","fields":['), field, F.lit("]}")).alias(
             "schema_json"
@@ -297,6 +297,13 @@ def q_route_many_rules(spark, sf_dir):
     return buckets(spark, sf_dir, rules=[*exact, *fx.RULES])
 
 
+def q_route_1000_rules(spark, sf_dir):
+    """A thousand rules by the last three digits ahead of the usual ones."""
+    exact = [(rf"^\+7\d{{7}}{n:03d}$", f"ru{n:03d}") for n in range(500)]
+    exact += [(rf"^\+380\d{{6}}{n:03d}$", f"ua{n:03d}") for n in range(500)]
+    return buckets(spark, sf_dir, rules=[*exact, *fx.RULES])
+
+
 def q_no_route(spark, sf_dir):
     return routed(spark, sf_dir, WITHOUT_CATCH_ALL).select(event_id(), "error")
 
@@ -516,6 +523,7 @@ QUERIES = {
     "q_route_null": q_route_null,
     "q_route_null_default": q_route_null_default,
     "q_route_many_rules": q_route_many_rules,
+    "q_route_1000_rules": q_route_1000_rules,
     "q_no_route": q_no_route,
     "q_rules_table": q_rules_table,
     "q_rules_refresh": q_rules_refresh,

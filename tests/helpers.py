@@ -20,7 +20,7 @@ def texts(frame, column):
 
 def schemas(spark, *pairs):
     rows = [(fx.SUBJECT, n + 1, i, text) for n, (i, text) in enumerate(pairs)]
-    return spark.createDataFrame(rows, "subject string, version int, schema_id bigint, schema_json string")
+    return spark.createDataFrame(rows, "subject string, version bigint, schema_id bigint, schema_json string")
 
 
 def record(**fields):

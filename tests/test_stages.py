@@ -1,6 +1,7 @@
 """Each stage on hand-written messages."""
 
 import json
+import random
 
 import pytest
 from avro_encode import long
@@ -8,6 +9,7 @@ from helpers import messages, plan, record, schemas, texts
 from pyspark.sql import functions as F
 
 from sluicegate import Registry, RouterConfig, Rules, route
+from sluicegate.functions.rules import can_join
 from sluicegate.operators import rules as rule_steps
 from sluicegate.operators.decode import decode, decode_with, record_fields
 from sluicegate.operators.rules import apply_rules
@@ -82,7 +84,7 @@ def test_unframed_body_that_starts_with_a_zero_byte_reads_as_framed(spark):
 def test_latest_schema_per_subject(spark):
     table = spark.createDataFrame(
         [("a", 1, 1, "x"), ("a", 3, 2, "y"), ("a", 2, 3, "z"), ("b", 1, 4, "w")],
-        "subject string, version int, schema_id bigint, schema_json string",
+        "subject string, version bigint, schema_id bigint, schema_json string",
     )
     found = {r.subject: (r.version, r.schema_id) for r in latest_schema(table).collect()}
     assert found == {"a": (3, 2), "b": (1, 4)}
@@ -309,10 +311,11 @@ def test_table_rules_are_ordered_by_ord(spark):
 CASES = ["+7123", "x+7123", "+380", "", None, "+7123\n"]
 
 
-@pytest.mark.parametrize("limit", [250, 2, 1], ids=["one", "two", "three"])
-def test_matching_modes(spark, monkeypatch, limit):
-    """However many expressions the rules take."""
-    monkeypatch.setattr(rule_steps, "CASE_RULES", limit)
+@pytest.mark.parametrize("few", [8, 2, 1])
+def test_matching_modes(spark, monkeypatch, few):
+    """However many expressions the rules take, and also with joined patterns."""
+    monkeypatch.setattr(rule_steps, "FEW_RULES", few)
+    monkeypatch.setattr(rule_steps, "COLUMN_PATTERNS", few)
     frame = spark.createDataFrame([(t, i) for i, t in enumerate(CASES)], "route_value string, offset int")
     rules = Rules.of([(r"\+7|\+38", "plus"), (r"\d", "digit"), (r"^$", "blank")])
 
@@ -325,6 +328,43 @@ def test_matching_modes(spark, monkeypatch, limit):
     assert found(null_field="default") == ["plus", "plus", "plus", "blank", None, "plus"]
 
 
+TRICKY = [
+    "b+", "^a", "^a|c$", r"\Aab", "^?b", "(a)(b)?", "(?i)AB", r"(a|b)\1", r"\Qa.\E", "(?<x>c)c",
+    "a(?=c)", "(?<!a)b", "[(?]", r"\(\?", "a{2}", "", "$^", r"\.", "(?:a|ab)(?:c|bcd)", "ж", "\n",
+]
+SUBJECTS = [None, "", "a", "ab", "abcd", "bb", "aa", "AB", "a.", "cc", "ac", "cb", "(?", "xж", "a\nb", "z"]
+
+
+@pytest.mark.parametrize("match", ["first", "last"])
+@pytest.mark.parametrize("anchored", [False, True])
+def test_joined_patterns_match_as_the_rules_one_by_one(spark, monkeypatch, match, anchored):
+    frame = spark.createDataFrame([(t, i) for i, t in enumerate(SUBJECTS)], "route_value string, offset int")
+    config = RouterConfig(match=match, anchored=anchored)
+    for seed in range(6):
+        chosen = random.Random(seed).sample(TRICKY, 14)
+        rules = Rules.of([(p, f"b{i % 9}") for i, p in enumerate(chosen)]).check(spark)
+        found = {}
+        for few in (0, 8, 100):
+            monkeypatch.setattr(rule_steps, "FEW_RULES", max(few, 1))
+            monkeypatch.setattr(rule_steps, "JOINED_RULES", 5 if few == 8 else 64)
+            found[few] = texts(apply_rules(frame, rules, config), "bucket")
+        assert found[0] == found[8] == found[100]
+
+
+def test_patterns_joined_only_where_they_keep_their_meaning():
+    apart = {"(?i)AB", r"(a|b)\1", r"\Qa.\E", "(?<x>c)c", "[(?]"}
+    assert {p for p in TRICKY if not can_join(p)} == apart
+
+
+def test_many_rules_make_few_searches(spark):
+    frame = spark.createDataFrame([("+71", 0)], "route_value string, offset int")
+    for many in (1000, 5000):
+        rules = Rules.of([(rf"^\+7{n}$", f"b{n}") for n in range(many)])
+        found = apply_rules(frame, rules, RouterConfig())
+        assert texts(found, "bucket") == ["b1"]
+        assert found._jdf.queryExecution().analyzed().toString().count("RLIKE") <= many / 4
+
+
 def test_absent_field_and_the_catch_all_rule(spark):
     values = ["026100", "0261020A2B3337", "02610200"]
     base = {"default_schema": fx.SCHEMA_7}

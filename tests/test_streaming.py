@@ -351,7 +351,7 @@ def test_counts_by_code_in_every_style(spark, events, style):
 
 def test_small_and_large_registries_agree_on_the_newest_entry(spark):
     rows = [("s", None, 1, "a"), ("s", -1, 1, "b"), ("s", 2, 2, "x"), ("s", 2, 2, "y"), (None, 2, 2, "z"), ("s", 1, 3, None)]
-    table = spark.createDataFrame(rows, "subject string, version int, schema_id bigint, schema_json string")
+    table = spark.createDataFrame(rows, "subject string, version bigint, schema_id bigint, schema_json string")
     small, large = Registry.load(table), Registry.load(table, max_schemas=0)
     assert small.texts == {r.schema_id: r.schema_json for r in large.table.collect()}
 
