@@ -28,6 +28,11 @@ class RouterConfig:
     ``null_field``   an absent routing field is matched as empty text, or goes straight to
                      the bucket of the catch-all rule
     ``error_style``  error codes, or the texts of the per-message or reader-schema router
+
+    ``max_broadcast_bytes``, ``max_broadcast_schemas``: schemas up to this size are broadcast.
+    ``max_copied_bytes``: larger ones are copied for salted joins up to this size in all.
+    ``max_field_types``: the job stops if the routing field has more types than this in all schemas.
+    ``keep_batches``: keep a micro-batch for its second sink instead of reading it again.
     """
 
     route_field: str = "phone"
@@ -53,6 +58,11 @@ class RouterConfig:
     max_records_per_partition: int = 0
     max_offsets_per_trigger: int = 0
     checkpoint: str = ""
+    max_broadcast_bytes: int = 16 << 20
+    max_broadcast_schemas: int = 20_000
+    max_copied_bytes: int = 8 << 30
+    max_field_types: int = 1000
+    keep_batches: bool = False
 
     def __post_init__(self):
         for name, allowed in (
@@ -93,7 +103,7 @@ class RouterConfig:
         for variable, name in ENVIRONMENT.items():
             if env.get(variable):
                 text = env[variable]
-                given[name] = tuple(text.split(",")) if types[name] is tuple else types[name](text)
+                given[name] = READ[types[name]](text)
         return replace(base, **given)
 
 
@@ -118,6 +128,20 @@ ENVIRONMENT |= {
     "MIN_PARTITIONS": "min_partitions",
     "MAX_RECORDS_PER_PARTITION": "max_records_per_partition",
     "MAX_OFFSETS_PER_TRIGGER": "max_offsets_per_trigger",
+    "FAIL_ON_DATA_LOSS": "fail_on_data_loss",
+    "MAX_BROADCAST_BYTES": "max_broadcast_bytes",
+    "MAX_BROADCAST_SCHEMAS": "max_broadcast_schemas",
+    "MAX_COPIED_BYTES": "max_copied_bytes",
+    "MAX_FIELD_TYPES": "max_field_types",
+    "KEEP_BATCHES": "keep_batches",
+}
+
+# How a setting of each type is read from a text.
+READ = {
+    str: str,
+    int: int,
+    tuple: lambda text: tuple(text.split(",")),
+    bool: lambda text: text.strip().lower() == "true",
 }
 
 

@@ -7,6 +7,8 @@ the position ``fail``, which lies behind every row end and stays there: later st
 read nothing for it, and the other rows are not affected.
 """
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql.pandas.types import to_arrow_type
@@ -17,9 +19,11 @@ VARINTS = ("int", "long", "enum")
 STRING = Node("string")
 OWN = "own"  # the slot of a value wanted in its own type
 PAD = 32  # zero bytes behind the buffer: more than any unchecked read can overrun
-MAX_DEPTH = 100  # nested records; deeper bodies fail instead of exhausting the stack
+MAX_DEPTH = 2000  # nested records; deeper bodies fail instead of exhausting the stack
+FRAMES = 6  # Python calls per nested record, at most
 FEW_ROWS = 16  # below this a step for all rows costs more than a scan of each
-MAX_EMPTY_ITEMS = 1_000_000  # per block, for items that take no bytes and so have no other bound
+MAX_EMPTY_ITEMS = 10_000_000  # per block that is wanted, for items that take no bytes and so have no other bound
+MAX_LONG = 2**63 - 1
 
 
 def arrow_type(node_or_type):
@@ -86,7 +90,7 @@ def value_end(node, view, at, end, depth):
             number = -number
             at = number_at(view, at, end)[1]
         empty = node.kind == "array" and fixed_size(node.item) == 0
-        if number > (MAX_EMPTY_ITEMS if empty else end - at):
+        if number > (MAX_LONG if empty else end - at):
             return -1
         for _ in range(0 if empty else number):
             if node.kind == "map":
@@ -115,6 +119,8 @@ class Batch:
         self.spans = (bounds[:-1], bounds[1:])
         self.depth = 0
         self._stops = None
+        deep = MAX_DEPTH * FRAMES + 1000
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), deep))
 
     def check(self, pos, end):
         return np.where(pos > end, self.fail, pos)
@@ -173,7 +179,9 @@ class Batch:
                 if sized.size:  # a negative count is followed by the block's byte size
                     _, after[sized] = self.varint(after[sized], end[need][sized])
                 count = np.abs(count)
-                most = end[need] - after if size != 0 else MAX_EMPTY_ITEMS
+                most = end[need] - after
+                if size == 0:  # only counted, unless wanted
+                    most = MAX_EMPTY_ITEMS if want else MAX_LONG
                 bad = (count < 0) | (count > most)
                 count[bad] = 0
                 pos[need] = np.where(bad, self.fail, after)

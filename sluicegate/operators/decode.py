@@ -21,15 +21,17 @@ from sluicegate.functions.errors import (
 from sluicegate.functions.wire import payload
 from sluicegate.operators.schemas import attach_schema
 
-MAX_SLOTS = 1000  # distinct (field, type) pairs; each is a column of the decoder's result
+MAX_TYPES = 1000  # distinct (field, type) pairs; each is a column of the decoder's result
 
 
-def decode(messages, fields, registry, default_schema=""):
+def decode(messages, fields, registry, default_schema="", max_types=MAX_TYPES):
     """Decode split messages with the schema each one names.
 
     ``fields`` maps an output column to a dotted path, or to ``(path, type)``; the default
     type is string.  Un-framed messages use ``default_schema``.  Adds the output columns
-    and ``decode_error``; a field the message's schema does not have is null."""
+    and ``decode_error``; a field the message's schema does not have is null.  Fields of more
+    than ``max_types`` different types in all stop the job before any message is read."""
+    registry = registry.in_use(messages)
     attached = attach_schema(messages, registry)
     framed = F.col("schema_id").isNotNull()
     error = F.when(framed & ~F.col("known"), UNKNOWN_SCHEMA)
@@ -41,10 +43,10 @@ def decode(messages, fields, registry, default_schema=""):
     paths = _paths(fields)
     if registry.texts is None:
         key, schemas = F.col("schema_json"), None
-        slots = _slots_of_table(registry.table, default_schema, paths)
+        slots = _slots_of_table(registry.table, default_schema, paths, max_types)
     else:
         key, schemas = F.col("schema_id"), registry.texts
-        slots = _slots([*registry.texts.values(), default_schema], paths)
+        slots = _slots([*registry.texts.values(), default_schema], paths, max_types)
     decoder = make_decoder([s for found in slots for s in found], schemas, default_schema)
     # Rows already in error take no bytes to Python.
     body = F.when(F.col("schema_error").isNull(), _body())
@@ -92,36 +94,36 @@ def _paths(fields):
     return [(tuple(path.split(".")), wanted) for path, wanted in _typed(fields).values()]
 
 
-def _slots(texts, paths):
+def _slots(texts, paths, max_types=MAX_TYPES):
     """The distinct slots of each path over all schemas; unreadable schemas have none."""
     roots = [root for root in map(parse_or_none, texts) if root]
     found = [
         dict.fromkeys(s for root in roots for s in slots_for(root, path, wanted))
         for path, wanted in paths
     ]
-    return _bounded([sorted(slots, key=str) for slots in found])
+    return _bounded([sorted(slots, key=str) for slots in found], max_types)
 
 
-def _bounded(found):
-    if sum(map(len, found)) > MAX_SLOTS:
-        raise ValueError(f"more than {MAX_SLOTS} types for the fields asked for")
+def _bounded(found, max_types):
+    if sum(map(len, found)) > max_types:
+        raise ValueError(f"more than {max_types} types for the fields asked for")
     return found
 
 
-def _slots_of_table(table, default_schema, paths):
+def _slots_of_table(table, default_schema, paths, max_types):
     """The same for a schema table too large for the driver: executors describe their
     schemas and only the distinct slots come back, few however many schemas there are."""
     rows = (
         table.select("schema_json")
         .mapInArrow(slot_describer(paths), "path int, slot string")
         .distinct()
-        .limit(MAX_SLOTS + 1)
+        .limit(max_types + 1)
         .collect()
     )
-    found = [dict.fromkeys(slots) for slots in _slots([default_schema], paths)]
+    found = [dict.fromkeys(slots) for slots in _slots([default_schema], paths, max_types)]
     for row in rows:
         found[row.path].setdefault(Slot.from_json(row.slot))
-    return _bounded([sorted(slots, key=str) for slots in found])
+    return _bounded([sorted(slots, key=str) for slots in found], max_types)
 
 
 def _castable(spark, found, wanted):

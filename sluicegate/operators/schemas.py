@@ -1,15 +1,16 @@
 """The schema table: which schema a message, a subject or a whole job uses."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicegate.config import check_json
 
-# A schema table up to this size is broadcast and read into the decoder; a larger one is
-# joined to the messages instead.
+# Schemas up to this size are broadcast and read into the decoder: of the whole table, or else
+# those of the ids in use.  Beyond that they are joined to the messages instead.
 MAX_BROADCAST_BYTES = 16 << 20
 MAX_BROADCAST_SCHEMAS = 20_000
 
@@ -32,11 +33,13 @@ def latest_schema(schemas, subject=None):
 
 def read_schema_file(spark, path):
     """Text of one schema file, checked to be JSON."""
-    text = spark.read.text(path, wholetext=True).head()
-    if text is None:
+    found = spark.read.text(path, wholetext=True).head(2)
+    if not found:
         raise ValueError(f"schema file is empty: {path}")
-    check_json(path, text.value)
-    return text.value
+    if len(found) > 1:
+        raise ValueError(f"several schema files: {path}")
+    check_json(path, found[0].value)
+    return found[0].value
 
 
 def resolve_schema(spark, schemas, config):
@@ -64,6 +67,8 @@ class Registry:
     table: DataFrame  # schema_id, schema_json
     texts: dict | None
     copies: int = 1
+    max_bytes: int = MAX_BROADCAST_BYTES
+    max_schemas: int = MAX_BROADCAST_SCHEMAS
 
     @classmethod
     def load(
@@ -75,38 +80,58 @@ class Registry:
     ):
         if isinstance(schemas, cls):
             return schemas
-        [size] = schemas.agg(
-            F.count("*").alias("n"), F.sum(F.octet_length("schema_json")).alias("bytes")
-        ).collect()
         # An id can be listed under several subjects or versions; the newest entry counts.
         newest = F.max_by("schema_json", F.struct("version", "subject", "schema_json"))
         table = schemas.groupBy("schema_id").agg(F.coalesce(newest, F.lit("")).alias("schema_json"))
+        texts, size = texts_within(table, max_bytes, max_schemas)
+        if texts is not None:
+            return cls(table, texts)
+        partitions = int(schemas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        copies = max(1, min(partitions, max_copied_bytes // (size or 1)))
+        return cls(table, None, copies, max_bytes, max_schemas)
+
+    def in_use(self, messages):
+        """The registry with the schemas of these split messages only, if they may be broadcast.
+
+        The ids are counted where the messages are, so a few bytes per id travel.  A plain stream
+        does not know the ids to come and keeps the whole registry."""
+        if self.texts is not None or messages.isStreaming:
+            return self
+        ids = messages.select("schema_id").where(F.col("schema_id").isNotNull()).distinct()
+        table = self.table.join(ids, "schema_id", "left_semi")
+        texts, _ = texts_within(table, self.max_bytes, self.max_schemas)
+        return self if texts is None else replace(self, table=table, texts=texts)
+
+
+def texts_within(table, max_bytes, max_schemas):
+    """``({id: schema}, bytes)`` of a table with a row per id, ``(None, bytes)`` if it is larger.
+
+    The rows are kept from the check to the reading, so no more than was checked is read."""
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        [size] = table.agg(
+            F.count("*").alias("n"), F.sum(F.octet_length("schema_json")).alias("bytes")
+        ).collect()
         if size.n > max_schemas or (size.bytes or 0) > max_bytes:
-            partitions = int(schemas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            return cls(table, None, max(1, min(partitions, max_copied_bytes // (size.bytes or 1))))
-        rows = schemas.select("version", "subject", "schema_id", "schema_json").collect()
-
-        def age(row):  # as Spark orders the struct above: null before any value
-            found = (row.version, row.subject, row.schema_json)
-            return [(v is not None, v) if v is not None else (False,) for v in found]
-
-        return cls(table, {r.schema_id: r.schema_json or "" for r in sorted(rows, key=age)})
+            return None, size.bytes
+        return {r.schema_id: r.schema_json for r in table.collect()}, size.bytes
+    finally:
+        table.unpersist()
 
 
 def attach_schema(messages, registry):
     """Add ``known`` (null for un-framed messages) and, from a large table, ``schema_json``.
 
-    A checked small table is a broadcast join on its ids.  A large one is a salted join:
-    the messages of one schema are spread over many tasks by their coordinates."""
+    A checked small table is a broadcast join on its ids.  A large one is a salted join: the
+    messages of one schema are spread over many tasks by the coordinates they have, or by value."""
     if registry.texts is not None:
         ids = pa.table({"schema_id": pa.array(registry.texts, pa.int64())})
         ids = messages.sparkSession.createDataFrame(ids).withColumn("known", F.lit(True))
         joined = messages.join(F.broadcast(ids), "schema_id", "left")
     else:
-        missing = [c for c in COORDINATES if c not in messages.columns]
-        if missing:
-            raise ValueError(f"a schema table this large needs the message columns {missing}")
-        salt = F.pmod(F.xxhash64(*COORDINATES), F.lit(registry.copies)).cast("int")
+        there = [c for c in COORDINATES if c in messages.columns]
+        spread = there if "offset" in there else [*there, "value"]
+        salt = F.pmod(F.xxhash64(*spread), F.lit(registry.copies)).cast("int")
         copies = registry.table.select(
             "schema_id",
             "schema_json",

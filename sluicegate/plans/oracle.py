@@ -270,3 +270,5 @@ ORACLE = {
     "q_routing_summary": f"""{MESSAGES}
         select {TOPIC} as topic, error, count(*) as n from m group by 1, 2""",
 }
+
+ORACLE["q_decode_joined_registry"] = ORACLE["q_decode_large_registry"]

@@ -255,7 +255,19 @@ def q_decode_types(spark, sf_dir):
 
 
 def q_decode_large_registry(spark, sf_dir):
-    """A registry treated as too large to broadcast: one schema per user, two field types."""
+    """A registry with an entry per event besides one schema per user: too large to broadcast
+    as a whole, here by its bytes, but not the schemas in use."""
+    base = events(spark, sf_dir)
+    unused = event_registry(spark, sf_dir).withColumn("schema_id", -1 - F.col("schema_id"))
+    used = fx.user_schemas(base)
+    [size] = used.agg(F.sum(F.octet_length("schema_json")).alias("bytes")).collect()
+    registry = Registry.load(used.unionByName(unused), max_bytes=size.bytes or 0)
+    rows = decode(split_wire(fx.user_messages(base)), {"phone": "phone"}, registry)
+    return rows.select(event_id(), "schema_id", "phone", "decode_error")
+
+
+def q_decode_joined_registry(spark, sf_dir):
+    """One schema per user, also those in use treated as too large: joined to the messages."""
     base = events(spark, sf_dir)
     registry = Registry.load(fx.user_schemas(base), max_schemas=0)
     rows = decode(split_wire(fx.user_messages(base)), {"phone": "phone"}, registry)
@@ -516,6 +528,7 @@ QUERIES = {
     "q_decode_missing_field": q_decode_missing_field,
     "q_decode_types": q_decode_types,
     "q_decode_large_registry": q_decode_large_registry,
+    "q_decode_joined_registry": q_decode_joined_registry,
     "q_route_first": q_route_first,
     "q_route_last": q_route_last,
     "q_route_search": q_route_search,

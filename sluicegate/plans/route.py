@@ -15,7 +15,7 @@ def route(messages, schemas, rules, config=RouterConfig()):
 
     ``messages`` has the Kafka source columns, ``schemas`` the schema table (or a loaded
     :class:`Registry`) and ``rules`` anything :meth:`Rules.of` takes.  Each message is
-    decoded once, and nothing is shuffled unless the schema table is too large to
+    decoded once, and nothing is shuffled unless the schemas in use are too large to
     broadcast.  Input columns are kept, the input's topic as ``source_topic``."""
     rules = Rules.of(rules).check(messages.sparkSession)
     split = split_wire(messages, config.wire)
@@ -24,7 +24,9 @@ def route(messages, schemas, rules, config=RouterConfig()):
         _, schema = resolve_schema(messages.sparkSession, schemas, config)
         decoded = decode_with(split, fields, schema)
     else:
-        decoded = decode(split, fields, Registry.load(schemas), config.default_schema)
+        limits = config.max_broadcast_bytes, config.max_broadcast_schemas, config.max_copied_bytes
+        registry = Registry.load(schemas, *limits)
+        decoded = decode(split, fields, registry, config.default_schema, config.max_field_types)
     keep = [c for c in messages.columns if c not in CONTENT]
     classified = classify(apply_rules(decoded, rules, config), config)
     return to_output(classified, config, [*keep, "schema_id", "route_value"])

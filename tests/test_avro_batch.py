@@ -178,9 +178,19 @@ def test_recursive_schema_can_be_skipped_and_is_bounded():
     def chain(n):
         return (long(1) + b"a" + long(1)) * n + long(1) + b"z" + long(0)
 
-    values_, failed = decode(schema, [chain(0), chain(50), chain(5000), chain(50)[:-1]], "phone")
+    values_, failed = decode(schema, [chain(0), chain(1500), chain(5000), chain(50)[:-1]], "phone")
     assert values_[0][:2] == ["z", "a"]
     assert failed == [False, False, True, True]
+    many = [chain(150)] * 20 + [chain(150)[:-1]]
+    assert decode(schema, many, "phone")[1] == [False] * 20 + [True]
+
+
+def test_long_arrays_of_nothing_are_skipped():
+    nothing = {"type": "array", "items": "null"}
+    schema = {"type": "record", "name": "R", "fields": [{"name": "a", "type": nothing}, {"name": "n", "type": "long"}]}
+    bodies = [long(n) + long(0) + long(7) for n in (1_000_001, 2**62)]
+    for repeat in (1, 20):
+        assert decode(schema, bodies * repeat, "n") == ([[7, 7] * repeat], [False, False] * repeat)
 
 
 def test_paths_through_nullable_records_and_mixed_unions():

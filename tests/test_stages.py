@@ -156,10 +156,35 @@ def test_copies_of_a_large_registry_follow_the_shuffle_up_to_a_bound(spark):
     assert texts(attach_schema(split, one), "known") == [True, False]
 
 
-def test_large_registry_needs_message_coordinates(spark):
-    bare = split_wire(messages(spark, ["026100"]).drop("offset"))
-    with pytest.raises(ValueError, match="offset"):
-        attach_schema(bare, Registry.load(fx.schemas_table(spark), max_schemas=0))
+def test_large_registry_needs_no_message_coordinates(spark):
+    bare = split_wire(messages(spark, ["026100", "000000000702610200"]).drop("partition", "offset"))
+    large = Registry.load(fx.schemas_table(spark), max_schemas=0)
+    rows = attach_schema(bare, large).select("schema_id", "known").collect()
+    assert sorted(map(tuple, rows), key=str) == [(7, True), (None, None)]
+
+
+def test_a_large_registry_is_narrowed_to_the_ids_in_use(spark):
+    table = fx.schemas_table(spark)  # of ids 7 and 8
+    split = split_wire(messages(spark, ["000000000702610200", "00FFFFFFFE00", "026100"]))
+    used = Registry.load(table, max_schemas=1).in_use(split)
+    assert list(used.texts) == [7]
+    assert Registry.load(table, max_schemas=0).in_use(split).texts is None
+    rows = decode(split, {"phone": "phone"}, Registry.load(table, max_schemas=1), fx.SCHEMA_7)
+    assert "SortMergeJoin" not in plan(rows) and "Exchange hash" not in plan(rows)
+    assert texts(rows, "decode_error") == [None, "unknown_schema", None]
+
+
+def test_more_field_types_than_allowed_stop_the_job(spark):
+    config = RouterConfig(max_field_types=0)
+    with pytest.raises(ValueError, match="more than 0 types"):
+        route(messages(spark, ["026100"]), fx.schemas_table(spark), fx.RULES, config)
+
+
+def test_one_schema_file(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.avsc").write_text(fx.SCHEMA_7)
+    with pytest.raises(ValueError, match="several"):
+        resolve_schema(spark, None, RouterConfig(reader_schema_file=str(tmp_path)))
 
 
 # -- decode -------------------------------------------------------------------------------
