@@ -24,8 +24,10 @@ HEADLINE = (
     "q_decode_full",
     "q_decode_types",
     "q_decode_large_registry",
+    "q_decode_joined_registry",
     "q_route_first",
     "q_route_many_rules",
+    "q_route_1000_rules",
     "q_routed_all",
     "q_errors_out",
     "q_valid_out",

@@ -4,7 +4,10 @@ Without a rules table, a target table or a fallback folder it is one plain strea
 With any of them each micro-batch is routed with the rules and schemas of its moment and
 written to every sink."""
 
+import json
 import os
+from urllib.parse import quote
+from urllib.request import urlopen
 
 from pyspark.sql import SparkSession
 
@@ -15,11 +18,13 @@ from sluicegate.plans.route import route
 from sluicegate.session import SETTINGS
 from sluicegate.sources.kafka import read_stream
 from sluicegate.sources.tables import rules_from_jdbc, schemas_from_files
+from sluicegate.streaming.metrics import RoutingMetrics, observe_routing
 from sluicegate.streaming.run import route_batches
 from sluicegate.streaming.sinks import (
     append_to_jdbc,
     append_to_kafka,
     matched_events,
+    oversized,
     persisted,
     to_kafka,
     write_with_fallback,
@@ -37,21 +42,42 @@ def settings(env):
 
 
 def database(env, table):
+    if not env.get("MSSQL_JDBC_URL"):
+        raise ValueError(f"MSSQL_JDBC_URL is not set, but the table {table} is")
     return {
         "url": env["MSSQL_JDBC_URL"],
         "table": table,
         "user": env.get("MSSQL_USER", ""),
         "password": env.get("MSSQL_PASSWORD", ""),
+        "driver": env.get("MSSQL_DRIVER", ""),
     }
 
 
-def schemas_loader(spark, env):
-    """The schema table under ``SCHEMAS_PATH``, or an empty one: a job with a reader schema
-    or a default schema can do without."""
+def registered_schema(url, subject, open_url=urlopen):
+    """The newest schema of a subject as a row of the schema table, asked of a registry.
+
+    For the driver, once per start: messages are never looked up one by one."""
+    path = f"{url.rstrip('/')}/subjects/{quote(subject, safe='')}/versions/latest"
+    with open_url(path, timeout=10) as answer:
+        found = json.loads(answer.read().decode("utf-8"))
+    return subject, found.get("version"), found.get("id"), found["schema"]
+
+
+def schemas_loader(spark, env, config, open_url=urlopen):
+    """The schema table under ``SCHEMAS_PATH``; else, for a router with one reader schema that
+    is not given, the newest one at ``REGISTRY_COMPAT_URL``; else an empty table: a job with a
+    reader schema or a default schema can do without."""
     path, form = env.get("SCHEMAS_PATH"), env.get("SCHEMAS_FORMAT") or "parquet"
     if path:
         return lambda: schemas_from_files(spark, path, form)
-    return lambda: spark.createDataFrame([], SCHEMA_COLUMNS)
+    url = env.get("REGISTRY_COMPAT_URL")
+    rows = []
+    if url and config.schema_mode == "reader":
+        if not (config.reader_schema.strip() or config.reader_schema_file.strip()):
+            rows = [registered_schema(url, config.subject, open_url)]
+    elif url and not config.default_schema.strip():
+        raise ValueError("schemas per message come from SCHEMAS_PATH, not from REGISTRY_COMPAT_URL")
+    return lambda: spark.createDataFrame(rows, SCHEMA_COLUMNS)
 
 
 def rules_loader(spark, env):
@@ -64,8 +90,27 @@ def rules_loader(spark, env):
 
 def fallback_folder(env):
     """Folder for oversized messages: a bucket name means that bucket over s3a."""
-    bucket = env.get("MINIO_BUCKET", "") if env.get("MINIO_ENABLE") == "true" else ""
-    return bucket if not bucket or "/" in bucket else f"s3a://{bucket}"
+    if env.get("MINIO_ENABLE") != "true":
+        return ""
+    bucket = env.get("MINIO_BUCKET", "")
+    if not bucket:
+        raise ValueError("MINIO_ENABLE is set, but MINIO_BUCKET is not")
+    return bucket if "/" in bucket else f"s3a://{bucket}"
+
+
+def object_store(env):
+    """Hadoop settings of the object store that holds the fallback folder."""
+    given = {
+        "fs.s3a.endpoint": env.get("MINIO_ENDPOINT"),
+        "fs.s3a.access.key": env.get("MINIO_ACCESS_KEY"),
+        "fs.s3a.secret.key": env.get("MINIO_SECRET_KEY"),
+    }
+    if not fallback_folder(env) or not any(given.values()):
+        return {}
+    missing = [name for name, value in given.items() if not value]
+    if missing:
+        raise ValueError(f"the object store lacks {missing}")
+    return given | {"fs.s3a.path.style.access": "true"}
 
 
 def batch_writer(config, env, sink=append_to_kafka):
@@ -74,14 +119,15 @@ def batch_writer(config, env, sink=append_to_kafka):
     fallback = fallback_folder(env)
 
     def write(routed, batch_id):
-        with persisted(routed):
+        with persisted(routed, config.keep_batches):
             if fallback:
                 folder = f"{fallback}/oversized"
                 write_with_fallback(routed, config, lambda r: sink(r, config), folder, batch_id)
             else:
                 sink(routed, config)
-            if target:
-                append_to_jdbc(matched_events(routed), **database(env, target))
+            if target:  # what reached its topic
+                sent = routed.where(~oversized(config)) if fallback else routed
+                append_to_jdbc(matched_events(sent), **database(env, target))
 
     return write
 
@@ -92,14 +138,21 @@ def start(spark, env, messages=None):
     if not config.checkpoint:
         raise ValueError("CHECKPOINT_LOCATION is not set")
     messages = read_stream(spark, config) if messages is None else messages
-    load_schemas, load_rules = schemas_loader(spark, env), rules_loader(spark, env)
+    load_schemas, load_rules = schemas_loader(spark, env, config), rules_loader(spark, env)
+    for name, value in object_store(env).items():
+        spark.sparkContext._jsc.hadoopConfiguration().set(name, value)
     tables = env.get("MSSQL_RULES_TABLE") or env.get("MSSQL_TARGET_TABLE")
     if tables or fallback_folder(env):
         write = batch_writer(config, env)
         return route_batches(
             messages, load_schemas, load_rules, config, write, config.checkpoint
         )
-    routed = route(messages, load_schemas(), load_rules(), config)
+    rules = Rules.of(load_rules())
+    routed = route(messages, load_schemas(), rules, config)
+    if env.get("OTEL_ENABLE") == "true":
+        topics = [f"{config.topic_prefix}_{b}" for b in rules.buckets] + [config.errors_topic]
+        routed = observe_routing(routed, topics, config.error_style)
+        spark.streams.addListener(RoutingMetrics(spark, topics))
     return to_kafka(routed, config)
 
 

@@ -190,7 +190,7 @@ def typed_messages(events):
         .otherwise(F.concat(F.lit(b"\x03"), pair_size, text, text, F.lit(b"\x00")))
     )
     body = F.concat(
-        varint(user, 4),
+        varint(user, 5),
         F.when(event % 2 == 1, F.lit(b"\x01")).otherwise(F.lit(b"\x00")),
         F.when(event % 2 == 1, F.lit(b"\x00\x00\xc0\x3f")).otherwise(F.lit(b"\x00\x00\x20\xc0")),
         F.lit(b"\x10"),
@@ -199,13 +199,13 @@ def typed_messages(events):
         varint(F.unix_date(F.col("ts").cast("date")), 3),
         tags,
         F.lit(b"\x04"),
-        varint(user, 3),
+        varint(user, 5),
         varint(digit, 1),
         F.lit(b"\x00"),
         F.lit(b"\x04\x02k"),
         varint(digit, 2),
         F.lit(b"\x02u"),
-        varint(user, 3),
+        varint(user, 5),
         F.lit(b"\x00"),
         F.when(digit == 0, F.lit(b"\x00")).otherwise(F.concat(F.lit(b"\x02"), text)),
         varint(event % 3, 1),

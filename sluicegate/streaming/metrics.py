@@ -1,5 +1,6 @@
 """Counts of a running router, observed on the rows as they pass: no extra pass or shuffle."""
 
+import logging
 import threading
 from collections import Counter
 
@@ -9,6 +10,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 from sluicegate.functions.errors import CODES, error_text
 
 OBSERVATION = "routing"
+log = logging.getLogger(__name__)
 
 
 def observe_routing(routed, topics, style="code"):
@@ -48,6 +50,7 @@ class RoutingMetrics(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event):
+        """Adds up a batch's counts, and logs them for whoever collects the job's metrics."""
         progress = event.progress
         if OBSERVATION in progress.observedMetrics:
             row = progress.observedMetrics[OBSERVATION].asDict()
@@ -55,6 +58,7 @@ class RoutingMetrics(StreamingQueryListener):
             if progress.batchId > last:
                 total.update({self.names.get(k, k): v for k, v in row.items()})
                 self.counted[str(progress.id)] = (progress.batchId, total)
+                log.info("routed so far: %s", dict(total))
 
     def onQueryTerminated(self, event):
         self._end(event.id).set()

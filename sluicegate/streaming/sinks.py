@@ -58,12 +58,12 @@ def write_batch(rows, path, batch_id, by=()):
 
 
 @contextmanager
-def persisted(rows, keep=True):
-    """Keep rows that several writes read, so they are read and decoded once; spills to disk,
+def persisted(rows, keep=False):
+    """With ``keep``, rows that several writes read are read and decoded once; spills to disk,
     and a lost executor's part is computed again.  Rows kept already stay so.
 
     Keeping has its price: from files, reading and decoding small messages again for a
-    second sink took a quarter less time.  ``keep=False`` does that."""
+    second sink took a quarter less time."""
     kept_here = keep and rows.storageLevel == StorageLevel.NONE
     if kept_here:
         rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -74,7 +74,7 @@ def persisted(rows, keep=True):
             rows.unpersist()
 
 
-def write_branches(routed, valid_path, errors_path, batch_id, keep=True):
+def write_branches(routed, valid_path, errors_path, batch_id, keep=False):
     """One micro-batch to two sinks."""
     with persisted(routed, keep):
         write_batch(valid_messages(routed), valid_path, batch_id, by=["topic"])
@@ -123,14 +123,18 @@ def message_size(key, value, headers):
     return sizes[0] + sizes[1] + header_bytes + MESSAGE_OVERHEAD
 
 
+def oversized(config):
+    """Whether a producer would refuse a message for its size."""
+    size = message_size(F.col("key"), F.col("value"), F.col("headers"))
+    return size > config.max_request_size
+
+
 def write_with_fallback(routed, config, write, path, batch_id):
     """One micro-batch to ``write(rows)``, without the messages a producer would refuse for
     their size, which would stop the query; those go to files under ``path``."""
-    size = message_size(F.col("key"), F.col("value"), F.col("headers"))
-    oversized = size > config.max_request_size
-    with persisted(routed):
-        write(routed.where(~oversized))
-        rest = routed.where(oversized)
+    with persisted(routed, config.keep_batches):
+        write(routed.where(~oversized(config)))
+        rest = routed.where(oversized(config))
         if not rest.isEmpty():
             write_batch(rest, path, batch_id)
 

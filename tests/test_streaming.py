@@ -1,5 +1,6 @@
 """Streams, sinks and the job."""
 
+import io
 import json
 
 import pytest
@@ -130,13 +131,13 @@ def test_message_size_counts_headers_and_tolerates_nulls(spark):
 
 def test_persisted_leaves_kept_rows_alone(spark):
     frame = spark.range(3)
-    with persisted(frame):
+    with persisted(frame, keep=True):
         assert frame.storageLevel.useMemory
-        with persisted(frame):
+        with persisted(frame, keep=True):
             pass
         assert frame.storageLevel.useMemory
     assert not frame.storageLevel.useMemory
-    with persisted(frame, keep=False):
+    with persisted(frame):
         assert not frame.storageLevel.useMemory
 
 
@@ -192,6 +193,56 @@ def test_job_settings():
     assert job.fallback_folder({"MINIO_BUCKET": "b", "MINIO_ENABLE": "true"}) == "s3a://b"
 
 
+def test_job_asks_a_registry_once_for_the_reader_schema(spark):
+    asked = []
+
+    def open_url(url, timeout):
+        asked.append((url, timeout))
+        return io.BytesIO(json.dumps({"version": 3, "id": 8, "schema": fx.SCHEMA_8}).encode())
+
+    env = {"ROUTER_VARIANT": "reader", "REGISTRY_COMPAT_URL": "http://registry/v6/", "SCHEMA_SUBJECT": "a/b"}
+    load = job.schemas_loader(spark, env, job.settings(env), open_url)
+    assert [tuple(r) for r in load().collect()] == [("a/b", 3, 8, fx.SCHEMA_8)] and load().count() == 1
+    assert asked == [("http://registry/v6/subjects/a%2Fb/versions/latest", 10)]
+    given = env | {"READER_SCHEMA_STR": fx.SCHEMA_7}
+    assert job.schemas_loader(spark, given, job.settings(given), open_url)().count() == 0
+    with pytest.raises(ValueError, match="SCHEMAS_PATH"):
+        job.schemas_loader(spark, {"REGISTRY_COMPAT_URL": "x"}, RouterConfig(), open_url)
+
+
+def test_job_settings_that_are_incomplete():
+    store = {"MINIO_ENABLE": "true", "MINIO_BUCKET": "b", "MINIO_ENDPOINT": "minio:9000"}
+    with pytest.raises(ValueError, match="access.key"):
+        job.object_store(store)
+    whole = store | {"MINIO_ACCESS_KEY": "k", "MINIO_SECRET_KEY": "s"}
+    assert job.object_store(whole)["fs.s3a.endpoint"] == "minio:9000"
+    assert job.object_store({"MINIO_ENDPOINT": "minio:9000"}) == {}
+    with pytest.raises(ValueError, match="MINIO_BUCKET"):
+        job.fallback_folder({"MINIO_ENABLE": "true"})
+    with pytest.raises(ValueError, match="MSSQL_JDBC_URL"):
+        job.database({}, "t")
+    found = job.database({"MSSQL_JDBC_URL": "u", "MSSQL_DRIVER": "a.Driver"}, "t")
+    assert jdbc_options(**found)["driver"] == "a.Driver"
+    assert job.settings({"FAIL_ON_DATA_LOSS": "true"}).fail_on_data_loss
+    assert not job.settings({"KEEP_BATCHES": "false"}).keep_batches
+
+
+def test_job_counts_when_asked(spark, stored, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    fx.schemas_table(spark).write.parquet(str(tmp_path / "schemas"))
+    made = []
+    monkeypatch.setattr(
+        job, "to_kafka", lambda rows, config: to_files(rows, out, config.checkpoint, once=True)
+    )
+    listener = job.RoutingMetrics
+    monkeypatch.setattr(job, "RoutingMetrics", lambda *a: made.append(listener(*a)) or made[0])
+    query = job.start(spark, job_env(tmp_path, OTEL_ENABLE="true"), message_stream(spark, stored))
+    query.awaitTermination()
+    counts = made[0].totals(query)
+    spark.streams.removeListener(made[0])
+    assert counts["total"] == 1000 and counts["errors"] == 410
+
+
 def test_job_needs_a_checkpoint(spark):
     with pytest.raises(ValueError, match="CHECKPOINT_LOCATION"):
         job.start(spark, {})
