@@ -243,6 +243,17 @@ def test_job_counts_when_asked(spark, stored, tmp_path, monkeypatch):
     assert counts["total"] == 1000 and counts["errors"] == 410
 
 
+def test_job_stores_no_event_for_a_message_that_went_to_the_fallback(spark, events, tmp_path, monkeypatch):
+    out, matched = str(tmp_path / "out"), []
+    env = {"MINIO_ENABLE": "true", "MINIO_BUCKET": str(tmp_path / "f")}
+    env |= {"MSSQL_JDBC_URL": "jdbc:x", "MSSQL_TARGET_TABLE": "t"}
+    monkeypatch.setattr(job, "append_to_jdbc", lambda rows, **_: matched.append(rows.count()))
+    config = RouterConfig(default_schema=fx.SCHEMA_7, max_request_size=180)
+    write = job.batch_writer(config, env, sink=lambda rows, config: write_batch(rows, out, 7))
+    write(route(fx.raw_messages(events), fx.schemas_table(spark), fx.RULES, config), 7)
+    assert matched == [spark.read.parquet(out).where("error is null").count()]
+
+
 def test_job_needs_a_checkpoint(spark):
     with pytest.raises(ValueError, match="CHECKPOINT_LOCATION"):
         job.start(spark, {})
