@@ -9,8 +9,8 @@ a ``grain`` of the total are packed one by one, and there can only be ``grains``
 Smaller groups are first dealt by hash into ``grains`` atoms, which are packed as one
 each.  So the driver packs at most twice ``grains`` items, whatever the number of documents.
 
-A null text is an empty one.  Repeated rows are copies and share a shard; a group larger than
-1/shards of everything makes its shard larger than the rest, as groups are never split."""
+A null text is an empty one.  Repeated rows are copies and share a shard.  Groups are never split: one
+larger than an even share has a shard of its own, larger than the rest, which are levelled without it."""
 
 from pyspark.sql import functions as F
 
@@ -108,7 +108,23 @@ def best_fit_decreasing(sizes, capacity, bins=None):
 
 
 def near_equal(sizes, bins):
-    """Bins of near equal load: best-fit decreasing at the smallest capacity that needs no more."""
+    """Bins of near equal load: best-fit decreasing at the smallest capacity that needs no more.
+
+    An item larger than an even share of what is left has a bin of its own, the last ones."""
+    total, left, alone = sum(sizes), bins, {}
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        if sizes[i] * left <= total:
+            break
+        left -= 1
+        total -= sizes[i]
+        alone[i] = left
+    rest = [s for i, s in enumerate(sizes) if i not in alone]
+    places = iter(levelled(rest, left) if rest else ())
+    return [alone[i] if i in alone else next(places) for i in range(len(sizes))]
+
+
+def levelled(sizes, bins):
+    """Bins at the smallest capacity; no item is larger than an even share."""
     low = max([-(-sum(sizes) // bins), *sizes, 1])
     high = max(2 * low, 1)
     best = None

@@ -352,6 +352,34 @@ def test_shards(spark, edges, documents, none, grains):
     assert rows(sharding.shard_documents(none)) == []
 
 
+@pytest.mark.parametrize("share", [0.06, 0.1, 1 / 3, 0.9])
+def test_large_groups_leave_the_rest_level(share):
+    rng = np.random.default_rng(6)
+    small = rng.integers(500, 1500, 8192).tolist()
+    hot = int(sum(small) * share / (1 - share))
+    for large in ([hot], [hot // 2, hot], [hot] * 23):
+        places = sharding.near_equal([*small, *large], 24)
+        loads = np.bincount(places, [*small, *large], 24)
+        alone = [s for s in large if s * (24 - len(large)) > sum(small)]
+        level = sorted(loads)[: 24 - len(alone)]
+        assert sorted(loads)[24 - len(alone) :] == sorted(alone)
+        even = sum(level) / len(level)
+        assert 0.9 * even <= min(level) and max(level) <= 1.1 * even
+    assert sorted(sharding.near_equal([5, 9], 3)) in ([0, 1], [0, 2], [1, 2])
+    assert sharding.near_equal([], 3) == [] and sharding.near_equal([0, 0, 4], 1) == [0, 0, 0]
+
+
+def test_shards_with_a_third_of_copies(spark):
+    other = [(i, f"text {i} " + "x" * (i % 50)) for i in range(2000)]
+    docs = spark.createDataFrame(other + [(9000 + i, "y" * 40) for i in range(1000)], "doc_id long, text string")
+    sizes, hot = collections.Counter(), set()
+    for r in sharding.shard_documents(docs, 24).collect():
+        sizes[r.shard] += r.size
+        hot |= {r.shard} if r.doc_id >= 9000 else set()
+    assert len(hot) == 1 and sizes.pop(*hot) == 48_000
+    assert len(sizes) == 23 and max(sizes.values()) <= 1.1 * sum(sizes.values()) / 23
+
+
 def test_numbers_without_gaps(spark):
     frame = spark.range(1000).select("id", F.when(F.col("id") < 900, "hot").otherwise("cold").alias("k"))
     found = numbered(frame, ["k"], ["id"], "n", 7).groupBy("k").agg(F.sort_array(F.collect_list("n"))).collect()
