@@ -628,3 +628,20 @@ def test_stages_on_edges_and_nothing(spark, edges, none):
         kept = [r.doc_id for r in docs.collect()]
         assert len(kept) == len(set(kept))
         assert corpus_pipeline.STAGES[4][1](spark, docs, SF).count() >= len(kept)
+
+
+def test_passages_of_over_fifty_words_go(spark):
+    rng = np.random.default_rng(4)
+    word = lambda low, high: bytes(rng.integers(97, 123, rng.integers(low, high)).astype(np.uint8)).decode()
+    text = lambda n, low=3, high=9: " ".join(word(low, high) for _ in range(n))
+    passages = [text(51, 1, 2), text(53, 3, 8), text(98, 2, 4)]  # 101 bytes; others under 400
+    assert [len(p) >= 101 and len(p) < 400 for p in passages] == [True] * 3 and len(passages[0]) == 101
+    docs = [(2 * k + n, f"{text(40)} {p} {text(40)}") for k, p in enumerate(passages) for n in range(2)]
+    short = text(12, 3, 8)  # under 101 bytes: stays
+    docs += [(10, f"{text(40)} {short} {text(40)}"), (11, f"{text(40)} {short} {text(40)}")]
+    frame = spark.createDataFrame([(*d, "en", "s", len(d[1]), "clash", 5) for d in docs], COLUMNS)
+    found = {r.doc_id: r for r in corpus_pipeline.repeated_passages(spark, frame, SF).collect()}
+    for i, t in docs[:6]:
+        left = t.replace(passages[i // 2], "").replace("  ", "")
+        assert found[i].text.replace(" ", "") == left.replace(" ", "") and found[i].n_chars == len(found[i].text)
+    assert [found[i].text for i in (10, 11)] == [t for _, t in docs[6:]]
