@@ -7,15 +7,30 @@ item is moved along the document.  Around each hit the item is laid over the doc
 and compared one by one: it counts if ``span`` tokens in a row (or the item, if shorter) agree in
 ``share`` of their places.
 
-Items and documents shorter than the masks have no runs: they match nothing.  Null texts are empty.
+The masks go by the length of an item.  For ``SPAN`` and ``SHARE`` one of them meets every placement of
+the places that may differ, so no pair that the comparison accepts is missed (a test counts them all).
+Documents are read under the masks of the lengths that the benchmark has.
+
+Items of fewer than ``shortest`` tokens are left out.  Null texts are empty and match nothing.
 Repeated rows are judged alike and reported once per id."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicegate.llm.common import checkpointed, let, row_key
 
-#: Together they find most runs of 20 tokens of which a fifth, anywhere, are replaced.
-MASKS = ("10110001011", "10110111")
+#: (least tokens of an item, masks): a fifth of up to 20 tokens in a row may be replaced, anywhere.
+MASKS = (
+    (15, ("10110001011", "10110111", "1011000010011", "1110111")),
+    (10, ("111011", "1101011", "1110011")),
+    (5, ("1111", "11011", "10111", "11101")),
+    (4, ("1111",)),
+    (3, ("111",)),
+    (2, ("11",)),
+    (1, ("1",)),
+)
 SPAN, SHARE = 20, 0.8
 BROADCAST_ROWS = 2_000_000  # benchmark seeds, 16 bytes each; more are joined by a shuffle
 BROADCAST_HITS = 200_000  # places to verify; more are joined by a shuffle
@@ -26,21 +41,33 @@ def token_hashes(text):
     return F.transform(F.regexp_extract_all(lower, F.lit(r"([\p{L}\p{N}]+)")), lambda w: F.xxhash64(w))
 
 
-def seeds(tokens, masks=MASKS):
+def masks_of(tokens):
+    """The masks for items of so many tokens."""
+    return next((masks for least, masks in MASKS if tokens >= least), ())
+
+
+def seeds(tokens, masks):
     """Array of (seed, place) of every run under every mask."""
 
-    def runs(t, number, mask):
+    def runs(t, mask):
         marked = [i for i, c in enumerate(mask) if c == "1"]
 
         def run(i):
-            hashed = F.xxhash64(F.lit(number), *[F.get(t, i + m) for m in marked])
+            hashed = F.xxhash64(F.lit(mask), *[F.get(t, i + m) for m in marked])
             return F.struct(hashed.alias("seed"), i.alias("place"))
 
         none = F.array().cast("array<struct<seed:bigint,place:int>>")
         last = F.size(t) - len(mask)
         return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), run)).otherwise(none)
 
-    return let(tokens, lambda t: F.concat(*[runs(t, n, mask) for n, mask in enumerate(masks)]))
+    return let(tokens, lambda t: F.concat(*[runs(t, mask) for mask in masks]))
+
+
+def item_seeds(items, least):
+    """item_id, _s: seeds of the items of one class of MASKS under its masks."""
+    return items.where(F.col("_least") == least).select(
+        "item_id", F.explode(seeds(F.col("_item"), masks_of(least))).alias("_s")
+    )
 
 
 def agreement(document, item, shift, span, share):
@@ -64,16 +91,20 @@ def agreement(document, item, shift, span, share):
 
 def contaminated(
     docs, benchmark, doc_id="doc_id", text="text", item_id="item_id", item_text="text",
-    masks=MASKS, span=SPAN, share=SHARE,
+    shortest=8, span=SPAN, share=SHARE,
 ):
     """doc_id, item_id, agreeing, compared: pairs of a document and an item found in it."""
     items = checkpointed(
         benchmark.select(
             F.col(item_id).alias("item_id"), token_hashes(F.col(item_text)).alias("_item")
-        ).where(F.size("_item") > 0)
+        ).where(F.size("_item") >= max(1, shortest))
     )
+    classes = [F.when(F.size("_item") >= least, least) for least, _ in MASKS]
+    classed = items.withColumn("_least", F.coalesce(*classes))
+    present = sorted(r[0] for r in classed.select("_least").distinct().collect()) or [MASKS[0][0]]
+    masks = sorted({mask for least in present for mask in masks_of(least)})
     known = checkpointed(
-        items.select("item_id", F.explode(seeds(F.col("_item"), masks)).alias("_s"))
+        reduce(DataFrame.unionByName, [item_seeds(classed, least) for least in present])
         .select("item_id", F.col("_s.seed").alias("seed"), F.col("_s.place").alias("_at"))
         .distinct()
     )

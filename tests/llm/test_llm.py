@@ -235,6 +235,37 @@ def test_leaks(spark, limit, monkeypatch):
     assert rows(decontaminate.contaminated(docs.limit(0), items)) == []
 
 
+@pytest.mark.parametrize("n", range(1, 21))
+def test_masks_meet_every_placement(n):
+    import itertools
+
+    marks = [[i for i, c in enumerate(m) if c == "1"] for m in decontaminate.masks_of(n)]
+    for away in itertools.combinations(range(n), n - int(np.ceil(n * decontaminate.SHARE))):
+        runs = ({s + i for i in m} for m in marks for s in range(n - m[-1]))
+        assert any(run.isdisjoint(away) for run in runs), away
+
+
+def test_leaks_with_any_places_replaced_and_short_items(spark):
+    def without(n, *places):
+        return " ".join("other" if i in places else f"t{i}" for i in range(n))
+
+    docs = [
+        (1, without(20, 3, 7, 11, 15)), (2, "a " + without(15, 2, 6, 10) + " b"), (3, without(10, 3, 6)),
+        (4, "x u0 u1 u2 y"), (5, "u0 u1"), (6, "before v0 v1 other v3 v4 after"), (7, "solo w"), (8, None),
+    ]
+    items = [
+        (20, without(20)), (15, without(15)), (10, without(10)), (3, "u0 u1 u2"), (5, "v0 v1 v2 v3 v4"),
+        (1, "Solo!"), (0, ""), (4, "z0 z1 z2 z3"),
+    ]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items, shortest=1).collect()}
+    assert {(1, 20), (2, 15), (3, 10), (4, 3), (6, 5), (7, 1)} <= found
+    assert {d for d, _ in found} == {1, 2, 3, 4, 6, 7}
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
+    assert {(1, 20), (2, 15), (3, 10)} <= found and not {i for _, i in found} & {1, 3, 5}
+
+
 def test_leaks_against_exact_search(spark, documents):
     tokens = lambda t: " " + " ".join(re.findall(r"[^\W_]+", t.lower())) + " "
     items = rows(spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text"))
