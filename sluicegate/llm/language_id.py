@@ -6,6 +6,10 @@ trained here in numpy, by backpropagation, on a bounded sample of labelled windo
 every window of every whole text; a text's probabilities are the mean over its windows, weighted by
 their bytes.
 
+With ``reject`` the network also learns a class of windows that are no language: random and scrambled
+characters.  Its probability rejects a text if it is over a limit, set on labelled windows that did not
+train so that nearly all of them stay; the text gets ``und`` and score 0.
+
 A text that is null or has no letter gets ``und`` and score 0.  Texts without label train nothing.
 Without any labelled text every text is ``und``.  Ties go to the first language in order of name."""
 
@@ -38,6 +42,7 @@ class Network:
     def __init__(self, labels, embedding=8, widths=(2, 3, 4), filters=20, seed=7):
         rng = np.random.default_rng(seed)
         self.labels, self.widths, self.filters = tuple(labels), tuple(widths), filters
+        self.limit = None  # with one, the last label is the class of no language
         draw = lambda scale, *shape: rng.normal(0, scale, shape).astype(np.float32)
         self.weights = {"embedding": draw(0.5, 256, embedding)}
         for k in widths:
@@ -152,6 +157,10 @@ class Network:
             flush()
         for i in np.flatnonzero(sizes):
             share = sums[i] / sizes[i]
+            if self.limit is not None:
+                if share[-1] > self.limit:
+                    continue
+                share = share[:-1]
             best = int(np.argmax(share))
             found[i] = (self.labels[best], float(min(1.0, share[best])))
         return found
@@ -193,22 +202,71 @@ def training_windows(labelled, doc_id="doc_id", text="text", label="lang", docum
     return [(r[0], r[3]) for r in rows if LETTER.search(r[3])]
 
 
-def fit(labelled, doc_id="doc_id", text="text", label="lang", documents=300, spans=8, **settings):
-    """A network for the labels of ``labelled`` rows."""
-    sample = training_windows(labelled, doc_id, text, label, documents, spans)
-    labels = sorted({k for k, _ in sample})
-    network = Network(labels, **settings)
-    if not sample:
-        return network
-    batch = np.zeros((len(sample), WINDOW), np.uint8)
-    rng = np.random.default_rng(5)
-    for row, (_, part) in zip(batch, sample):
+ASCII = np.array([chr(c) for c in range(33, 127)])
+ALPHABETS = (ASCII, ASCII[15:25], np.array(list("0123456789abcdef")), np.array(list("abcdefghijklmnopqrstuvwxyz")))
+
+
+def no_language(part, kind, rng):
+    """A text of the length of ``part`` that is none: shuffled, drawn from an alphabet, or repeated."""
+    signs = list(part)
+    spaces = [i for i, c in enumerate(signs) if c.isspace()]
+    if kind % 3 == 0:  # the same characters, the words where they were or not
+        letters = [c for c in signs if not c.isspace()]
+        rng.shuffle(letters)
+        drawn = iter(letters)
+        return "".join(c if c.isspace() else next(drawn) for c in signs)
+    if kind % 3 == 1:
+        own = np.array(sorted({c for c in signs if not c.isspace()}) or ["a"])
+        choices = (*ALPHABETS, own, np.array(list(ASCII[32:58]) + list(ASCII[64:90])))
+        drawn = rng.choice(choices[rng.integers(len(choices))], len(signs))
+        if rng.random() < 0.7:
+            drawn[spaces] = " "
+        return "".join(drawn)
+    unit = "".join(rng.choice(ALPHABETS[3], rng.choice([1, 1, 1, 2, 3, 4, 6])))
+    unit += " " if rng.random() < 0.4 else ""
+    return (unit * len(signs))[: max(len(signs), 1)]
+
+
+def as_windows(parts, seed=5):
+    batch = np.zeros((len(parts), WINDOW), np.uint8)
+    rng = np.random.default_rng(seed)
+    for row, part in zip(batch, parts):
         data = np.frombuffer(part.encode("utf-8", "replace")[:WINDOW], np.uint8)
         if rng.random() < 0.4:  # short texts are met too
             data = data[: rng.integers(12, 120)]
         row[: len(data)] = data
-    wanted = np.array([labels.index(k) for k, _ in sample])
-    return network.train(batch, wanted)
+    return batch
+
+
+def fit(
+    labelled, doc_id="doc_id", text="text", label="lang", documents=300, spans=8, reject=None, **settings
+):
+    """A network for the labels of ``labelled`` rows.
+
+    ``reject``: labelled rows that do not train, on which the limit of the class of no language is set."""
+    sample = training_windows(labelled, doc_id, text, label, documents, spans)
+    labels = sorted({k for k, _ in sample})
+    if not sample or reject is None:
+        network = Network(labels, **settings)
+    else:
+        network = Network([*labels, UNKNOWN], **settings)
+    if not sample:
+        return network
+    wanted = [labels.index(k) for k, _ in sample]
+    parts = [part for _, part in sample]
+    if reject is not None:
+        rng = np.random.default_rng(11)
+        count = min(len(parts), max(600, 2 * len(parts) // len(labels)))
+        for kind, i in enumerate(rng.permutation(len(parts))[:count].tolist()):
+            parts.append(no_language(parts[i], kind, rng))
+            wanted.append(len(labels))
+    network.train(as_windows(parts), np.array(wanted))
+    if reject is not None:
+        clean = [p for _, p in training_windows(reject, doc_id, text, label, documents // 3, spans // 2)]
+        clean = network.probabilities(as_windows(clean, 6))[:, -1]
+        network.limit = float(np.quantile(np.concatenate([clean, [0.5]]), 0.999)) if len(clean) else 0.5
+        network.limit = max(0.5, network.limit)
+    return network
 
 
 def identify(docs, network, text="text", label="lang_pred", score="score"):

@@ -676,3 +676,17 @@ def test_passages_of_over_fifty_words_go(spark):
         left = t.replace(passages[i // 2], "").replace("  ", "")
         assert found[i].text.replace(" ", "") == left.replace(" ", "") and found[i].n_chars == len(found[i].text)
     assert [found[i].text for i in (10, 11)] == [t for _, t in docs[6:]]
+
+
+def test_language_stage_rejects_what_is_no_language(spark):
+    rng = np.random.default_rng(9)
+    draw = lambda signs, n: "".join(rng.choice(list(signs), n))
+    lower, many = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    clean = docs.where("lang is not null").orderBy("doc_id").limit(3).collect()
+    planted = [draw(lower, 900), draw(many, 900), draw(lower + "    ", 900), draw("0123456789abcdef", 900)]
+    planted += ["xq zj " * 150, "a" * 900, *["".join(rng.permutation(list(r.text[:1500]))) for r in clean]]
+    bad = spark.createDataFrame([(10**9 + k, t) for k, t in enumerate(planted)], "doc_id long, text string")
+    kept = corpus_pipeline.language(spark, docs.unionByName(bad, allowMissingColumns=True), None)
+    kept = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()}
