@@ -204,12 +204,13 @@ def folded(start, idx, size, proof, fanout=2):
     return F.aggregate(steps, state, step, lambda s: s["node"])
 
 
-def manifest(leaves, partition, order, fanout=2):
+def manifest(leaves, partition, order, fanout=2, carried=()):
     """The rows of ``leaves`` (a binary column ``digest`` among them) with their place in the manifest.
 
-    Adds tree, idx, size (of the row's tree), trees, subroot, root, proof, top_proof (binary; the proof
+    Gives the columns of partition and order, digest, those to be ``carried``, and tree, idx, size (of the row's tree), trees, subroot, root, proof, top_proof (binary; the proof
     leads from leaf to subroot, the top proof from there to root)."""
-    leaves, trees = placed(leaves, partition, [*order, "digest"])
+    named = dict.fromkeys([partition, *order, "digest", *carried])
+    leaves, trees = placed(leaves.select(*named), partition, [*order, "digest"])
     leaves = checkpointed(leaves)
     nodes = leaves.select("tree", "idx", "size", "digest")
     levels, subroots = climb(nodes, trees, fanout)

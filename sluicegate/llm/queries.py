@@ -124,7 +124,7 @@ def op13_merkle_manifest(spark, sf_dir):
         leaf(columns, {"n_chars": field(more)}).alias("tampered"),
     )
     # stored, as it is read to find ranges and then dealt out by them
-    found = manifest(checkpointed(leaves), "lang", ["doc_id"])
+    found = manifest(checkpointed(leaves), "lang", ["doc_id"], carried=["tampered"])
     sub = folded(F.col("tampered"), F.col("idx"), F.col("size"), F.col("proof"))
     whole = folded(sub, F.col("tree"), F.col("trees"), F.col("top_proof"))
     return (

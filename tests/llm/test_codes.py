@@ -1,0 +1,312 @@
+"""Vector codes, byte-level BPE and the Merkle manifest against brute force and their library."""
+
+import collections
+import hashlib
+import random
+import sys
+import zlib
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
+
+from sluicegate.llm import byte_bpe, merkle, queries, vector_codes  # noqa: E402
+from sluicegate.llm.oracle import ORACLE  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+def rows(frame):
+    return [tuple(r) for r in frame.collect()]
+
+
+def in_order(found):
+    return sorted(found, key=lambda r: [(v is not None, str(v)) for v in r])
+
+
+@pytest.mark.parametrize("name, table", [("op11_vector_codes", "embeddings"), ("op13_merkle_manifest", "documents")])
+def test_queries_against_sql(spark, name, table):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
+    expected = con.execute(ORACLE[name])
+    columns = [d[0] for d in expected.description]
+    found = queries.QUERIES[name](spark, SF)
+    assert sorted(found.columns) == sorted(columns)
+    assert in_order(rows(found.select(*columns))) == in_order(expected.fetchall())
+
+
+# Vector codes ----------------------------------------------------------------------------------
+
+
+def brute_codes(vectors, parts, entries, rounds, scale=256):
+    """(codes, errors, codebooks) of vectors in ascending order of ids."""
+    x = np.array([[np.floor(scale * float(v)) for v in r] for r in vectors]).astype(np.int64)
+    x = x.reshape(len(x), parts, -1)
+    books = x[:entries].transpose(1, 0, 2).copy()
+
+    def nearest():
+        d = ((x[:, :, None, :] - books[None]) ** 2).sum(3)
+        return d.argmin(2), d.min(2)
+
+    for _ in range(rounds):
+        code, _ = nearest()
+        for p in range(parts):
+            for k in range(books.shape[1]):
+                mine = x[code[:, p] == k, p]
+                if len(mine):
+                    books[p, k] = mine.sum(0) // len(mine)
+    code, error = nearest()
+    return code, error.sum(1), books
+
+
+def test_trees_cover_and_separate():
+    rng = np.random.default_rng(3)
+    points = rng.integers(-200, 200, (3, 500, 4))
+    points[1, :200] = points[1, 0]  # copies
+    forest = vector_codes.Forest.grown(points)
+    flat = points.reshape(-1, 4)[forest.order]
+    assert sorted(forest.order.tolist()) == list(range(1500))
+    for node in range(len(forest.first)):
+        own = flat[forest.first[node] : forest.last[node]]
+        far = np.sqrt(((own - own[0]) ** 2).sum(1).max())
+        assert np.isclose(forest.radius[node], far)
+        kids = np.arange(forest.child[node], forest.child[node] + forest.children[node])
+        if not len(kids):
+            assert len(own) <= vector_codes.LEAF or far == 0
+            continue
+        assert forest.first[kids[0]] == forest.first[node] and forest.last[kids[-1]] == forest.last[node]
+        assert (forest.last[kids[:-1]] == forest.first[kids[1:]]).all()
+        scale = 2.0 ** (np.ceil(np.log2(forest.radius[node])) - 1)
+        centres = flat[forest.first[kids]]
+        apart = np.sqrt(((centres[:, None] - centres[None]) ** 2).sum(2))
+        assert (apart[~np.eye(len(kids), dtype=bool)] > scale).all()
+        assert (forest.radius[kids] <= scale).all()
+
+
+@pytest.mark.parametrize("spread, width, entries", [(3, 2, 20), (40, 4, 64), (300, 8, 7)])
+def test_codes_equal_brute_force(spark, spread, width, entries):
+    rng = np.random.default_rng(spread)
+    vectors = np.floor(rng.normal(0, spread, (700, 4 * width))) / 256  # many ties with a small spread
+    vectors[100:300] = vectors[7]
+    frame = spark.createDataFrame([(i, v.tolist(), None) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    found, books = vector_codes.compress_vectors(frame.repartition(3), 4, entries, 2)
+    code, error, wanted = brute_codes(vectors, 4, entries, 2)
+    assert (books == wanted).all()
+    got = {r.vec_id: (bytes(r.code), r.error) for r in found.collect()}
+    assert got == {i: (bytes(c.tolist()), int(e)) for i, (c, e) in enumerate(zip(code, error))}
+
+
+def test_odd_vectors(spark):
+    schema = "vec_id long, embedding array<float>, label string, code int, error string, rows int"
+    good = [(10 + i, [i / 7, -i / 3, 0.25 * i, 1.0], "a" if i % 2 else None, 1, "clash", 2) for i in range(9)]
+    odd = [
+        (1, None, "a"), (2, [0.1, None, 0.2, 0.3], "a"), (3, [float("nan")] * 4, "a"), (4, [float("inf"), 0.0, 0.0, 0.0], "a"),
+        (5, [], "b"), (6, [1.0, 2.0], "b"), (7, [1e30, 0.0, 0.0, 0.0], "b"), (None, [0.5, 0.5, 0.5, 0.5], None),
+    ]
+    frame = spark.createDataFrame(good + good[:2] + [(*r, 1, "x", 2) for r in odd], schema)
+    found, books = vector_codes.compress_vectors(frame, 2, 3, 2)
+    got = vector_codes.with_label_error(found).collect()
+    ids = sorted((r.vec_id is None, r.vec_id or 0) for r in got)
+    assert ids == sorted([(False, r[0]) for r in good + good[:2]] + [(False, 5), (False, 6), (False, 7), (True, 0)])
+    assert all((r.code is None) == (r.vec_id in (5, 6, 7)) for r in got)
+    vectors = [r[1] for r in sorted(good + good[:2], key=lambda r: r[0])] + [[0.5] * 4]
+    code, error, wanted = brute_codes(vectors, 2, 3, 2)
+    assert (books == wanted).all()
+    assert sorted(r.error for r in got if r.error is not None) == sorted(error.tolist())
+    sums = {r.label: r.label_error for r in got}
+    assert sums["a"] == sum(r.error for r in got if r.label == "a") and sums["b"] is None
+    assert sums[None] == sum(r.error for r in got if r.label is None)
+    empty, books = vector_codes.compress_vectors(frame.where("false"), 2, 3, 2)
+    assert rows(vector_codes.with_label_error(empty)) == [] and books.size == 0
+    uneven, books = vector_codes.compress_vectors(frame, 3, 3, 2)  # 4 components, 3 parts
+    assert {r.code for r in uneven.collect()} == {None}
+
+
+# Byte-level BPE --------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def ranks_path():
+    return queries.tokenizer_path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def library(ranks_path):
+    tiktoken = pytest.importorskip("tiktoken")
+    return tiktoken.Encoding(
+        "own", pat_str=queries.tokenizer_pattern(), mergeable_ranks=byte_bpe.read_ranks(ranks_path), special_tokens={}
+    )
+
+
+@pytest.fixture(scope="module")
+def vocabulary(ranks_path):
+    return byte_bpe.Vocabulary(byte_bpe.Vocabulary.data(ranks_path, queries.tokenizer_pattern()))
+
+
+def texts_of_all_kinds():
+    draw = random.Random(5)
+    plane = lambda: draw.choice([(32, 127), (160, 0x3000), (0x4E00, 0xA000), (0x10000, 0x1FFFF), (9, 14), (0x55, 0x60)])
+    out = ["", " ", "a" * 5000, "ab" * 400, "é" * 900, " \n\t " * 80, "x" * 257, "9" * 256, "\x1c\x1d a\x85b c", "<|endoftext|>"]
+    out.append("".join(map(chr, [0x558, 0x88F, 0x1C89, 0xA7CB, 65, 32, 0x10D40, 0x1246F, 0x661, 0x4E00] * 9)))
+    out += ["".join(chr(draw.randrange(*plane())) for _ in range(draw.randrange(300))) for _ in range(200)]
+    out += ["".join(draw.choice("abcdefgh ") for _ in range(draw.randrange(900))) for _ in range(100)]
+    return out
+
+
+def test_ids_are_the_library_s(vocabulary, library):
+    texts = texts_of_all_kinds()
+    flat, counts = vocabulary.encode(texts)
+    found = [part.tolist() for part in np.split(flat, np.cumsum(counts)[:-1])]
+    assert found == [library.encode_ordinary(t) for t in texts]
+    made, lengths = vocabulary.decode(flat)
+    assert made.tobytes() == "".join(texts).encode() and lengths.sum() == len(made)
+
+
+def test_long_pieces_and_long_texts(vocabulary, library, monkeypatch):
+    piece = "".join(random.Random(2).choice("etaoin") for _ in range(1200)).encode()
+    by_rows, counts = vocabulary.encode_pieces([piece[:256], piece[300:555]])
+    assert by_rows.tolist() == vocabulary.merge_long(piece[:256]) + vocabulary.merge_long(piece[300:555])
+    assert vocabulary.merge_long(piece) == library.encode_ordinary(piece.decode())
+    text = "word and another one, " * 300
+    whole, _ = vocabulary.encode([text])
+    monkeypatch.setattr(byte_bpe, "LONG", 100)
+    monkeypatch.setattr(byte_bpe, "BLOCK", 7)
+    assert vocabulary.encode([text])[0].tolist() == whole.tolist()
+    monkeypatch.setattr(byte_bpe, "CELLS", 64)
+    assert vocabulary.encode([text, piece.decode()])[0].tolist()[: len(whole)] == whole.tolist()
+
+
+def test_op12_against_the_library(spark, library):
+    found = {r.doc_id: tuple(r)[1:] for r in queries.op12_byte_bpe(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    wanted = {}
+    for r in docs:
+        ids = library.encode_ordinary(r.text or "")
+        wanted[r.doc_id] = (len(ids), sha(",".join(map(str, ids)).encode()), sha((r.text or "").encode()))
+    assert found == wanted
+
+
+def test_bpe_of_odd_rows(spark, ranks_path, library):
+    pattern = queries.tokenizer_pattern()
+    long = "".join(random.Random(8).choice("abc de\n") for _ in range(400_000))
+    data = [(1, "same", 5), (1, "same", 5), (2, None, 6), (None, "no id", 7), (3, "", 8), (4, long, 9)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, ids int")
+    encoded = byte_bpe.encode_documents(frame, ranks_path, pattern)
+    assert encoded.columns == ["doc_id", "ids"]
+    decoded = rows(byte_bpe.decode_documents(encoded, ranks_path, pattern))
+    key = lambda r: (r[0] is not None, r[0] or 0)
+    found = sorted(((r[0], r[1], bytes(r[2]).decode()) for r in decoded), key=key)
+    wanted = [(r[0], library.encode_ordinary(r[1] or ""), r[1] or "") for r in data]
+    assert found == sorted(wanted, key=key)
+    none = byte_bpe.encode_documents(frame.where("false"), ranks_path, pattern)
+    assert rows(byte_bpe.decode_documents(none, ranks_path, pattern)) == []
+    null = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
+    assert [bytes(r[2]) for r in rows(byte_bpe.decode_documents(null, ranks_path, pattern))] == [b""]
+
+
+# Merkle manifest -------------------------------------------------------------------------------
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def brute_manifest(data, fanout=2):
+    """{(lang, place): (doc_id, leaf, subroot, root, proof, siblings' places)} of (doc_id, lang, text) rows."""
+    coded = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    groups = collections.defaultdict(list)
+    for r in data:
+        groups[r[1]].append((r[0], sha("".join(map(coded, r)))))
+
+    def tree(level):
+        levels = [level]
+        while len(levels[-1]) > 1:
+            now = levels[-1]
+            levels.append([sha("".join(now[i : i + fanout])) for i in range(0, len(now), fanout)])
+        return levels
+
+    def path(levels, i):
+        out = []
+        for level in levels[:-1]:
+            first = i // fanout * fanout
+            run = level[first : first + fanout]
+            out.append((run[: i - first], run[i - first + 1 :]))
+            i //= fanout
+        return out
+
+    names = sorted(groups, key=lambda v: (v is not None, (v or "").encode()))
+    trees = {}
+    for name in names:
+        groups[name].sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        trees[name] = tree([leaf for _, leaf in groups[name]])
+    top = tree([trees[n][-1][0] for n in names])
+    out = []
+    for k, name in enumerate(names):
+        for i, (doc, leaf) in enumerate(groups[name]):
+            below, above = path(trees[name], i), path(top, k)
+            proof = ["".join("".join(a + b) for a, b in p) for p in (below, above)]
+            node = leaf
+            for a, b in below + above:
+                node = sha("".join([*a, node, *b]))
+            assert node == top[-1][0]
+            out.append((doc, name, leaf, trees[name][-1][0], top[-1][0], *proof))
+    return out
+
+
+def some_rows(n, langs, seed):
+    draw = random.Random(seed)
+    return [(draw.choice([None, *range(n)]), draw.choice(langs), draw.choice([None, "", "é" * 9, str(draw.random())])) for _ in range(n)]
+
+
+@pytest.mark.parametrize(
+    "fanout, data",
+    [
+        (2, some_rows(90, ["en", "de", None], 1) + [(5, "one", "alone"), (5, "é", "x"), (5, "z", "y")]),
+        (2, [(i, f"lang {i % 23}", "t") for i in range(60)]),
+        (2, [(1, None, None)]),
+        (2, [(7, "en", "same")] * 33 + [(7, "de", "same")] * 2),
+        (3, some_rows(100, ["en", "de", None, "fr", "it"], 2)),
+        (5, some_rows(131, ["en", "de"], 3)),
+    ],
+)
+@pytest.mark.parametrize("broadcast", [merkle.BROADCAST_BYTES, 0])
+def test_manifest_equals_brute_force(spark, monkeypatch, fanout, data, broadcast):
+    if broadcast == 0 and len(data) > 100:
+        pytest.skip("one shuffled case of each fanout is enough")
+    monkeypatch.setattr(merkle, "BROADCAST_BYTES", broadcast)
+    columns = ["doc_id", "lang", "text"]
+    frame = spark.createDataFrame(data, "doc_id long, lang string, text string").repartition(3)
+    leaves = frame.select("doc_id", "lang", merkle.leaf(columns).alias("digest"))
+    found = merkle.manifest(leaves, "lang", ["doc_id"], fanout)
+    sub = merkle.folded(F.col("digest"), F.col("idx"), F.col("size"), F.col("proof"), fanout)
+    whole = merkle.folded(sub, F.col("tree"), F.col("trees"), F.col("top_proof"), fanout)
+    text = lambda c: merkle.as_text(F.col(c))
+    got = found.select(
+        "doc_id", "lang", *[text(c) for c in ("digest", "subroot", "root", "proof", "top_proof")],
+        merkle.as_text(whole) == text("root"),
+    ).collect()
+    assert all(r[-1] for r in got)
+    key = lambda r: [(v is not None, str(v)) for v in r]
+    assert sorted((tuple(r)[:-1] for r in got), key=key) == sorted(brute_manifest(data, fanout), key=key)
+
+
+def test_manifest_of_nothing_and_clashes(spark):
+    frame = spark.createDataFrame([], "doc_id long, lang string, digest binary, idx string, tree int, _salt int")
+    found = merkle.manifest(frame, "lang", ["doc_id"])
+    assert rows(found) == [] and dict(found.dtypes)["idx"] == "bigint"
+    one = spark.createDataFrame([(1, "en", b"x" * 32, "clash", 5, 6)], frame.schema)
+    (row,) = merkle.manifest(one, "lang", ["doc_id"]).collect()
+    assert (row.idx, row.tree, bytes(row.root), bytes(row.proof)) == (0, 0, b"x" * 32, b"")
+
+
+def test_tampering_shows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    found = {r.doc_id: r for r in queries.op13_merkle_manifest(spark, SF).collect()}
+    for r in docs:
+        tampered = zlib.crc32(str(r.doc_id).encode()) % 7 == 0 and r.n_chars is not None
+        assert found[r.doc_id].verified == (not tampered)
