@@ -32,6 +32,7 @@ class RouterConfig:
     ``max_broadcast_bytes``, ``max_broadcast_schemas``: schemas up to this size are broadcast.
     ``max_copied_bytes``: larger ones are copied for salted joins up to this size in all.
     ``max_field_types``: the job stops if the routing field has more types than this in all schemas.
+    ``hold_seconds``: how long messages with an unknown schema id wait for it; 0: they are errors at once.
     ``keep_batches``: keep a micro-batch for its second sink instead of reading it again.
     """
 
@@ -63,6 +64,7 @@ class RouterConfig:
     max_copied_bytes: int = 8 << 30
     max_field_types: int = 1000
     keep_batches: bool = False
+    hold_seconds: int = 0
 
     def __post_init__(self):
         for name, allowed in (
@@ -134,6 +136,7 @@ ENVIRONMENT |= {
     "MAX_COPIED_BYTES": "max_copied_bytes",
     "MAX_FIELD_TYPES": "max_field_types",
     "KEEP_BATCHES": "keep_batches",
+    "HOLD_UNKNOWN_SECONDS": "hold_seconds",
 }
 
 # How a setting of each type is read from a text.

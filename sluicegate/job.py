@@ -1,8 +1,9 @@
 """The router as a job, set up by environment variables: ``python -m sluicegate.job``.
 
-Without a rules table, a target table or a fallback folder it is one plain streaming query.
-With any of them each micro-batch is routed with the rules and schemas of its moment and
-written to every sink."""
+Without a rules table, a target table, a fallback folder, a time to wait for late schemas or a registry too
+large to broadcast it is one plain streaming query.  With any of them each micro-batch is routed with
+the rules and schemas of its moment, noted in a ledger beside the checkpoint for replays, and
+written to every sink; with several sinks it is read and decoded once, into files that they share."""
 
 import json
 import os
@@ -13,12 +14,14 @@ from pyspark.sql import SparkSession
 
 from sluicegate.config import DEFAULT_RULES, RouterConfig
 from sluicegate.operators.rules import Rules
-from sluicegate.operators.schemas import SCHEMA_COLUMNS
+from sluicegate.operators.schemas import SCHEMA_COLUMNS, Registry
 from sluicegate.plans.route import route
 from sluicegate.session import SETTINGS
 from sluicegate.sources.kafka import read_stream
-from sluicegate.sources.tables import rules_from_jdbc, schemas_from_files
-from sluicegate.streaming.metrics import RoutingMetrics, observe_routing
+from sluicegate.sources.tables import rules_from_jdbc, schemas_from_files, table_from_jdbc
+from sluicegate.streaming.ledger import Ledger
+from sluicegate.streaming.metrics import BatchCounts, RoutingMetrics, observe_routing
+from sluicegate.streaming.once import append_once
 from sluicegate.streaming.run import route_batches
 from sluicegate.streaming.sinks import (
     append_to_jdbc,
@@ -26,7 +29,10 @@ from sluicegate.streaming.sinks import (
     matched_events,
     oversized,
     persisted,
+    run_id,
+    staged,
     to_kafka,
+    write_staged,
     write_with_fallback,
 )
 
@@ -114,22 +120,43 @@ def object_store(env):
 
 
 def batch_writer(config, env, sink=append_to_kafka):
-    """Writer of one routed micro-batch to the sinks the environment names."""
-    target = env.get("MSSQL_TARGET_TABLE")
-    fallback = fallback_folder(env)
+    """Writer of one routed micro-batch to the sinks the environment names.
+
+    Rows of the target table carry source topic, partition and offset; a replayed batch adds only those
+    that the table does not have yet."""
+    target, fallback = env.get("MSSQL_TARGET_TABLE"), fallback_folder(env)
+    base = config.checkpoint.rstrip("/")
+    ledger = Ledger(f"{base}/ledger") if base else None
+
+    def append(events, batch_id):
+        connection = database(env, target)
+        spark, run = events.sparkSession, run_id(events)
+        begun = ledger is not None and ledger.begun(spark, run, batch_id, "target")
+        append_once(
+            events,
+            lambda rows: append_to_jdbc(rows, **connection),
+            lambda: table_from_jdbc(spark, **connection),
+            begun,
+        )
+
+    def write_from_files(routed, batch_id):
+        rows = staged(routed, f"{base}/staged", config if fallback else None)
+        write_staged(rows, lambda r: sink(r, config), f"{fallback}/oversized", batch_id)
+        if target:  # what reached its topic
+            append(matched_events(rows.where("sink = 'valid'")), batch_id)
 
-    def write(routed, batch_id):
+    def write_each(routed, batch_id):
         with persisted(routed, config.keep_batches):
             if fallback:
                 folder = f"{fallback}/oversized"
                 write_with_fallback(routed, config, lambda r: sink(r, config), folder, batch_id)
             else:
                 sink(routed, config)
-            if target:  # what reached its topic
+            if target:
                 sent = routed.where(~oversized(config)) if fallback else routed
-                append_to_jdbc(matched_events(sent), **database(env, target))
+                append(matched_events(sent), batch_id)
 
-    return write
+    return write_from_files if base and (target or fallback) else write_each
 
 
 def start(spark, env, messages=None):
@@ -141,21 +168,40 @@ def start(spark, env, messages=None):
     load_schemas, load_rules = schemas_loader(spark, env, config), rules_loader(spark, env)
     for name, value in object_store(env).items():
         spark.sparkContext._jsc.hadoopConfiguration().set(name, value)
+    counted = env.get("OTEL_ENABLE") == "true"
     tables = env.get("MSSQL_RULES_TABLE") or env.get("MSSQL_TARGET_TABLE")
-    if tables or fallback_folder(env):
+    late = config.hold_seconds and config.schema_mode == "message"
+    if tables or fallback_folder(env) or late or too_large(load_schemas, config):
+        counts = None
+        if counted:  # topics of the rules at the start; others count in the total
+            counts = BatchCounts(spark, topics_of(load_rules(), config), config.error_style)
         write = batch_writer(config, env)
         return route_batches(
-            messages, load_schemas, load_rules, config, write, config.checkpoint
-        )
+            messages, load_schemas, load_rules, config, write, config.checkpoint,
+            hold=config.hold_seconds, counts=counts,
+        )
     rules = Rules.of(load_rules())
     routed = route(messages, load_schemas(), rules, config)
-    if env.get("OTEL_ENABLE") == "true":
-        topics = [f"{config.topic_prefix}_{b}" for b in rules.buckets] + [config.errors_topic]
+    if counted:
+        topics = topics_of(rules, config)
         routed = observe_routing(routed, topics, config.error_style)
         spark.streams.addListener(RoutingMetrics(spark, topics))
     return to_kafka(routed, config)
 
 
+def topics_of(rules, config):
+    return [f"{config.topic_prefix}_{b}" for b in Rules.of(rules).buckets] + [config.errors_topic]
+
+
+def too_large(load_schemas, config):
+    """Whether the registry cannot be broadcast as a whole.  A plain stream would then join it to all
+    messages; a micro-batch knows its ids and broadcasts the schemas in use."""
+    if config.schema_mode == "reader":
+        return False
+    limits = config.max_broadcast_bytes, config.max_broadcast_schemas, config.max_copied_bytes
+    return Registry.load(load_schemas(), *limits).texts is None
+
+
 def main():
     builder = SparkSession.builder.appName("message-router")
     for key, value in SETTINGS.items():

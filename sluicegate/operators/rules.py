@@ -2,6 +2,7 @@
 
 import json
 import math
+from collections import deque
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -21,6 +22,8 @@ JOINED_BYTES = 40_000  # of patterns in one; the JVM's limit for a text constant
 # unmatched, because the JVM does not optimise generated methods much larger.
 COLUMN_PATTERNS = 16
 
+_CHECKED = deque(maxlen=8)  # rules found good lately: micro-batches bring the same ones again
+
 RULE_COLUMNS = "ord int, pattern string, bucket string"
 
 
@@ -67,10 +70,12 @@ class Rules:
 
     def check(self, spark):
         """Raise ``ValueError`` for a pattern Spark cannot use, before any message is read."""
-        patterns = list(dict.fromkeys(p for p, _ in self.pairs))
-        if not _usable(spark, patterns):
-            bad = [p for p in patterns if not _usable(spark, [p])]
-            raise ValueError(f"not regular expressions: {bad}")
+        if self.pairs not in _CHECKED:
+            patterns = list(dict.fromkeys(p for p, _ in self.pairs))
+            if not _usable(spark, patterns):
+                bad = [p for p in patterns if not _usable(spark, [p])]
+                raise ValueError(f"not regular expressions: {bad}")
+            _CHECKED.append(self.pairs)
         return self
 
     @property

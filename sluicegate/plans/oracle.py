@@ -245,6 +245,25 @@ ORACLE = {
     "q_stream_route": of_messages(f"event_id, {TOPIC} as topic"),
     "q_stream_resume": of_messages(f"event_id, {TOPIC} as topic"),
     "q_foreachbatch": of_messages(f"event_id, {TOPIC} as topic"),
+    "q_rules_replay": of_messages(
+        f"event_id, case when error is null then {bucket(TEXT)} end as bucket, "
+        "case when source_topic = 'raw-a' then 2 else 1 end as attempts",
+        "source_topic = 'raw-a'",
+    )
+    + " union all "
+    + "select event_id, case when error is null then "
+    + f"{SWAPPED} end as bucket, 1 as attempts from m where source_topic = 'raw-b'",
+    "q_late_schema": of_messages(
+        f"event_id, case when s <> 9 or event_id % 4 < 3 then {TOPIC} end as topic, "
+        "case when s <> 9 or event_id % 4 < 3 then error end as error, "
+        "case when s = 3 and event_id % 4 = 0 then 1 when s <> 9 then event_id % 4 "
+        "when event_id % 4 < 2 then 2 when event_id % 4 = 2 then 3 end as batch_id"
+    ),
+    "q_matched_replay": of_messages(
+        "event_id, source_topic, key_hex, schema_id, phone as route_value, "
+        f"{bucket(TEXT)} as bucket, {TOPIC} as topic, 1 as n",
+        "error is null",
+    ),
     "q_matched_table": of_messages(
         "event_id, source_topic, key_hex, schema_id, phone as route_value, "
         f"{bucket(TEXT)} as bucket, {TOPIC} as topic",
@@ -271,4 +290,5 @@ ORACLE = {
         select {TOPIC} as topic, error, count(*) as n from m group by 1, 2""",
 }
 
+ORACLE["q_batch_counts"] = ORACLE["q_stream_counts"]
 ORACLE["q_decode_joined_registry"] = ORACLE["q_decode_large_registry"]

@@ -4,6 +4,7 @@ Results have primitive columns only: bytes as hex, a header as two strings."""
 
 import json
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from sluicegate.config import RouterConfig
@@ -31,15 +32,19 @@ from sluicegate.sources.tables import (
     rules_from_files,
     schemas_from_files,
 )
-from sluicegate.streaming.metrics import RoutingMetrics, observe_routing
+from sluicegate.streaming.ledger import Ledger
+from sluicegate.streaming.metrics import BatchCounts, RoutingMetrics, observe_routing
+from sluicegate.streaming.once import append_once
 from sluicegate.streaming.run import route_batches
 from sluicegate.streaming.sinks import (
     matched_events,
+    run_id,
+    staged,
     to_batches,
     to_files,
     write_batch,
-    write_branches,
-    write_with_fallback,
+    write_sinks,
+    write_staged,
 )
 
 CONFIG = RouterConfig(default_schema=fx.SCHEMA_7, input_topics=("raw-a", "raw-b"))
@@ -431,16 +436,17 @@ def q_stream_resume(spark, sf_dir):
 
 
 def q_foreachbatch(spark, sf_dir):
-    """Valid and rejected messages to two sinks from one stream."""
+    """Valid and rejected messages to two sinks from one stream, in one write per batch."""
     base = work_dir(spark, "foreachbatch")
     rows = route(event_stream(spark, sf_dir), fx.schemas_table(spark), fx.RULES, CONFIG)
 
     def step(batch, batch_id):
-        write_branches(batch, f"{base}/valid", f"{base}/errors", batch_id)
+        write_sinks(batch, f"{base}/out", batch_id)
 
     finish(to_batches(rows, step, f"{base}/checkpoint", once=True))
-    valid = spark.read.parquet(f"{base}/valid").select(event_id(), "topic")
-    return valid.unionAll(spark.read.parquet(f"{base}/errors").select(event_id(), "topic"))
+    out = spark.read.parquet(f"{base}/out")
+    valid, rejected = (out.where(F.col("sink") == sink) for sink in ("valid", "errors"))
+    return valid.select(event_id(), "topic").unionAll(rejected.select(event_id(), "topic"))
 
 
 def q_rules_refresh(spark, sf_dir):
@@ -465,6 +471,82 @@ def q_rules_refresh(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").select(event_id(), "bucket")
 
 
+class SinkDown(Exception):
+    """A stand-in sink that fails after it has written."""
+
+
+def until_done(start):
+    """Run a bounded stream again after each failure of its stand-in sink, as a restarted job would."""
+    while True:
+        try:
+            return finish(start())
+        except StreamingQueryException as e:
+            if SinkDown.__name__ not in str(e):
+                raise
+
+
+def q_rules_replay(spark, sf_dir):
+    """A batch that fails after its write and is replayed after a change of rules goes where it went."""
+    base, attempts = work_dir(spark, "rules-replay"), []
+    fx.schemas_table(spark).write.parquet(f"{base}/schemas")
+
+    def write(rows, batch_id):
+        attempts.append(batch_id)
+        write_batch(rows, f"{base}/out/attempt={len(attempts)}", batch_id)
+        if len(attempts) == 1:
+            stored_rules(spark, f"{base}/rules", SWAPPED)
+            raise SinkDown
+
+    def start():
+        return route_batches(
+            message_stream(spark, f"{base}/in"),
+            lambda: schemas_from_files(spark, f"{base}/schemas"),
+            lambda: rules_from_files(spark, f"{base}/rules"),
+            CONFIG,
+            write,
+            f"{base}/checkpoint",
+            once=True,
+        )
+
+    stored_rules(spark, f"{base}/rules", fx.RULES)
+    for topic in CONFIG.input_topics:
+        from_topics(messages(spark, sf_dir), [topic]).write.mode("append").parquet(f"{base}/in")
+        until_done(start)
+    out = spark.read.parquet(f"{base}/out")
+    return out.groupBy(event_id(), "bucket").agg(F.count("*").alias("attempts"))
+
+
+def q_late_schema(spark, sf_dir):
+    """Messages wait for their schema: one is registered before the second batch, one never."""
+    base, times = work_dir(spark, "late-schema"), [0, 10, 1000, 5000]
+    for turn, now in enumerate(times):
+        fx.schemas_table(spark).where("schema_id = 7" if turn == 0 else "true").write.mode(
+            "overwrite"
+        ).parquet(f"{base}/schemas")
+        some = messages(spark, sf_dir).where(F.col("offset") % len(times) == turn)
+        some.write.mode("append").parquet(f"{base}/in")
+        query = finish(
+            route_batches(
+                message_stream(spark, f"{base}/in"),
+                lambda: schemas_from_files(spark, f"{base}/schemas"),
+                lambda: fx.RULES,
+                CONFIG,
+                lambda rows, batch_id: write_batch(rows, f"{base}/out", batch_id),
+                f"{base}/checkpoint",
+                ledger=Ledger(f"{base}/checkpoint/ledger", clock=lambda: now),
+                hold=100,
+                once=True,
+            )
+        )
+    left = spark.read.parquet(f"{base}/out").select(event_id(), "topic", "error", "batch_id")
+    last = len(times) - 1
+    waits = spark.read.parquet(f"{base}/checkpoint/waiting/run={query.id}/turn={last % 2}")
+    none = F.lit(None)
+    return left.unionAll(
+        waits.select(event_id(), none.alias("topic"), none.alias("error"), none.alias("batch_id"))
+    )
+
+
 def q_matched_table(spark, sf_dir):
     base = work_dir(spark, "matched")
     rows = route(event_stream(spark, sf_dir), fx.schemas_table(spark), fx.RULES, CONFIG)
@@ -479,6 +561,33 @@ def q_matched_table(spark, sf_dir):
     )
 
 
+def q_matched_replay(spark, sf_dir):
+    """A table that can only be appended to: the first attempt fails half way, the second adds the rest."""
+    base = work_dir(spark, "matched-replay")
+    rows = route(event_stream(spark, sf_dir), fx.schemas_table(spark), fx.RULES, CONFIG)
+    ledger = Ledger(f"{base}/ledger")
+
+    def step(batch, batch_id):
+        begun = ledger.begun(spark, run_id(batch), batch_id, "matched")
+        events_ = matched_events(batch)
+
+        def append(new):
+            new = new if begun else new.where(F.col("offset") % 3 > 0)
+            new.write.mode("append").parquet(f"{base}/matched")
+
+        def existing():
+            return spark.read.schema(events_.schema).parquet(f"{base}/matched")
+
+        append_once(events_, append, existing, begun)
+        if not begun:
+            raise SinkDown
+
+    until_done(lambda: to_batches(rows, step, f"{base}/checkpoint", once=True))
+    matched = spark.read.parquet(f"{base}/matched")
+    names = ["source_topic", "key_hex", "schema_id", "route_value", "bucket", "topic"]
+    return matched.groupBy(event_id(), *names).agg(F.count("*").alias("n"))
+
+
 def q_fallback_files(spark, sf_dir):
     """Messages above the producer's size limit go to files, the others to the sink."""
     base = work_dir(spark, "fallback")
@@ -489,7 +598,7 @@ def q_fallback_files(spark, sf_dir):
         def write(fitting):
             write_batch(fitting, f"{base}/out", batch_id, by=["topic"])
 
-        write_with_fallback(batch, config, write, f"{base}/fallback", batch_id)
+        write_staged(staged(batch, f"{base}/staged", config), write, f"{base}/fallback", batch_id)
 
     finish(to_batches(rows, step, f"{base}/checkpoint", once=True))
     parts = [
@@ -512,6 +621,30 @@ def q_stream_counts(spark, sf_dir):
     return spark.createDataFrame(list(counts.items()), "name string, n bigint")
 
 
+def q_batch_counts(spark, sf_dir):
+    """The same counts of a job that writes batches, added up over several of them."""
+    base = work_dir(spark, "batch-counts")
+    topics = [f"{CONFIG.topic_prefix}_{b}" for b in Rules.of(fx.RULES).buckets]
+    topics.append(CONFIG.errors_topic)
+    counts = BatchCounts(spark, topics)
+    for topic in CONFIG.input_topics:
+        from_topics(messages(spark, sf_dir), [topic]).write.mode("append").parquet(f"{base}/in")
+        query = finish(
+            route_batches(
+                message_stream(spark, f"{base}/in"),
+                lambda: fx.schemas_table(spark),
+                lambda: fx.RULES,
+                CONFIG,
+                lambda rows, batch_id: write_sinks(rows, f"{base}/out", batch_id),
+                f"{base}/checkpoint",
+                counts=counts,
+                once=True,
+            )
+        )
+    found = counts.totals(query.id)
+    return spark.createDataFrame(list(found.items()), "name string, n bigint")
+
+
 QUERIES = {
     "q_wire_split": wire_split("strict"),
     "q_wire_split_lenient": wire_split("lenient"),
@@ -554,8 +687,12 @@ QUERIES = {
     "q_stream_route": q_stream_route,
     "q_stream_resume": q_stream_resume,
     "q_foreachbatch": q_foreachbatch,
+    "q_rules_replay": q_rules_replay,
+    "q_late_schema": q_late_schema,
     "q_matched_table": q_matched_table,
+    "q_matched_replay": q_matched_replay,
     "q_fallback_files": q_fallback_files,
     "q_stream_counts": q_stream_counts,
+    "q_batch_counts": q_batch_counts,
     "q_routing_summary": q_routing_summary,
 }

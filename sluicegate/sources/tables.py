@@ -34,10 +34,14 @@ def jdbc_options(url, table, user="", password="", driver=""):
     return {k: v for k, v in given.items() if v}
 
 
+def table_from_jdbc(spark, **connection):
+    """A database table; filters on it are evaluated there."""
+    return spark.read.format("jdbc").options(**jdbc_options(**connection)).load()
+
+
 def rules_from_jdbc(spark, **connection):
     """A rules table ``ord, pattern, bucket`` in a database; the columns are read by name."""
-    table = spark.read.format("jdbc").options(**jdbc_options(**connection)).load()
-    return table.selectExpr(
+    return table_from_jdbc(spark, **connection).selectExpr(
         "cast(ord as int) as ord",
         "cast(pattern as string) as pattern",
         "cast(bucket as string) as bucket",

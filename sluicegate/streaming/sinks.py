@@ -81,6 +81,40 @@ def write_branches(routed, valid_path, errors_path, batch_id, keep=False):
         write_batch(rejected_messages(routed), errors_path, batch_id)
 
 
+def sink_of(config=None):
+    """Column: the sink of a routed message, ``valid``, ``errors`` or, with a ``config`` that says how
+    much a producer takes, ``fallback``."""
+    sink = F.when(F.col("error").isNull(), "valid").otherwise("errors")
+    return sink if config is None else F.when(oversized(config), "fallback").otherwise(sink)
+
+
+def write_sinks(routed, path, batch_id, config=None):
+    """All sinks of one micro-batch in one write, so its messages are read and decoded once.
+
+    Files lie by sink and topic in the batch's own folder, which a replay replaces as a whole: no
+    sink keeps what another attempt wrote."""
+    write_batch(routed.withColumn("sink", sink_of(config)), path, batch_id, by=["sink", "topic"])
+
+
+def staged(routed, path, config=None):
+    """One micro-batch as files by sink, for sinks that cannot be written together.
+
+    The batch is read and decoded once, into ``path``, which holds the last batch only; every sink then
+    reads its own part of the files.  The rows keep their columns and have ``sink``."""
+    folder = f"{path}/run={run_id(routed)}"
+    made = routed.withColumn("sink", sink_of(config))
+    made.write.mode("overwrite").partitionBy("sink").parquet(folder)
+    return routed.sparkSession.read.schema(made.schema).parquet(folder)
+
+
+def write_staged(rows, write, path, batch_id):
+    """Staged rows to ``write(rows)``, those that a producer would refuse to files under ``path``."""
+    write(rows.where("sink != 'fallback'").drop("sink"))
+    rest = rows.where("sink = 'fallback'").drop("sink")
+    if not rest.isEmpty():  # looks at one file of the sink's folder, if there is one
+        write_batch(rest, path, batch_id)
+
+
 def matched_events(routed):
     """Valid messages as rows of the matched-events table.
 

@@ -32,3 +32,8 @@ def record(**fields):
 
 def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def framed_text(schema_id, body):
+    """Hex of a framed value, from the hex of its body."""
+    return f"00{schema_id:08x}{body}"
