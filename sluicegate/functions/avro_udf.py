@@ -131,6 +131,43 @@ def make_decoder(slots, schemas=None, default=None):
     return F.arrow_udf(decode, returnType=returns).asNondeterministic()
 
 
+def make_sorted_decoder(slots, default=None):
+    """Arrow UDF ``(payload, schema_id, schema_json) -> struct<schema, known, failed, v0, ...>``.
+
+    Rows come sorted by schema id, and before the messages of an id comes a row with its schema text,
+    so the text travels once for all of them.  ``schema`` marks those rows; ``known`` is null for a null
+    id, which ``default`` is for.  Rows after the last batch's end still know its last schema."""
+    returns = T.StructType(
+        [T.StructField(name, T.BooleanType()) for name in ("schema", "known", "failed")]
+        + [T.StructField(f"v{i}", slot.type) for i, slot in enumerate(slots)]
+    )
+
+    def decode(batches):
+        texts = {}  # of the batch's schemas and of the last one before it
+        trees = Schemas(lambda key: default if key is None else texts[key])
+        for payload, ids, found in batches:
+            is_schema = found.is_valid().to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(is_schema)
+            new = ids.take(pa.array(at)).to_pylist()
+            texts.update(zip(new, found.take(pa.array(at)).to_pylist()))
+            framed = ids.is_valid().to_numpy(zero_copy_only=False)
+            there = pc.is_in(ids, value_set=pa.array(list(texts), pa.int64())).to_numpy(zero_copy_only=False)
+            read = pa.array(~is_schema & (~framed | there))
+            body = pc.if_else(read, payload, pa.scalar(None, payload.type))
+            values, failed = decode_batch(body, ids, trees, slots)
+            known = pa.array(there, mask=~framed)
+            yield pa.StructArray.from_arrays(
+                [pa.array(is_schema), known, pa.array(failed), *values], names=[f.name for f in returns]
+            )
+            last = new[-1] if new else next(reversed(texts), None)
+            texts = {last: texts[last]} if last is not None else {}
+
+    def typed(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        return decode(batches)
+
+    return F.arrow_udf(typed, returnType=returns).asNondeterministic()
+
+
 def slot_describer(paths):
     """For ``mapInArrow`` over ``schema_json``: the distinct slots each path can end at."""
 

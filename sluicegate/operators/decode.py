@@ -12,14 +12,14 @@ from sluicegate.functions.avro_types import (
     slots_for,
     spark_type,
 )
-from sluicegate.functions.avro_udf import make_decoder, slot_describer
+from sluicegate.functions.avro_udf import make_decoder, make_sorted_decoder, slot_describer
 from sluicegate.functions.errors import (
     DECODE_FAILED,
     NO_DEFAULT_SCHEMA,
     UNKNOWN_SCHEMA,
 )
 from sluicegate.functions.wire import payload
-from sluicegate.operators.schemas import attach_schema
+from sluicegate.operators.schemas import attach_schema, sorted_in
 
 MAX_TYPES = 1000  # distinct (field, type) pairs; each is a column of the decoder's result
 
@@ -32,6 +32,8 @@ def decode(messages, fields, registry, default_schema="", max_types=MAX_TYPES):
     and ``decode_error``; a field the message's schema does not have is null.  Fields of more
     than ``max_types`` different types in all stop the job before any message is read."""
     registry = registry.in_use(messages)
+    if registry.texts is None and not messages.isStreaming:
+        return _decode_sorted(messages, fields, registry, default_schema, max_types)
     attached = attach_schema(messages, registry)
     framed = F.col("schema_id").isNotNull()
     error = F.when(framed & ~F.col("known"), UNKNOWN_SCHEMA)
@@ -53,6 +55,22 @@ def decode(messages, fields, registry, default_schema="", max_types=MAX_TYPES):
     return _with_fields(messages, attached, decoder(body, key), fields, slots)
 
 
+def _decode_sorted(messages, fields, registry, default_schema, max_types):
+    """Decode with a registry too large to broadcast: messages meet their schema in order, see
+    ``sorted_in``, so no message carries the text.  A stream can't be put together with a table."""
+    slots = _slots_of_table(registry.table, default_schema, _paths(fields), max_types)
+    decoder = make_sorted_decoder([s for found in slots for s in found], default_schema)
+    missing = F.lit(not default_schema.strip())
+    unframed = F.col("schema_id").isNull() & F.col("wire_error").isNull()
+    body = F.when(~(missing & unframed), _body())
+    rows = sorted_in(messages, registry)
+    decoded = rows.withColumn("decoded", decoder(body, "schema_id", "schema_json"))
+    decoded = decoded.where(~F.col("decoded.schema")).drop("schema_json")
+    error = F.when(~F.col("decoded.known"), UNKNOWN_SCHEMA)
+    error = error.when(missing & unframed, NO_DEFAULT_SCHEMA)
+    return _with_fields(messages, decoded.withColumn("schema_error", error), None, fields, slots)
+
+
 def decode_with(messages, fields, schema):
     """Decode every split message with one reader schema, whatever schema id it names."""
     slots = _slots([schema], _paths(fields))
@@ -137,7 +155,8 @@ def _castable(spark, found, wanted):
 
 def _with_fields(messages, ready, call, fields, slots):
     """Turn the decoder's result into the output columns and ``decode_error``."""
-    ready = ready.withColumn("decoded", call)
+    if call is not None:
+        ready = ready.withColumn("decoded", call)
     ok = ~F.col("decoded.failed")
     numbers = iter(range(sum(map(len, slots))))
     columns = []

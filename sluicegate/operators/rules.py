@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sluicegate.config import CATCH_ALL
 from sluicegate.functions.rules import can_join, first_match, first_match_joined, in_order
+from sluicegate.operators import rule_index
 
 # Up to so many rules are searched one by one; more are joined into larger patterns, each of
 # about 8 times the root of their number: one search per pattern for a message without a match
@@ -22,6 +23,9 @@ JOINED_BYTES = 40_000  # of patterns in one; the JVM's limit for a text constant
 # unmatched, because the JVM does not optimise generated methods much larger.
 COLUMN_PATTERNS = 16
 
+INDEXED_RULES = 64  # so many rules are filed by the text they ask for, see rule_index
+NO_CODE = "~"  # behind all codes
+
 _CHECKED = deque(maxlen=8)  # rules found good lately: micro-batches bring the same ones again
 
 RULE_COLUMNS = "ord int, pattern string, bucket string"
@@ -120,19 +124,37 @@ def _matches(text, pairs, anchored):
                 yield first_match(text, in_order(some[i : i + FEW_RULES], anchored=anchored))
 
 
+def _searched(frame, text, pairs, anchored):
+    """``(frame, bucket)`` by searching the rules: several columns where they are many."""
+    bucket = F.lit(None).cast("string")
+    found = list(_matches(text, pairs, anchored))
+    for i in range(0, len(found), COLUMN_PATTERNS):
+        some = F.coalesce(*found[i : i + COLUMN_PATTERNS])
+        frame = frame.withColumn("bucket", F.when(bucket.isNull(), some).otherwise(bucket))
+        bucket = F.col("bucket")
+    return frame, bucket
+
+
 def apply_rules(decoded, rules, config):
-    """Add ``bucket`` for the text in ``route_value``: expressions only, no join.
+    """Add ``bucket`` for the text in ``route_value``: no shuffle.  Few rules are expressions alone; many
+    are filed under the text they ask for and looked up in broadcast tables, see ``rule_index``.
 
     Unmatched messages get the bucket of the catch-all rule, if there is one."""
     text = F.coalesce("route_value", F.lit(""))
-    bucket = F.lit(None).cast("string")
-    matched = decoded
-    found = list(_matches(text, in_order(rules.pairs, config.match), config.anchored))
-    for i in range(0, len(found), COLUMN_PATTERNS):
-        some = F.coalesce(*found[i : i + COLUMN_PATTERNS])
-        rest = F.when(bucket.isNull(), some).otherwise(bucket)
-        matched = matched.withColumn("bucket", rest)
+    pairs = in_order(rules.pairs, config.match)
+    index, rest = {}, ()
+    if len(pairs) >= INDEXED_RULES and sum(len(p) + len(b) for p, b in pairs) <= rule_index.MOST_BYTES:
+        index, rest = rule_index.filed(pairs, config.anchored)
+    if index:
+        others = [(pairs[i][0], rule_index.code(i, pairs[i][1])) for i in rest]
+        matched, codes = rule_index.looked_up(decoded, text, pairs, index, config.anchored)
+        matched, other = _searched(matched, text, others, config.anchored)
+        first = F.least(*codes, other, F.lit(NO_CODE))
+        bucket = F.when(first < NO_CODE, F.substring(first, rule_index.CODE + 1, 1 << 30))
+        matched = matched.withColumn("bucket", bucket).select(*decoded.columns, "bucket")
         bucket = F.col("bucket")
+    else:
+        matched, bucket = _searched(decoded, text, pairs, config.anchored)
     if config.null_field == "default":
         bucket = F.when(F.col("route_value").isNotNull(), bucket)
     default = F.lit(dict(rules.pairs).get(CATCH_ALL)).cast("string")

@@ -119,6 +119,31 @@ def texts_within(table, max_bytes, max_schemas):
         table.unpersist()
 
 
+def salted(messages, registry):
+    """The messages with a ``salt`` that spreads those of one schema over the registry's copies, by
+    the coordinates they have, or by value."""
+    there = [c for c in COORDINATES if c in messages.columns]
+    spread = there if "offset" in there else [*there, "value"]
+    return messages.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(registry.copies)).cast("int"))
+
+
+def schema_copies(registry):
+    """schema_id, schema_json, salt: every schema as often as the registry says."""
+    salts = F.sequence(F.lit(0), F.lit(registry.copies - 1))
+    return registry.table.select("schema_id", "schema_json", F.explode(salts).alias("salt"))
+
+
+def sorted_in(messages, registry):
+    """Messages and schemas together, those of one schema and salt in a row, the schema first.
+
+    A task that reads the rows in order needs the schema text once, not with each message.  Rows of
+    schemas have a ``schema_json``; the messages' columns are null there."""
+    both = salted(messages, registry).withColumn("schema_json", F.lit(None).cast("string"))
+    both = both.unionByName(schema_copies(registry), allowMissingColumns=True)
+    order = ["schema_id", "salt", F.col("schema_json").isNull()]
+    return both.repartition("schema_id", "salt").sortWithinPartitions(*order).drop("salt")
+
+
 def attach_schema(messages, registry):
     """Add ``known`` (null for un-framed messages) and, from a large table, ``schema_json``.
 
@@ -129,17 +154,9 @@ def attach_schema(messages, registry):
         ids = messages.sparkSession.createDataFrame(ids).withColumn("known", F.lit(True))
         joined = messages.join(F.broadcast(ids), "schema_id", "left")
     else:
-        there = [c for c in COORDINATES if c in messages.columns]
-        spread = there if "offset" in there else [*there, "value"]
-        salt = F.pmod(F.xxhash64(*spread), F.lit(registry.copies)).cast("int")
-        copies = registry.table.select(
-            "schema_id",
-            "schema_json",
-            F.explode(F.sequence(F.lit(0), F.lit(registry.copies - 1))).alias("salt"),
-            F.lit(True).alias("known"),
-        )
+        copies = schema_copies(registry).withColumn("known", F.lit(True))
         joined = (
-            messages.withColumn("salt", salt)
+            salted(messages, registry)
             .join(copies.hint("shuffle_merge"), ["schema_id", "salt"], "left")
             .drop("salt")
         )

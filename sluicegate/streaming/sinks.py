@@ -5,6 +5,8 @@ once.  The batch writers are for ``foreachBatch``: a replayed batch overwrites i
 ``batch_id`` folder, so file output holds each message once."""
 
 from contextlib import contextmanager
+from functools import reduce
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
@@ -173,6 +175,45 @@ def write_with_fallback(routed, config, write, path, batch_id):
             write_batch(rest, path, batch_id)
 
 
+SLOTS = 1 << 32
+
+
+def write_isolating(rows, write, path, batch_id, budget=200, key=("source_topic", "partition", "offset")):
+    """One micro-batch to ``write(rows)``, without the messages that it refuses; those go to files.
+
+    A part that is refused is halved, by a hash of its messages' keys, until the refused messages
+    are alone; ``write`` takes a part as a whole or not at all.  After ``budget`` attempts the parts still
+    refused go to the files as they are: every message is in one of the two places.  A sink that takes no
+    part at all is down, and its failure is raised.  Parts are read anew: give stored rows (``staged``)."""
+    slot = F.pmod(F.xxhash64(*key), F.lit(SLOTS))
+    waiting, refused, accepted, spent, failure = [(0, SLOTS)], [], False, 0, None
+    while waiting:
+        low, high = waiting.pop()
+        part = rows.where((slot >= low) & (slot < high))
+        few = part.limit(2).count()
+        if not few:
+            continue
+        if spent >= budget:
+            refused.append((low, high))
+            continue
+        spent += 1
+        try:
+            write(part)
+            accepted = True
+        except Exception as e:
+            failure = e
+            if few == 1 or high - low == 1:
+                refused.append((low, high))
+            else:
+                middle = (low + high) // 2
+                waiting += [(middle, high), (low, middle)]
+    if refused and not accepted:
+        raise failure
+    if refused:
+        inside = [(slot >= low) & (slot < high) for low, high in refused]
+        write_batch(rows.where(reduce(or_, inside)), path, batch_id)
+
+
 def append_to_kafka(rows, config):
     """One micro-batch to Kafka: the writer for ``write_with_fallback``."""
     rows.select(*SINK_COLUMNS).write.format("kafka").options(**sink_options(config)).save()

@@ -308,3 +308,67 @@ def test_the_job_broadcasts_the_schemas_in_use_of_a_large_registry(spark, tmp_pa
     query.stop()
     [(found, n)] = seen
     assert n == 2 and "SortMergeJoin" not in found and "Exchange hashpartitioning" not in found
+
+
+# Refused messages ------------------------------------------------------------------------------
+
+
+def refusing(taken, bad):
+    """A sink that takes a part as a whole, or not at all if it holds one of the bad offsets."""
+
+    def write(rows):
+        offsets = texts(rows, "offset")
+        if bad & set(offsets):
+            raise RuntimeError("record too large")
+        taken.extend(offsets)
+
+    return write
+
+
+@pytest.mark.parametrize("bad, budget", [({3, 77, 78}, 200), ({5}, 200), (set(), 200), ({1, 50, 90}, 4)])
+def test_refused_messages_go_to_files_and_no_message_is_lost_or_twice(spark, tmp_path, bad, budget):
+    rows = messages(spark, ["00"] * 100).withColumnRenamed("topic", "source_topic").cache()
+    taken, path = [], str(tmp_path / "refused")
+    sinks.write_isolating(rows, refusing(taken, bad), path, 0, budget)
+    left = texts(spark.read.parquet(path), "offset") if bad else []
+    assert sorted(taken + left) == list(range(100)) and bad <= set(left)
+    assert budget < 200 or set(left) == bad
+    if bad:  # a replay replaces its files
+        again = []
+        sinks.write_isolating(rows, refusing(again, bad), path, 0, budget)
+        assert sorted(again + texts(spark.read.parquet(path), "offset")) == list(range(100))
+
+
+def test_a_sink_that_takes_nothing_is_down(spark, tmp_path):
+    rows = messages(spark, ["00"] * 9).withColumnRenamed("topic", "source_topic").cache()
+    with pytest.raises(RuntimeError, match="too large"):
+        sinks.write_isolating(rows, refusing([], set(range(9))), str(tmp_path / "refused"), 0)
+    assert not (tmp_path / "refused").exists()
+
+
+def test_a_large_registry_sends_its_text_once(spark):
+    """Messages meet their schema in order: no text in their rows, the same answers."""
+    from sluicegate.operators.decode import decode
+    from sluicegate.operators.schemas import sorted_in
+    from sluicegate.operators.wire import split_wire
+
+    values = [framed(1, "0261"), framed(2, "0262"), framed(3, "01"), framed(1, "7E"), framed(9, "0261"), "0261", None, "0000", ""] * 30
+    table = schemas(spark, (1, record(phone="string")), (2, record(phone="string", n="int")), (3, record(phone="boolean")), (4, "no schema"))
+    split = split_wire(messages(spark, values))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        found = []
+        for limit in (100, 0):
+            for default in ("", record(phone="string")):
+                rows = decode(split, {"phone": "phone"}, Registry.load(table, max_schemas=limit), default)
+                assert rows.columns == [*split.columns, "phone", "decode_error"]
+                found.append(sorted(map(str, rows.select("offset", "phone", "decode_error").collect())))
+        assert found[0] == found[2] and found[1] == found[3] and len(found[0]) == len(values)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    large = Registry.load(table, max_schemas=0)
+    both = sorted_in(split, large)
+    assert both.where("schema_json is not null").count() == 4 * large.copies
+    assert both.where("schema_json is not null and value is not null").count() == 0
+    found = plan(decode(split, {"phone": "phone"}, large, ""))
+    assert "SortMergeJoin" not in found and "Join" not in found
