@@ -235,6 +235,20 @@ ORACLE = {
         select case when error is null then 'valid' else 'error' end as branch, count(*) as n
         from m group by 1""",
     "q_multi_topic": of_messages(f"event_id, source_topic, {TOPIC} as topic"),
+    "q_from_offsets": of_messages("event_id, source_topic", "source_topic = 'raw-b' or event_id >= 400"),
+    "q_from_timestamps": """
+        with s as (select (epoch_ms(min(ts)) + epoch_ms(max(ts))) // 2 as middle from events)
+        select event_id, if(event_id % 2 = 0, 'raw-a', 'raw-b') as source_topic from events, s
+        where event_id % 2 = 1 or event_id >= (
+            select min(event_id) from events, s where event_id % 2 = 0 and epoch_us(ts) >= middle * 1000)""",
+    "q_offset_gaps": """
+        with kept as (
+          select event_id, if(event_id % 2 = 0, 'raw-a', 'raw-b') as source_topic from events
+          where (event_id // 50) % 7 <> 3 and event_id % 97 <> 5),
+        n as (select *, lead(event_id) over (partition by source_topic order by event_id) as b from kept)
+        select source_topic, 0 as partition, event_id + 1 as first_missing, b - 1 as last_missing,
+               b - event_id - 1 as missing
+        from n where b > event_id + 1""",
     "q_per_message_router": of_messages(f"event_id, {TOPIC} as topic, {MESSAGE_TEXT} as error"),
     "q_one_schema_router": f"""{MESSAGES},
         r as (select event_id, {ALL_AS_7_ERROR} as code from m)

@@ -26,6 +26,7 @@ from sluicegate.operators.wire import split_wire
 from sluicegate.plans import fixtures as fx
 from sluicegate.plans.route import route
 from sluicegate.session import work_dir
+from sluicegate.sources.archive import from_offsets, from_timestamps, offset_gaps
 from sluicegate.sources.tables import (
     from_topics,
     message_stream,
@@ -395,6 +396,28 @@ def q_multi_topic(spark, sf_dir):
     return rows.select(event_id(), "source_topic", "topic")
 
 
+def q_from_offsets(spark, sf_dir):
+    """Archived messages from a start position per topic partition."""
+    start = json.dumps({"raw-a": {"0": 400}, "raw-b": {"0": -2, "1": 7}})
+    rows = from_offsets(messages(spark, sf_dir), start)
+    return rows.select(event_id(), F.col("topic").alias("source_topic"))
+
+
+def q_from_timestamps(spark, sf_dir):
+    """The same by time: each topic from its first message at or after a moment, here the middle."""
+    there = messages(spark, sf_dir)
+    [span] = there.agg(F.min(F.unix_millis("timestamp")).alias("a"), F.max(F.unix_millis("timestamp")).alias("b")).collect()
+    start = json.dumps({"raw-a": {"0": (span.a + span.b) // 2}})
+    rows = from_timestamps(there, start)
+    return rows.select(event_id(), F.col("topic").alias("source_topic"))
+
+
+def q_offset_gaps(spark, sf_dir):
+    """Lost offsets of an archive, in blocks smaller than some of the gaps."""
+    kept = messages(spark, sf_dir).where("(offset div 50) % 7 <> 3 and offset % 97 <> 5")
+    return offset_gaps(kept, block=30).withColumnRenamed("topic", "source_topic")
+
+
 def q_per_message_router(spark, sf_dir):
     """The per-message variant's settings together."""
     config = RouterConfig.per_message(default_schema=fx.SCHEMA_7)
@@ -682,6 +705,9 @@ QUERIES = {
     "q_value_unchanged": q_value_unchanged,
     "q_split_counts": q_split_counts,
     "q_multi_topic": q_multi_topic,
+    "q_from_offsets": q_from_offsets,
+    "q_from_timestamps": q_from_timestamps,
+    "q_offset_gaps": q_offset_gaps,
     "q_per_message_router": q_per_message_router,
     "q_one_schema_router": q_one_schema_router,
     "q_stream_route": q_stream_route,
