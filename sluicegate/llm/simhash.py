@@ -9,9 +9,15 @@ Linking: fingerprints (each once, however many documents have it) are dealt to s
 choice of 3 of 6 blocks of their bits: two fingerprints that differ in at most 3 bits agree in
 some choice.  Each shard is a BK-tree: children hang by their distance to the parent, and a search
 follows only edges within the radius of the distance to the node.  A shard's tree and its queries
-meet in one task; no tree is sent to all, as the trees together grow with the data.  A
+meet in one task; no tree is sent to all, as the trees together grow with the data.  A shard of more than
+``MOST`` fingerprints is dealt again, by choices of 3 of 6 blocks of the bits that its members need not
+agree in, which loses no link either; after three deals so few bits are left that no shard is large.  A
 shard tells the links that connect it (each fingerprint to the least of its cluster), not all
-pairs.  Clusters then grow together by label propagation between stored tables."""
+pairs.  Clusters then grow together by label propagation between stored tables.
+
+Repeated rows and copies share a fingerprint and a component.  A null id is in its class like any other, but
+is its component only if the class has no other id.  Texts are read whole, shingles some thousands at
+a time.  An empty table gives no rows; other columns are not looked at."""
 
 import itertools
 
@@ -19,9 +25,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import checkpointed, tidy, whole_groups
+from sluicegate.llm.common import checkpointed, text_batches, tidy, whole_groups
 
-BLOCKS = (11, 11, 11, 11, 10, 10)
+DEALS = 3  # at most; shards of the last agree in all but about 8 bits
+MOST = 4000  # fingerprints of a shard that is not dealt again
+BROADCAST_SHARDS = 100_000  # large shards, 16 bytes each; more are joined by a shuffle
 
 
 def text_fingerprint(texts, width=3):
@@ -62,6 +70,7 @@ def fingerprints(docs, width=3, doc_id="doc_id", text="text"):
                 [batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"]
             )
 
+    text_batches(docs)
     wanted = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return wanted.mapInArrow(tidy(compute), f"doc_id {kind}, fingerprint bigint")
 
@@ -136,26 +145,25 @@ def shard_links(prints, shards, radius):
     return label
 
 
-def links(prints, radius=3):
-    """Links ``a, b`` between different fingerprints (one column ``fingerprint``, each once)."""
-    if not 0 <= radius <= 3:
-        raise ValueError("choices of 3 of 6 blocks find distances up to 3")
-    low, masks = 0, []
-    for width in BLOCKS:
-        masks.append(((1 << width) - 1) << low)
-        low += width
-    keys = []
-    for number, choice in enumerate(itertools.combinations(masks, 3)):
-        mask = sum(choice)
-        signed = mask - (1 << 64) if mask >> 63 else mask
-        masked = F.col("fingerprint").bitwiseAND(F.lit(signed))
-        keys.append(F.struct(F.lit(number).alias("choice"), masked.alias("key")))
+def choices(mask):
+    """Masks of 3 of 6 blocks of the bits that are not in ``mask``, with these."""
+    free = [1 << b for b in range(64) if not mask >> b & 1]
+    blocks = [sum(free[len(free) * k // 6 : len(free) * (k + 1) // 6]) for k in range(6)]
+    return [mask | sum(three) for three in itertools.combinations(blocks, 3)]
+
+
+def signed(mask):
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def linked(dealt, radius):
+    """Links ``a, b`` within shards (columns deal, key, fingerprint)."""
 
     def link(batches):
-        for table in whole_groups(batches, ["choice", "key"], 100_000):
+        for table in whole_groups(batches, ["deal", "key"], 100_000):
             table = table.combine_chunks()
-            choice, key, found = (table.column(k).to_numpy() for k in ("choice", "key", "fingerprint"))
-            new = (choice[1:] != choice[:-1]) | (key[1:] != key[:-1])
+            deal, key, found = (table.column(k).to_numpy() for k in ("deal", "key", "fingerprint"))
+            new = (deal[1:] != deal[:-1]) | (key[1:] != key[:-1])
             shards = np.concatenate([[0], np.cumsum(new)])
             label = shard_links(found.view(np.uint64), shards, radius)
             at = np.flatnonzero(label != np.arange(len(label)))
@@ -164,15 +172,51 @@ def links(prints, radius=3):
             )
 
     return (
-        prints.select("fingerprint", F.explode(F.array(*keys)).alias("at"))
-        .select("fingerprint", "at.choice", "at.key")
-        .repartition("choice", "key")
-        .sortWithinPartitions("choice", "key")
+        dealt.select("fingerprint", "deal", "key")
+        .repartition("deal", "key")
+        .sortWithinPartitions("deal", "key")
         .mapInArrow(tidy(link), "a bigint, b bigint")
         .distinct()
     )
 
 
+def links(prints, radius=3):
+    """Links ``a, b`` between different fingerprints (one column ``fingerprint``, each once)."""
+    if not 0 <= radius <= 3:
+        raise ValueError("choices of 3 of 6 blocks find distances up to 3")
+    spark, masks = prints.sparkSession, choices(0)
+    keys = [
+        F.struct(F.lit(n).alias("deal"), F.col("fingerprint").bitwiseAND(F.lit(signed(m))).alias("key"))
+        for n, m in enumerate(masks)
+    ]
+    dealt = prints.select("fingerprint", F.explode(F.array(*keys)).alias("at"))
+    dealt, found = dealt.select("fingerprint", "at.deal", "at.key"), None
+    for turn in range(DEALS):
+        some = dealt
+        if turn < DEALS - 1:
+            large = dealt.groupBy("deal", "key").agg(F.count("*").alias("n")).where(F.col("n") > MOST)
+            large = checkpointed(large.select(F.col("deal").alias("_deal"), F.col("key").alias("_key")))
+            many = large.count()
+            large = F.broadcast(large) if many <= BROADCAST_SHARDS else large
+            same = (F.col("deal") == F.col("_deal")) & (F.col("key") == F.col("_key"))
+            some = dealt.join(large, same, "left_anti") if many else dealt
+        found = linked(some, radius) if found is None else found.unionByName(linked(some, radius))
+        if turn == DEALS - 1 or not many:
+            return found if turn == 0 else found.distinct()
+        # a row per deal and choice that may follow it: 400, then 8,000
+        after = [(n, m) for n, mask in enumerate(masks) for m in choices(mask)]
+        table = spark.createDataFrame(
+            [(n, k, signed(m)) for k, (n, m) in enumerate(after)], "_old int, _new int, _mask bigint"
+        )
+        deeper = dealt.join(large, same, "left_semi").join(F.broadcast(table), F.col("deal") == F.col("_old"))
+        masks = [m for _, m in after]
+        dealt = deeper.select(
+            "fingerprint",
+            F.col("_new").alias("deal"),
+            F.col("fingerprint").bitwiseAND(F.col("_mask")).alias("key"),
+        )
+
+
 def components(edges):
     """``node, component`` (the least node reachable) of all nodes with an edge ``a, b``.
 
