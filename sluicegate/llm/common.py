@@ -18,6 +18,16 @@ def checkpointed(frame):
     return frame.checkpoint()
 
 
+def text_batches(frame):
+    """Bounds the Arrow batches of texts by 8 MB, unless the session has a bound of its own.
+
+    Spark's bound of 64 MB is met several times over in each worker and in the JVM beside it; batches
+    of short rows are bounded by their rows and do not change."""
+    conf, name = frame.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not conf._jconf.contains(name):
+        conf.set(name, "8m")
+
+
 def row_key(id_column, text_column):
     """64 bits that tell rows apart; rows that repeat id and text share it."""
     return F.xxhash64(F.col(id_column), F.col(text_column))

@@ -6,23 +6,23 @@ ASCII signs, whose lower case and normal form do not depend on context, are enco
 remembered; any text with other characters goes to the library as it is."""
 
 import gc
-import itertools
 import os
 import re
-from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Characters for which Python and the library agree on lower case, normal form and classes.
-PLAIN = re.compile("[\t\n\r -~¡-¬®-ÿ]*")
-SPACE = " \t\n\r"
-WORDS = 1_000_000  # a cache is emptied at this size; ids do not depend on it
+#: Characters for which Arrow and the library agree on lower case, normal form and classes.
+PLAIN = "^[\t\n\r -~¡-¬®-ÿ]*$"
+WORDS = 1_000_000  # a cache is emptied at this size (about 200 MB); ids do not depend on it
 
 
 class WordIds:
     """Ids as little-endian unsigned 16-bit integers (the vocabulary has fewer than 2**16)."""
 
-    def __init__(self, path):
+    def __init__(self, path, most=WORDS):
+        self.most = most
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -30,7 +30,7 @@ class WordIds:
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary need more than 16 bits")
         # for words that are cut and in lower case already: the same model with less before it
-        self.plain = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [
@@ -85,6 +85,12 @@ class WordIds:
 
     def encode(self, texts):
         """The ids of each text as bytes."""
+        flat, counts = self.encode_array(pa.array(texts, pa.string()))
+        ends = np.cumsum(counts)
+        return [flat[b - n : b].tobytes() for b, n in zip(ends.tolist(), counts.tolist())]
+
+    def encode_array(self, texts):
+        """All ids of an Arrow array of texts in a row, and how many each text has."""
         collects = gc.isenabled()
         gc.disable()  # nothing here has cycles, and a collection walks the whole cache
         try:
@@ -94,29 +100,53 @@ class WordIds:
                 gc.enable()
 
     def _ids(self, texts):
-        # words get numbers in their order of appearance: one look at a dictionary for each
-        number = defaultdict(itertools.count().__next__)
-        coded, other, look = [], {}, number.__getitem__
-        for i, text in enumerate(texts):
-            if PLAIN.fullmatch(text) and "<|" not in text:
-                coded.append(list(map(look, text.lower().split())))
-            else:
-                coded.append(())
-                other[i] = text
-        new = number.keys() - self.words.keys()
-        if len(self.words) + len(new) > WORDS:
+        plain = pc.and_not(pc.match_substring_regex(texts, PLAIN), pc.match_substring(texts, "<|"))
+        mask = plain.to_numpy(zero_copy_only=False)
+        whole = mask.all()
+        split = pc.ascii_split_whitespace(pc.utf8_lower(texts if whole else texts.filter(plain)))
+        # Arrow numbers the words, so Python looks at each different one once
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = {w for w in words if w and w not in self.words}
+        if len(self.words) + len(new) > self.most:
             self.words.clear()
-            new = set(number)
+            new = {w for w in words if w}
+        self.words[""] = b""  # what stands before a space at the start of a text, and the like
         self._learn(new)
-        ids = list(map(self.words.__getitem__, number))
-        out = [b"".join(map(ids.__getitem__, words)) for words in coded]
-        for i, found in zip(other, self._encode(list(other.values()))):
-            out[i] = found
-        return out
-
-
-def word_ids(path):
-    """The encoder of this worker process, kept from task to task."""
+        found = list(map(self.words.__getitem__, words))
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) >> 1
+        ids = np.frombuffer(b"".join(found), "<u2")
+        number = coded.indices.to_numpy(zero_copy_only=False)
+        each = lengths[number]
+        flat = gathered(ids, (np.cumsum(lengths) - lengths)[number], each)
+        ends = np.concatenate([[0], np.cumsum(each)])
+        at = np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+        counts = np.diff(ends[np.concatenate([[0], at])])
+        if whole:
+            return flat, counts
+        return self._with_others(texts, mask, flat, counts)
+
+    def _with_others(self, texts, mask, flat, counts):
+        """The same with the other texts, which the library takes as they are."""
+        others = [np.frombuffer(x, "<u2") for x in self._encode(texts.filter(pa.array(~mask)).to_pylist())]
+        total = np.zeros(len(mask), np.int64)
+        total[mask], total[~mask] = counts, list(map(len, others))
+        out = np.empty(int(total.sum()), "<u2")
+        ours = np.repeat(mask, total)
+        out[ours] = flat
+        out[~ours] = np.concatenate(others)
+        return out, total
+
+
+def gathered(flat, starts, counts):
+    """Runs of a flat array, one after another."""
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(starts - (ends - counts), counts) + np.arange(total)]
+
+
+def word_ids(path, most=WORDS):
+    """The encoder of this worker process, kept from task to task; ``most``: words it remembers."""
     import sys
     import types
 
@@ -124,9 +154,21 @@ def word_ids(path):
     home = sys.modules.setdefault(name, types.ModuleType(name))
     if getattr(home, "path", None) != path:
         home.path, home.encoder = path, WordIds(path)
+    home.encoder.most = most
     return home.encoder
 
 
+def array_slices(texts, size=4_000_000):
+    """Slices of an Arrow array of texts, of about so many bytes: (first row, slice)."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    low = 0
+    while low < len(texts):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield low, texts.slice(low, high - low)
+        low = high
+
+
 def text_slices(texts, characters=3_000_000):
     """Index ranges of about so many characters, so that a batch of long texts needs little memory."""
     start, held = 0, 0

@@ -6,8 +6,11 @@ plane costs one block, so a reader can give the id at a place (``access``), coun
 to a place (``count``) and find its k-th place (``find``) and touch one block per plane.
 
 File (little endian): the magic, a fixed header (ids, documents, planes, bits per block), then the
-zeros of each plane, document ids and lengths, ones before each block, ends of the compressed
-blocks, and the blocks, each a zstandard frame."""
+zeros of each plane, document ids, a byte per document that is 1 if its id is null, lengths, ones before
+each block, ends of the compressed blocks, and the blocks, each a zstandard frame.
+
+An empty table makes no file.  A document of any length is one run of ids; an empty or null text is the
+end id alone."""
 
 import struct
 import zlib
@@ -16,17 +19,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import checkpointed, partitions
-from sluicegate.llm.tokens import text_slices, word_ids
+from sluicegate.llm.common import checkpointed, partitions, text_batches
+from sluicegate.llm.tokens import array_slices, word_ids
 from sluicegate.session import work_dir
 
-MAGIC = b"WVLTMTX1"
+MAGIC = b"WVLTMTX2"
 HEADER = "<QQII"
 BLOCK_BITS = 1 << 19
 
 
-def build(ids, documents, lengths, planes=16, block_bits=BLOCK_BITS):
-    """The file of ``ids`` (unsigned, below 2**planes), as bytes."""
+def build(ids, documents, lengths, planes=16, block_bits=BLOCK_BITS, missing=None):
+    """The file of ``ids`` (unsigned, below 2**planes), as bytes; ``missing``: documents without id."""
     import zstandard
 
     pack = zstandard.ZstdCompressor(level=1).compress
@@ -51,6 +54,7 @@ def build(ids, documents, lengths, planes=16, block_bits=BLOCK_BITS):
             struct.pack(HEADER, len(ids), len(documents), planes, block_bits),
             np.array(zeros, "<u8").tobytes(),
             np.asarray(documents, "<i8").tobytes(),
+            np.zeros(len(documents), "u1").tobytes() if missing is None else np.asarray(missing, "u1").tobytes(),
             np.asarray(lengths, "<u8").tobytes(),
             before.tobytes(),
             np.cumsum([len(b) for b in blocks]).astype("<u8").tobytes(),
@@ -82,6 +86,7 @@ class Reader:
 
         self.zeros = array(self.planes, "<u8").astype(np.int64)
         self.documents = array(documents, "<i8")
+        self.missing = array(documents, "u1").astype(bool)
         self.lengths = array(documents, "<u8").astype(np.int64)
         blocks = self.planes * self.per_plane
         self.before = array(blocks, "<u8").astype(np.int64).reshape(self.planes, self.per_plane)
@@ -209,37 +214,50 @@ def write_shards(docs, folder, path, end_id=1, doc_id="doc_id", text="text", tok
         part, attempt = context.partitionId(), context.taskAttemptId()
         encoder, store = word_ids(path), filesystem(folder)
         files, home = store
-        number, held, count = 0, [], 0
+        number, held, count = 0, [], 0  # held: (document ids, tokens, lengths)
 
         def flush():
             nonlocal number, held, count
-            documents = np.array([d if d is not None else -(2**63) for d, _ in held], "<i8")
-            ids = np.frombuffer(b"".join([x for _, x in held]), "<u2")
-            data = build(ids, documents, [len(x) // 2 for _, x in held])
+            known = pa.concat_arrays([d for d, _, _ in held])
+            documents = known.fill_null(0).to_numpy(zero_copy_only=False)
+            missing = known.is_null().to_numpy(zero_copy_only=False)
+            ids, lengths = (np.concatenate([h[i] for h in held]) for i in (1, 2))
+            data = build(ids, documents, lengths, missing=missing)
             name = f"{home}/part-{part:06d}-{number:06d}-{attempt}.wvm"
             with files.open_output_stream(f"{name}.tmp") as out:
                 out.write(data)
             files.move(f"{name}.tmp", name)
-            row = (name, part, number, int(documents[0]), count, len(data))
+            row = (name, part, number, known[0].as_py(), count, len(data))
             number, held, count = number + 1, [], 0
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], t) for v, t in zip(row, (pa.string(), *[pa.int64()] * 5))],
                 ["file", "part", "number", "first_id", "n_ids", "bytes"],
             )
 
-        end = np.array([end_id], "<u2").tobytes()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for low, high in text_slices(texts):
-                for d, found in zip(ids[low:high], encoder.encode(texts[low:high])):
-                    held.append((d, found + end))
-                    count += len(found) // 2 + 1
+            for low, texts in array_slices(batch.column(1)):
+                found, lengths = encoder.encode_array(texts)
+                lengths = lengths + 1
+                ends = np.cumsum(lengths)
+                ids = np.empty(int(ends[-1]), "<u2")
+                last = np.zeros(len(ids), bool)
+                last[ends - 1] = True
+                ids[~last], ids[last] = found, end_id
+                at = 0
+                while at < len(lengths):  # up to the document that fills the file
+                    done = ends[at - 1] if at else 0
+                    to = int(np.searchsorted(ends, done + tokens - count)) + 1
+                    to = min(to, len(lengths))
+                    part_ids = ids[done : ends[to - 1]]
+                    held.append((batch.column(0).slice(low + at, to - at), part_ids, lengths[at:to]))
+                    count, at = count + len(part_ids), to
                     if count >= tokens:
                         yield flush()
         if held:
             yield flush()
 
     spark = docs.sparkSession
+    text_batches(docs)
     files, home = filesystem(folder)
     files.create_dir(home, recursive=True)
     body = F.coalesce(F.col(text), F.lit(""))
@@ -270,10 +288,9 @@ def read_shards(manifest, folder):
                 ends = np.cumsum(reader.lengths)
                 starts = ends - reader.lengths
                 crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends)]
-                none = reader.documents == -(2**63)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(reader.documents, pa.int64(), mask=none),
+                        pa.array(reader.documents, pa.int64(), mask=reader.missing),
                         pa.array(starts + row["start"]),
                         pa.array(reader.lengths),
                         pa.array(crcs, pa.int64()),
