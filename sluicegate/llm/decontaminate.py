@@ -11,8 +11,13 @@ The masks go by the length of an item.  For ``SPAN`` and ``SHARE`` one of them m
 the places that may differ, so no pair that the comparison accepts is missed (a test counts them all).
 Documents are read under the masks of the lengths that the benchmark has.
 
-Items of fewer than ``shortest`` tokens are left out.  Null texts are empty and match nothing.
-Repeated rows are judged alike and reported once per id."""
+A document is read as rows of one place each, so no array of its runs is built and the hashing and the join
+are generated code; a text's tokens are the largest thing a task holds of it.
+
+Items of fewer than ``shortest`` tokens are left out; those of fewer than ``whole_below`` match only documents
+that consist of them, as a word or two stand in any text.  Null texts are empty and match nothing; null items
+and items without a token are left out.  Repeated rows are judged alike and reported once per id.  Items that
+repeat each other are reported each.  Empty tables give no rows.  Only the named columns are read."""
 
 from functools import reduce
 
@@ -31,9 +36,11 @@ MASKS = (
     (2, ("11",)),
     (1, ("1",)),
 )
+MASK_NUMBERS = {mask: n for n, mask in enumerate(m for _, masks in MASKS for m in masks)}
 SPAN, SHARE = 20, 0.8
 BROADCAST_ROWS = 2_000_000  # benchmark seeds, 16 bytes each; more are joined by a shuffle
 BROADCAST_HITS = 200_000  # places to verify; more are joined by a shuffle
+BROADCAST_TOKENS = 2_000_000  # of all items together, 8 bytes each
 
 
 def token_hashes(text):
@@ -46,28 +53,27 @@ def masks_of(tokens):
     return next((masks for least, masks in MASKS if tokens >= least), ())
 
 
-def seeds(tokens, masks):
-    """Array of (seed, place) of every run under every mask."""
-
-    def runs(t, mask):
-        marked = [i for i, c in enumerate(mask) if c == "1"]
-
-        def run(i):
-            hashed = F.xxhash64(F.lit(mask), *[F.get(t, i + m) for m in marked])
-            return F.struct(hashed.alias("seed"), i.alias("place"))
+def seeds(frame, keep, masks):
+    """``keep`` columns, seed, place: every run of the frame's ``_tokens`` under every mask."""
+    size, place = F.size("_tokens"), F.col("_place")
 
-        none = F.array().cast("array<struct<seed:bigint,place:int>>")
-        last = F.size(t) - len(mask)
-        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), run)).otherwise(none)
+    def run(mask):
+        marked = [F.get("_tokens", place + i) for i, c in enumerate(mask) if c == "1"]
+        number = MASK_NUMBERS[mask]  # seeds of different masks differ
+        return F.when(place <= size - len(mask), F.xxhash64(F.lit(number), *marked))
 
-    return let(tokens, lambda t: F.concat(*[runs(t, mask) for mask in masks]))
+    # outer: Spark would otherwise look for empty texts first and make all tokens twice; the seeds are a
+    # column of their own, as a row that still has all tokens would be copied with them for each place
+    places = frame.select(*keep, "_tokens", F.posexplode_outer("_tokens").alias("_place", "_token"))
+    made = places.select(*keep, "_place", F.array(*map(run, masks)).alias("_seeds"))
+    made = made.select(*keep, "_place", F.explode_outer("_seeds").alias("seed"))
+    return made.where("seed is not null")
 
 
 def item_seeds(items, least):
-    """item_id, _s: seeds of the items of one class of MASKS under its masks."""
-    return items.where(F.col("_least") == least).select(
-        "item_id", F.explode(seeds(F.col("_item"), masks_of(least))).alias("_s")
-    )
+    """item_id, seed, _at: seeds of the items of one class of MASKS under its masks."""
+    own = items.where(F.col("_least") == least).select("item_id", F.col("_item").alias("_tokens"))
+    return seeds(own, ["item_id"], masks_of(least)).withColumnRenamed("_place", "_at")
 
 
 def agreement(document, item, shift, span, share):
@@ -91,7 +97,7 @@ def agreement(document, item, shift, span, share):
 
 def contaminated(
     docs, benchmark, doc_id="doc_id", text="text", item_id="item_id", item_text="text",
-    shortest=8, span=SPAN, share=SHARE,
+    shortest=8, span=SPAN, share=SHARE, whole_below=0,
 ):
     """doc_id, item_id, agreeing, compared: pairs of a document and an item found in it."""
     items = checkpointed(
@@ -99,34 +105,30 @@ def contaminated(
             F.col(item_id).alias("item_id"), token_hashes(F.col(item_text)).alias("_item")
         ).where(F.size("_item") >= max(1, shortest))
     )
+    inside = items.where(F.size("_item") >= whole_below)
     classes = [F.when(F.size("_item") >= least, least) for least, _ in MASKS]
-    classed = items.withColumn("_least", F.coalesce(*classes))
+    classed = inside.withColumn("_least", F.coalesce(*classes))
     present = sorted(r[0] for r in classed.select("_least").distinct().collect()) or [MASKS[0][0]]
     masks = sorted({mask for least in present for mask in masks_of(least)})
     known = checkpointed(
-        reduce(DataFrame.unionByName, [item_seeds(classed, least) for least in present])
-        .select("item_id", F.col("_s.seed").alias("seed"), F.col("_s.place").alias("_at"))
-        .distinct()
+        reduce(DataFrame.unionByName, [item_seeds(classed, least) for least in present]).distinct()
     )
     slim = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"), row_key(doc_id, text).alias("_row")
     )
-    runs = slim.select("_row", F.explode(seeds(token_hashes(F.col("_text")), masks)).alias("_s"))
-    runs = runs.select("_row", F.col("_s.seed").alias("seed"), F.col("_s.place").alias("_place"))
+    runs = seeds(slim.select("_row", token_hashes(F.col("_text")).alias("_tokens")), ["_row"], masks)
     few = known.count() <= BROADCAST_ROWS
     hits = checkpointed(
         runs.join(F.broadcast(known) if few else known, "seed")
         .select("_row", "item_id", (F.col("_place") - F.col("_at")).alias("_shift"))
-        .groupBy("_row", "item_id", "_shift")
-        .agg(F.count("*").alias("_hits"))
-        .drop("_hits")
+        .distinct()
     )
     few = hits.count() <= BROADCAST_HITS
     laid = slim.join(F.broadcast(hits) if few else hits, "_row")
-    small = items.count() <= BROADCAST_HITS // 10
+    tokens = inside.agg(F.sum(F.size("_item"))).first()[0] or 0
     found = (
         laid.select("doc_id", "item_id", "_shift", token_hashes(F.col("_text")).alias("_tokens"))
-        .join(F.broadcast(items) if small else items, "item_id")
+        .join(F.broadcast(inside) if tokens <= BROADCAST_TOKENS else inside, "item_id")
         .select(
             "doc_id",
             "item_id",
@@ -135,6 +137,18 @@ def contaminated(
         )
         .where("agreeing is not null")
     )
+    if whole_below > shortest:
+        found = found.unionByName(consist_of(slim, items.where(F.size("_item") < whole_below), whole_below))
     return found.groupBy("doc_id", "item_id").agg(
         F.max("agreeing").alias("agreeing"), F.max("compared").alias("compared")
     )
+
+
+def consist_of(slim, items, below):
+    """Documents whose tokens are those of a short item, as pairs of ``contaminated``."""
+    short = slim.select("doc_id", token_hashes(F.col("_text")).alias("_tokens"))
+    short = short.where(F.size("_tokens").between(1, below - 1))
+    size = F.size("_item").alias("agreeing")
+    return short.join(items, F.col("_tokens") == F.col("_item")).select(
+        "doc_id", "item_id", size, F.size("_item").alias("compared")
+    )

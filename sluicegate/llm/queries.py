@@ -54,7 +54,9 @@ def op2_suffix_dedup(spark, sf_dir):
 
 
 def op3_decontaminate(spark, sf_dir):
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shortest=1)
+    return contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shortest=1, whole_below=5
+    )
 
 
 def op4_language_id(spark, sf_dir):
