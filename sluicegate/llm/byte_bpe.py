@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import tidy
+from sluicegate.llm.common import text_batches, tidy
 from sluicegate.llm.tokens import text_slices
 
 NONE = np.int32(2**31 - 1)  # the rank of a pair that is no token
@@ -308,6 +308,7 @@ def encode_documents(docs, path, pattern, doc_id="doc_id", text="text"):
     """doc_id, ids (array of int) of every whole text."""
     kind = docs.schema[doc_id].dataType.simpleString()
     shared = broadcast_vocabulary(docs.sparkSession, path, pattern)
+    text_batches(docs)
 
     def encode(batches):
         vocabulary = Vocabulary(shared.value)

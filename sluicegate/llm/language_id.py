@@ -11,7 +11,9 @@ characters.  Its probability rejects a text if it is over a limit, set on labell
 train so that nearly all of them stay; the text gets ``und`` and score 0.
 
 A text that is null or has no letter gets ``und`` and score 0.  Texts without label train nothing.
-Without any labelled text every text is ``und``.  Ties go to the first language in order of name."""
+Without any labelled text every text is ``und``.  Ties go to the first language in order of name.
+Repeated rows and null ids are judged like others.  Long texts are read whole, some thousand windows at a
+time.  An empty table gives no rows."""
 
 import re
 
@@ -19,12 +21,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import tidy
+from sluicegate.llm.common import text_batches, tidy
 from sluicegate.llm.tokens import text_slices
 
 WINDOW = 256
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = re.compile(r"[^\W\d_]")  # and number signs such as ²
+
+
+def has_letter(text):
+    return any(m.group().isalpha() for m in LETTER.finditer(text))
 
 
 def windows(data, window=WINDOW):
@@ -143,7 +149,7 @@ class Network:
 
         held = 0
         for i, text in enumerate(texts):
-            if text is None or not LETTER.search(text):
+            if text is None or not has_letter(text):
                 continue
             rows = windows(text.encode("utf-8", "replace"))
             for low in range(0, len(rows), 4096):
@@ -199,7 +205,7 @@ def training_windows(labelled, doc_id="doc_id", text="text", label="lang", docum
         "_label", "_draw", "_span", F.substring(F.col(text), at, F.lit(WINDOW)).alias("part")
     )
     rows = sorted(found.limit(2 * documents * spans * len(counts)).collect())
-    return [(r[0], r[3]) for r in rows if LETTER.search(r[3])]
+    return [(r[0], r[3]) for r in rows if has_letter(r[3])]
 
 
 ASCII = np.array([chr(c) for c in range(33, 127)])
@@ -271,6 +277,7 @@ def fit(
 
 def identify(docs, network, text="text", label="lang_pred", score="score"):
     """Adds ``label`` and ``score`` to ``docs`` (in place of columns so named); only the text is read."""
+    text_batches(docs)
     docs = docs.drop(label, score)
     names = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from sluicegate.llm.common import checkpointed, partitions
 
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 2 << 20
 ROWS = 100_000  # of a stored level in one file, at least
 NODE_BYTES = 64  # of a node in memory, without its proof
 

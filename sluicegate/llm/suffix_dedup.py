@@ -16,7 +16,8 @@ Every byte covered by a string of ``length`` bytes (a window) that also starts a
    by one by Spark, by digests.
 
 A null text is empty.  Texts shorter than ``length`` keep all their bytes.  Repeated rows are copies of
-each other.  Long texts are read in blocks that overlap by a window, so memory is bounded."""
+each other.  Long texts are read in blocks that overlap by a window, so memory is bounded.  An empty table
+gives no rows; other columns are not looked at."""
 
 import hashlib
 
@@ -24,11 +25,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sluicegate.llm.common import checkpointed, row_key, tidy, whole_groups
+from sluicegate.llm.common import checkpointed, row_key, text_batches, tidy, whole_groups
 from sluicegate.llm.suffix_sort import BASE, BASE_INVERSE, Hashed, merge_sorted
 
 GRAM = 32
-BLOCK = 1 << 19  # windows looked at together
+BLOCK = 1 << 18  # windows looked at together
 MOST = 4096
 BROADCAST_ROWS = 1_000_000  # 8 bytes each
 
@@ -374,6 +375,7 @@ def repeated_spans(docs, length=400, doc_id="doc_id", text="text", most=MOST):
     """_id, _text, _row of every document, and _spans: array of (start, end) in bytes, or null."""
     if length <= GRAM or length >= 1 << 11:
         raise ValueError(f"length must be over {GRAM} and under {1 << 11}")
+    text_batches(docs)
     # all three columns go into both joins with the texts, so one exchange serves both
     keyed = with_rows(docs, doc_id, text)
     segments_ = segment_rows(keyed, length)
