@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
 
 import corpus_pipeline  # noqa: E402
-from sluicegate.llm import decontaminate, packing, sharding, simhash, suffix_dedup, wavelet  # noqa: E402
+from sluicegate.llm import decontaminate, language_id, packing, sharding, simhash, suffix_dedup, wavelet  # noqa: E402
 from sluicegate.llm import fingerprints as fp  # noqa: E402
 from sluicegate.llm.common import numbered, whole_groups  # noqa: E402
 from sluicegate.llm.html_extract import main_text  # noqa: E402
@@ -636,10 +636,13 @@ def test_pipeline_stage_by_stage(spark, tokenizer):
         if number < 4:
             assert docs.columns == tables[0].columns
     read = [{r.doc_id: r for r in t.collect()} for t in tables]
-    assert set(read[1]) == {i for i, r in read[0].items() if r.text and re.search(r"[^\W\d_]", r.text)}
+    lettered = {i for i, r in read[0].items() if r.text and re.search(r"[^\W\d_]", r.text)}
+    network = language_id.fit(tables[0].where(~language_id.held_out()), reject=tables[0].where(language_id.held_out()))
+    judged = {r.doc_id: r.lang_pred for r in language_id.identify(tables[0], network).collect()}
+    assert set(read[1]) == {i for i in lettered if judged[i] != "und"} and len(read[1]) >= 0.99 * len(lettered)
     component = {r.doc_id: r.component_id for r in simhash.near_duplicates(tables[1]).collect()}
     assert set(read[2]) == {i for i, c in component.items() if i == c}
-    removed = dict(zip(read[2], brute_removed([r.text for r in read[2].values()], 400)))
+    removed = dict(zip(read[2], brute_removed([r.text for r in read[2].values()], corpus_pipeline.PASSAGE_BYTES)))
     assert set(read[3]) == set(read[2])
     for i, r in read[3].items():
         n, cut, _, _ = removed[i]
