@@ -2,8 +2,8 @@
 
 Every byte covered by a string of ``length`` bytes (a window) that also starts anywhere else goes.
 
-1. Anchors.  In each window the span of ``GRAM`` bytes with the least hash is its anchor, so equal windows
-   have equal anchors at equal places.  Neighbouring windows with one anchor are a segment; there is
+1. Anchors.  In each window the span of some bytes (``anchor_size``) with the least hash is its anchor, so equal
+   windows have equal anchors at equal places.  Neighbouring windows with one anchor are a segment; there is
    about one for each ``length / 2`` bytes.  Rows of a segment's key (the hash at its anchor) and
    digest (of all its bytes) are counted by Spark; segments that occur twice are repeats as a whole.
 2. Suffix sort.  Different segments of one key meet in a task, each once.  Those of a key are sorted by
@@ -28,12 +28,17 @@ from pyspark.sql import functions as F
 from sluicegate.llm.common import checkpointed, row_key, text_batches, tidy, whole_groups
 from sluicegate.llm.suffix_sort import BASE, BASE_INVERSE, Hashed, merge_sorted
 
-GRAM = 32
+GRAM = 32  # at most; see anchor_size
 BLOCK = 1 << 18  # windows looked at together
 MOST = 4096
 BROADCAST_ROWS = 1_000_000  # 8 bytes each
 
 
+def anchor_size(length):
+    """Bytes of an anchor: a quarter of a window, so that windows have spans enough to share one."""
+    return min(GRAM, max(16, length // 4))
+
+
 def powers(n):
     """The base's powers and their inverses, as Hashed has them."""
     with np.errstate(over="ignore"):
@@ -45,16 +50,16 @@ def powers(n):
 def segments(raw, length, table):
     """Arrays first, last (windows), anchor, key of one block of bytes."""
     up, down = table
-    n = len(raw)
+    n, gram = len(raw), anchor_size(length)
     prefix = np.zeros(n + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:n], out=prefix[1:])
-    h = (prefix[GRAM:] - prefix[: n - GRAM + 1]) * down[: n - GRAM + 1]
+    h = (prefix[gram:] - prefix[: n - gram + 1]) * down[: n - gram + 1]
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(29)
     # hash above, place below: the least is the leftmost of the least hashes
     packed = (h & ~np.uint64((1 << 24) - 1)) | np.arange(len(h), dtype=np.uint64)
-    grams, reach = length - GRAM + 1, 1
+    grams, reach = length - gram + 1, 1
     while reach * 2 <= grams:
         packed = np.minimum(packed[:-reach], packed[reach:])
         reach *= 2
@@ -211,11 +216,11 @@ def single_windows(docs, wanted, length):
     )
 
 
-def meeting_pairs(order, agree, backward):
+def meeting_pairs(order, agree, backward, least):
     """Pairs of members that meet when sets join in descending order of agreement.
 
     ``order``: members in forward order; ``agree[i]``: bytes in which order[i] and order[i+1] agree;
-    ``backward``: each member's rank in the backward order."""
+    ``backward``: each member's rank in the backward order; ``least``: bytes of an anchor."""
     import bisect
 
     n = len(order)
@@ -233,7 +238,7 @@ def meeting_pairs(order, agree, backward):
 
     pairs = []
     for i in sorted(range(n - 1), key=lambda i: -agree[i]):
-        if agree[i] < GRAM:  # their anchors differ: a collision of keys
+        if agree[i] < least:  # their anchors differ: a collision of keys
             break
         a, b = top(i), top(i + 1)
         if len(sets[a]) < len(sets[b]):
@@ -298,7 +303,7 @@ def repeats(keys, places, bodies_, length):
     pairs = []
     for f, s in zip(first.tolist(), size.tolist()):
         if s > 1:
-            pairs += meeting_pairs(order[f : f + s], agree[f : f + s - 1], rank)
+            pairs += meeting_pairs(order[f : f + s], agree[f : f + s - 1], rank, anchor_size(length))
     if not pairs:
         return np.zeros((0, 3), np.int64)
     pair = np.array(pairs)
