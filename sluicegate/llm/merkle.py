@@ -24,6 +24,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sluicegate.llm.common import checkpointed, partitions
+from sluicegate.session import work_dir
 
 BROADCAST_BYTES = 2 << 20
 ROWS = 100_000  # of a stored level in one file, at least
@@ -81,7 +82,7 @@ def placed(leaves, partition, order):
         F.min("_place").alias("_first"), F.count("*").alias("size")
     )
     trees = in_order(groups, [F.col("_first")], "tree")
-    trees = checkpointed(trees.withColumnRenamed(partition, "_value"))
+    trees = kept(trees.withColumnRenamed(partition, "_value"), ROWS * partitions(trees.sparkSession))
     joined = numbered.join(
         sized(trees, trees.count(), 64), F.col(partition).eqNullSafe(F.col("_value"))
     )
@@ -95,9 +96,14 @@ def sized(frame, rows, each):
 
 
 def kept(frame, rows):
-    """The frame, stored; small ones in few files."""
-    files = max(1, math.ceil(rows / ROWS))
-    return checkpointed(frame.coalesce(files) if files < partitions(frame.sparkSession) else frame)
+    """The frame, written to the shared folder and read again; small ones in few files.
+
+    A checkpoint would do, but keeps what the optimizer knows about the columns: with a join per
+    level that grows until planning takes minutes and most of the driver's memory."""
+    spark, files = frame.sparkSession, max(1, math.ceil(rows / ROWS))
+    path = work_dir(spark, "merkle")
+    (frame.coalesce(files) if files < partitions(spark) else frame).write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def level_rows(trees, fanout):
@@ -211,7 +217,7 @@ def manifest(leaves, partition, order, fanout=2, carried=()):
     leads from leaf to subroot, the top proof from there to root)."""
     named = dict.fromkeys([partition, *order, "digest", *carried])
     leaves, trees = placed(leaves.select(*named), partition, [*order, "digest"])
-    leaves = checkpointed(leaves)
+    leaves = kept(leaves, ROWS * partitions(leaves.sparkSession))
     nodes = leaves.select("tree", "idx", "size", "digest")
     levels, subroots = climb(nodes, trees, fanout)
     count = trees.count()
