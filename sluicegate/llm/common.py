@@ -7,15 +7,27 @@ from pyspark.sql import functions as F
 from sluicegate.session import work_dir
 
 
+#: Spark then removes the files of a frame's shuffles when its action ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def checkpointed(frame):
-    """The rows, written once to the cluster's shared checkpoint folder; lineage ends there."""
+    """The rows, written once to the cluster's shared checkpoint folder; lineage ends there.
+
+    What was shuffled for them is removed at once, not when the driver's memory happens to be collected."""
     context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(
             frame.sparkSession.conf.get("spark.checkpoint.dir", None)
             or work_dir(frame.sparkSession, "checkpoint")
         )
-    return frame.checkpoint()
+    conf = frame.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return frame.select("*").checkpoint()  # a new frame, as the setting is read where a frame is made
+    finally:
+        conf.set(CLEANUP, before)
 
 
 def text_batches(frame):
