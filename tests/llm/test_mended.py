@@ -311,3 +311,20 @@ def test_large_shards_are_dealt_again(spark, monkeypatch, broadcast):
         groups[1][root(p)].add(p)
     assert sorted(map(sorted, groups[0].values())) == sorted(map(sorted, groups[1].values()))
     assert whole is simhash.shard_links and largest == []
+
+
+def test_checkpoint_removes_its_shuffles_only(spark):
+    """The rows, the frame they came from and the session's setting stay; empty and clashing columns too."""
+    from pyspark.sql import functions as F
+
+    from sluicegate.llm.common import CLEANUP, checkpointed
+
+    before = spark.conf.get(CLEANUP, "false")
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    kept = checkpointed(counted)
+    assert spark.conf.get(CLEANUP, "false") == before
+    assert sorted(kept.collect()) == sorted(counted.collect())
+    assert kept.join(counted, ["k", "n"]).count() == 7
+    assert checkpointed(counted.where("n < 0")).count() == 0
+    twice = checkpointed(counted.select("k", F.col("n").alias("k")))
+    assert twice.columns == ["k", "k"] and twice.count() == 7
