@@ -7,6 +7,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
@@ -130,6 +131,49 @@ def test_network_against_plain_loops():
     assert np.allclose(network.probabilities(batch), wanted, atol=1e-4)
 
 
+def labelled(spark, texts):
+    rows = [(k, t, lang) for k, (t, lang) in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2, "doc_id")
+
+
+def test_every_labelled_text_trains_the_network(spark):
+    """Words that the windows of the start do not have, in all other texts, are learned."""
+    old = [("der hund und die katze " * 4, "de"), ("the dog and the cat is " * 4, "en")]
+    new = [("qx zw qx zw qx " * 16, "de"), ("vj kk vj kk vj " * 16, "en")]
+    docs = labelled(spark, old * 3 + new * 6000)
+    start = [(lang, text) for text, lang in old]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(language_id, "starting_windows", lambda *_: start)
+        network = language_id.fit(docs)
+    found = network.predict([text for text, _ in old + new])
+    assert [lang for lang, _ in found] == ["de", "en"] * 2
+    assert min(score for _, score in found[2:]) > 0.9
+
+
+def test_every_text_that_did_not_train_sets_the_limit(spark):
+    network = language_id.Network(["de", "und"])
+    texts = [f"{k} {'abc' * (k % 90)}" for k in range(3000)]
+    rows = labelled(spark, [(t, "de") for t in texts] + [(None, "de"), ("12", "de"), ("abc", None)])
+    blocks = language_id.window_blocks(
+        [pa.record_batch([pa.array(texts), pa.array(["und"] * 3000)], ["text", "lang"])], {"und": 0}
+    )
+    network.weights["shift"][:] = (0, 3)  # so that no window is surely a language
+    limit = language_id.rejection_limit(network, language_id.lettered(rows))
+    found = np.concatenate([network.probabilities(b)[:, -1] for b, _, _ in blocks])
+    assert abs(limit - np.quantile(found, 0.999)) < 0.01 and limit > 0.5
+    assert language_id.rejection_limit(network, rows.where("false")) == 0.5
+
+
+def test_blocks_lose_no_byte():
+    texts = ["ab" * 5000, "", "x", "é" * 700, "y" * 256]
+    batch = pa.record_batch([pa.array(texts), pa.array(["a", "b", "a", "b", "a"])], ["text", "lang"])
+    blocks = list(language_id.window_blocks([batch], {"a": 0, "b": 1}))
+    rows, own = (np.concatenate([b[k] for b in blocks]) for k in (0, 1))
+    for number, wanted in enumerate([texts[0] + texts[2] + texts[4], texts[1] + texts[3]]):
+        kept = rows[own == number]
+        assert sorted(kept[kept > 0].tolist()) == sorted(wanted.encode())
+
+
 # 5 ---------------------------------------------------------------------------------------------
 
 
