@@ -13,6 +13,8 @@ from sluicegate.config import check_json
 # those of the ids in use.  Beyond that they are joined to the messages instead.
 MAX_BROADCAST_BYTES = 16 << 20
 MAX_BROADCAST_SCHEMAS = 20_000
+# So many ids in use, of 8 bytes each, are sent to where the entries are.
+MAX_BROADCAST_IDS = 1_000_000
 
 # In that join the messages of one schema are spread over as many tasks as there are shuffle
 # partitions, each with its own copy of the schema, as long as all copies stay within this.
@@ -69,6 +71,8 @@ class Registry:
     copies: int = 1
     max_bytes: int = MAX_BROADCAST_BYTES
     max_schemas: int = MAX_BROADCAST_SCHEMAS
+    entries: DataFrame | None = None  # of a large table: what ``table`` is made of
+    hot: tuple | None = None  # ids that go into the join in copies; None: all
 
     @classmethod
     def load(
@@ -80,27 +84,55 @@ class Registry:
     ):
         if isinstance(schemas, cls):
             return schemas
-        # An id can be listed under several subjects or versions; the newest entry counts.
-        newest = F.max_by("schema_json", F.struct("version", "subject", "schema_json"))
-        table = schemas.groupBy("schema_id").agg(F.coalesce(newest, F.lit("")).alias("schema_json"))
-        texts, size = texts_within(table, max_bytes, max_schemas)
+        table = newest_entries(schemas)
+        sizes = schemas.groupBy("schema_id").agg(F.sum(F.octet_length("schema_json")).alias("bytes"))
+        sizes = sizes.agg(F.count("*").alias("ids"), F.sum("bytes").alias("bytes"))
+        [size] = sizes.collect()  # no text is moved for these
+        texts, most = None, size.bytes or 0  # with older entries of an id, if it has some
+        if size.ids <= max_schemas:
+            texts, kept = texts_within(table, max_bytes, max_schemas)
+            most = kept or 0
         if texts is not None:
             return cls(table, texts)
         partitions = int(schemas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        copies = max(1, min(partitions, max_copied_bytes // (size or 1)))
-        return cls(table, None, copies, max_bytes, max_schemas)
+        copies = max(1, min(partitions, max_copied_bytes // (most or 1)))
+        return cls(table, None, copies, max_bytes, max_schemas, schemas)
 
     def in_use(self, messages):
         """The registry with the schemas of these split messages only, if they may be broadcast.
 
-        The ids are counted where the messages are, so a few bytes per id travel.  A plain stream
-        does not know the ids to come and keeps the whole registry."""
+        The ids are counted where the messages are, so a few bytes per id travel.  Entries of other ids are
+        left out before their texts are moved or compared.  If those in use are too many as well, only
+        the schemas with many messages go into the join in copies.  A plain stream does not know the
+        ids to come and keeps the whole registry, and all copies."""
         if self.texts is not None or messages.isStreaming:
             return self
-        ids = messages.select("schema_id").where(F.col("schema_id").isNotNull()).distinct()
-        table = self.table.join(ids, "schema_id", "left_semi")
-        texts, _ = texts_within(table, self.max_bytes, self.max_schemas)
-        return self if texts is None else replace(self, table=table, texts=texts)
+        ids = messages.where(F.col("schema_id").isNotNull()).groupBy("schema_id")
+        ids = ids.agg(F.count("*").alias("uses")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            [all_] = ids.agg(F.count("*").alias("n"), F.sum("uses").alias("uses")).collect()
+            few = F.broadcast(ids) if all_.n <= MAX_BROADCAST_IDS else ids
+            entries = self.table if self.entries is None else self.entries
+            known = entries.select("schema_id").join(few, "schema_id", "left_semi").distinct()
+            table = entries.join(few, "schema_id", "left_semi")
+            table = table if self.entries is None else newest_entries(table)
+            texts = None
+            if known.count() <= self.max_schemas:
+                texts, _ = texts_within(table, self.max_bytes, self.max_schemas)
+            if texts is not None:
+                return replace(self, table=table, texts=texts)
+            # a share of a task's messages, so there are at most 4 of them for each copy
+            often = F.col("uses") > (all_.uses or 0) / (4 * self.copies)
+            hot = tuple(sorted(r.schema_id for r in ids.where(often).collect()))
+        finally:
+            ids.unpersist()
+        return replace(self, table=table, hot=hot)
+
+
+def newest_entries(schemas):
+    """schema_id, schema_json.  An id can be listed under several subjects or versions; the newest entry counts."""
+    newest = F.max_by("schema_json", F.struct("version", "subject", "schema_json"))
+    return schemas.groupBy("schema_id").agg(F.coalesce(newest, F.lit("")).alias("schema_json"))
 
 
 def texts_within(table, max_bytes, max_schemas):
@@ -119,17 +151,25 @@ def texts_within(table, max_bytes, max_schemas):
         table.unpersist()
 
 
+def copied(registry):
+    """Whether messages of an id are spread over copies of its schema; un-framed ones always are."""
+    if registry.hot is None:
+        return F.lit(True)
+    return F.col("schema_id").isNull() | F.col("schema_id").isin(*registry.hot)
+
+
 def salted(messages, registry):
     """The messages with a ``salt`` that spreads those of one schema over the registry's copies, by
     the coordinates they have, or by value."""
     there = [c for c in COORDINATES if c in messages.columns]
     spread = there if "offset" in there else [*there, "value"]
-    return messages.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(registry.copies)).cast("int"))
+    salt = F.pmod(F.xxhash64(*spread), F.lit(registry.copies)).cast("int")
+    return messages.withColumn("salt", F.when(copied(registry), salt).otherwise(0))
 
 
 def schema_copies(registry):
-    """schema_id, schema_json, salt: every schema as often as the registry says."""
-    salts = F.sequence(F.lit(0), F.lit(registry.copies - 1))
+    """schema_id, schema_json, salt: every schema once, or as often as the registry says."""
+    salts = F.sequence(F.lit(0), F.when(copied(registry), registry.copies - 1).otherwise(0))
     return registry.table.select("schema_id", "schema_json", F.explode(salts).alias("salt"))
 
 

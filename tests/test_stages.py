@@ -13,7 +13,8 @@ from sluicegate.functions.rules import can_join
 from sluicegate.operators import rules as rule_steps
 from sluicegate.operators.decode import decode, decode_with, record_fields
 from sluicegate.operators.rules import apply_rules
-from sluicegate.operators.schemas import attach_schema, latest_schema, resolve_schema
+from sluicegate.operators import schemas as schemas_module
+from sluicegate.operators.schemas import attach_schema, latest_schema, resolve_schema, sorted_in
 from sluicegate.operators.wire import split_wire
 from sluicegate.plans import fixtures as fx
 
@@ -163,6 +164,41 @@ def test_large_registry_needs_no_message_coordinates(spark):
     assert sorted(map(tuple, rows), key=str) == [(7, True), (None, None)]
 
 
+def test_only_schemas_with_many_messages_are_copied(spark):
+    entries = [("s", 1, k, fx.SCHEMA_7) for k in range(1, 500)]
+    table = spark.createDataFrame(entries, "subject string, version long, schema_id long, schema_json string")
+    ids = [*range(1, 101), 700, *[5] * 300]
+    split = split_wire(messages(spark, [f"00{k:08x}02610200" for k in ids] + ["02610200"] * 50))
+    registry = Registry.load(table, max_schemas=9)
+    used = registry.in_use(split)
+    assert used.texts is None and used.hot == (5,) and used.copies == registry.copies == 8
+    both = sorted_in(split, used)
+    assert both.where("schema_json is not null").count() == 99 + 8  # those in use, not 499 x 8
+    rows = decode(split, {"phone": "phone"}, registry, fx.SCHEMA_7)
+    whole = decode(split, {"phone": "phone"}, Registry.load(table), fx.SCHEMA_7)
+    assert texts(rows.orderBy("offset"), "decode_error") == texts(whole.orderBy("offset"), "decode_error")
+    assert rows.count() == len(ids) + 50 and rows.where("decode_error = 'unknown_schema'").count() == 1
+
+
+def test_texts_of_schemas_that_no_message_uses_are_not_compared(spark, monkeypatch):
+    entries = [(f"s{k % 3}", k // 3, k % 90 + 1, f'"text {k}"') for k in range(900)]
+    table = spark.createDataFrame(entries, "subject string, version long, schema_id long, schema_json string")
+    grouped, whole = [], schemas_module.texts_within
+
+    def seen(table, *bounds):
+        grouped.append(plan(table))
+        return whole(table, *bounds)
+
+    monkeypatch.setattr(schemas_module, "texts_within", seen)
+    registry = Registry.load(table, max_schemas=20)
+    assert registry.texts is None and grouped == []  # ids and sizes tell
+    used = registry.in_use(split_wire(messages(spark, ["000000000702610200", "00FFFFFFFE00", "026100"])))
+    assert used.texts == {7: '"text 816"'}
+    [found] = grouped  # the other entries go before texts are compared
+    assert found.index("max_by") < found.index("LeftSemi")
+    assert {r.schema_id: r.schema_json for r in registry.table.collect()}[7] == '"text 816"'
+
+
 def test_a_large_registry_is_narrowed_to_the_ids_in_use(spark):
     table = fx.schemas_table(spark)  # of ids 7 and 8
     split = split_wire(messages(spark, ["000000000702610200", "00FFFFFFFE00", "026100"]))
