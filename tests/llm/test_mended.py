@@ -2,7 +2,9 @@
 
 import collections
 import itertools
+import pickle
 import sys
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -131,6 +133,60 @@ def test_network_against_plain_loops():
     assert np.allclose(network.probabilities(batch), wanted, atol=1e-4)
 
 
+def test_places_and_gradients_against_plain_loops():
+    """Exact, as all numbers are small integers; of equal responses the first place counts, windows are of any length."""
+    rng = np.random.default_rng(4)
+    for length, count in [(12, 70), (13, 5), (4, 3), (31, 33)]:
+        network = language_id.Network(["a", "b"], embedding=3, widths=(2, 4, 3), filters=5)
+        for k in network.weights:
+            network.weights[k] = rng.integers(-2, 3, network.weights[k].shape).astype(np.float32)
+        w, batch = network.weights, rng.integers(0, 3, (count, length)).astype(np.uint8)
+        best, at = network.pooled(batch, places=True)
+        assert (network.pooled(batch)[0] == best).all()
+        for i, k in enumerate(network.widths):
+            spans = np.stack([w["embedding"][batch[:, p : p + k]].reshape(count, -1) for p in range(length - k + 1)], 1)
+            responses = spans @ w[f"filter{k}"]
+            own = slice(5 * i, 5 * i + 5)
+            assert (best[:, own] == np.maximum(responses.max(axis=1) + w[f"bias{k}"], 0)).all()
+            assert (at[:, own] == responses.argmax(axis=1)).all()
+        wanted = rng.integers(0, 2, count)
+        grads = network.gradients(batch, wanted)
+        p = network._softmax(best)
+        p[np.arange(count), wanted] -= 1
+        back = (p / count @ w["out"].T) * (best > 0)
+        embedding = np.zeros((256, 3))
+        for i, k in enumerate(network.widths):
+            filters = np.zeros((k * 3, 5))
+            for r in range(count):
+                for f in range(5):
+                    g, seen = float(back[r, 5 * i + f]), batch[r, at[r, 5 * i + f] :][:k]
+                    filters[:, f] += g * w["embedding"][seen].ravel()
+                    for place, byte in enumerate(seen):
+                        embedding[byte] += g * w[f"filter{k}"][3 * place : 3 * place + 3, f]
+            assert np.allclose(grads[f"filter{k}"], filters, atol=1e-4)
+        assert np.allclose(grads["embedding"], embedding, atol=1e-4)
+
+
+def peak(work):
+    tracemalloc.start()
+    work()
+    found = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return found
+
+
+def test_bytes_are_not_copied_for_every_place():
+    """The copies took much of the time; 16 MB of arrays before."""
+    batch = np.random.default_rng(6).integers(1, 256, (256, language_id.WINDOW)).astype(np.uint8)
+    network = language_id.Network(["a", "b"])
+    assert peak(lambda: network.probabilities(batch)) < 3_000_000
+    sent = pickle.dumps(network)  # to tasks: the weights only
+    assert len(sent) < 40_000
+    copied = pickle.loads(sent).copy()
+    assert all(w.dtype is np.dtype(np.float32) for w in copied.weights.values())  # or np.add.at is slow
+    assert all((w == network.weights[k]).all() for k, w in copied.weights.items())
+
+
 def labelled(spark, texts):
     rows = [(k, t, lang) for k, (t, lang) in enumerate(texts)]
     return spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2, "doc_id")
