@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicegate.config import check_json
+from sluicegate.session import work_dir
 
 # Schemas up to this size are broadcast and read into the decoder: of the whole table, or else
 # those of the ids in use.  Beyond that they are joined to the messages instead.
@@ -124,11 +125,23 @@ class Registry:
             # a share of a task's messages, so there are at most 4 of them for each copy
             often = F.col("uses") > (all_.uses or 0) / (4 * self.copies)
             hot = tuple(sorted(r.schema_id for r in ids.where(often).collect()))
+            table = settled(table)  # while the ids are kept
         finally:
             ids.unpersist()
         return replace(self, table=table, hot=hot)
 
 
+def settled(table):
+    """The rows, written once to the cluster's shared folder: each use of those in use would read the
+    messages again for their ids.  A cluster without such a folder does just that."""
+    try:
+        path = work_dir(table.sparkSession, "schemas")
+    except ValueError:
+        return table
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def newest_entries(schemas):
     """schema_id, schema_json.  An id can be listed under several subjects or versions; the newest entry counts."""
     newest = F.max_by("schema_json", F.struct("version", "subject", "schema_json"))
