@@ -50,7 +50,7 @@ def op1_url_filter(spark, sf_dir):
 
 
 def op2_suffix_dedup(spark, sf_dir):
-    return removed_repeats(table(spark, sf_dir, "documents"), 400)
+    return removed_repeats(table(spark, sf_dir, "documents"), 400, kept="text")
 
 
 def op3_decontaminate(spark, sf_dir):

@@ -424,14 +424,32 @@ def repeated_spans(docs, length=400, doc_id="doc_id", text="text", most=MOST):
     return keyed.join(spans.hint("shuffle_hash"), keyed["_row"] == spans["row"], "left").drop("row")
 
 
-def removed_repeats(docs, length=400, doc_id="doc_id", text="text"):
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+def whole_characters(data, spans):
+    """The bytes outside of sorted spans, and all bytes of characters of which one is outside."""
+    kept, at = [], 0
+    for a, b in spans:
+        while a < len(data) and data[a] & 0xC0 == 0x80:
+            a += 1  # the character began before the span
+        while b < len(data) and b > a and data[b] & 0xC0 == 0x80:
+            b -= 1  # the character goes on after the span
+        kept.append(data[at:a])
+        at = max(at, a, b)
+    return b"".join([*kept, data[at:]])
+
+
+def removed_repeats(docs, length=400, doc_id="doc_id", text="text", kept=None):
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document.
+
+    ``kept`` names one more column: the text without its repeats, as ``without_repeats`` has it.
+    Bytes there that are not UTF-8 are replaced."""
     kind = docs.schema[doc_id].dataType.simpleString()
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *[kept] * bool(kept)]
+    kinds = [*[pa.int64()] * 3, *[pa.string()] * (len(names) - 4)]
 
     def judge(batches):
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
-            out = [[], [], [], []]
+            out = [[] for _ in kinds]
             for i, spans in enumerate(batch.column(2).to_pylist()):
                 data = memoryview(texts[i].as_buffer())
                 spans = united((s["start"], s["end"]) for s in spans or ())
@@ -439,17 +457,20 @@ def removed_repeats(docs, length=400, doc_id="doc_id", text="text"):
                 for a, b in [*spans, (len(data), len(data))]:
                     digest.update(data[at:a])
                     at = b
-                values = (len(data), sum(b - a for a, b in spans), len(spans), digest.hexdigest())
+                values = [len(data), sum(b - a for a, b in spans), len(spans), digest.hexdigest()]
+                if kept:
+                    values.append(whole_characters(data, spans).decode("utf-8", "replace"))
                 for column, value in zip(out, values):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(x, t) for x, t in zip(out, [pa.int64()] * 3 + [pa.string()])]],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                [batch.column(0), *[pa.array(x, t) for x, t in zip(out, kinds)]], names
             )
 
     found = repeated_spans(docs, length, doc_id, text)
+    more = f", `{kept}` string" if kept else ""
     return found.select("_id", "_text", "_spans", "_row").mapInArrow(
-        tidy(judge), f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+        tidy(judge),
+        f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string{more}",
     )
 
 
@@ -462,15 +483,8 @@ def without_repeats(docs, length=400, doc_id="doc_id", text="text"):
         for batch in batches:
             out = []
             for value, spans in zip(batch.column(1).cast(pa.binary()), batch.column(2).to_pylist()):
-                data, kept, at = value.as_py(), [], 0
-                for a, b in united((s["start"], s["end"]) for s in spans):
-                    while a < len(data) and data[a] & 0xC0 == 0x80:
-                        a += 1  # the character began before the span
-                    while b < len(data) and b > a and data[b] & 0xC0 == 0x80:
-                        b -= 1  # the character goes on after the span
-                    kept.append(data[at:a])
-                    at = max(a, b)
-                out.append(b"".join([*kept, data[at:]]).decode("utf-8"))
+                kept = whole_characters(value.as_py(), united((s["start"], s["end"]) for s in spans))
+                out.append(kept.decode("utf-8"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["_row", "kept"])
 
     found = repeated_spans(docs, length, doc_id, text).where("_spans is not null")

@@ -14,7 +14,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
 
-from sluicegate.llm import decontaminate, html_extract, language_id, packing, queries, simhash, wavelet  # noqa: E402
+from sluicegate.llm import decontaminate, html_extract, language_id, packing, queries, simhash, suffix_dedup, wavelet  # noqa: E402
 from sluicegate.llm.html_extract import extract_text, main_text  # noqa: E402
 from sluicegate.llm.url_filter import SOFT, STRICT, Vocabulary, filter_urls  # noqa: E402
 
@@ -428,3 +428,45 @@ def test_checkpoint_removes_its_shuffles_only(spark):
     assert checkpointed(counted.where("n < 0")).count() == 0
     twice = checkpointed(counted.select("k", F.col("n").alias("k")))
     assert twice.columns == ["k", "k"] and twice.count() == 7
+
+
+def test_the_query_shows_what_repeats_leave(spark, tmp_path):
+    """Repeated strings of 400 bytes go from the shown text, shorter ones stay; no character is cut."""
+    import hashlib
+
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(2)
+
+    def passage(words, letters):
+        return " ".join("".join(map(chr, rng.integers(97, 123, letters))) for _ in range(words))
+
+    long, other, short = passage(60, 7), passage(55, 8), passage(55, 5)
+    edge = [passage(30, 6) for _ in range(4)]
+    texts = {
+        1: f"{edge[0]}A{long}B{edge[1]}",
+        2: f"{edge[2]}C{long}D{edge[3]}",
+        3: passage(90, 6),
+        4: None,
+        5: f"é{other}",  # C3 A9 and C2 A9: the repeat begins within a character
+        6: f"©{other}ä",
+        7: f"E{short}F",
+        8: f"G{short}H",
+        9: "",
+    }
+    left = {1: f"{edge[0]}AB{edge[1]}", 2: f"{edge[2]}CD{edge[3]}", 4: "", 5: "é", 6: "©ä"}
+    exact = {5: b"\xc3", 6: b"\xc2\xc3\xa4"}
+    assert len(short.split()) > 50 and len(short) < 400 <= min(len(long), len(other))
+    pq.write_table(pa.table({"doc_id": list(texts), "text": list(texts.values())}), tmp_path / "documents.parquet")
+    found = {r.doc_id: r for r in queries.op2_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert {i: r.text for i, r in found.items()} == texts | left
+    for i, r in found.items():
+        kept = exact.get(i, r.text.encode())
+        assert r.n_bytes == len((texts[i] or "").encode()) == r.n_removed + len(kept)
+        assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+
+
+def test_shown_texts_may_hold_other_bytes(spark):
+    frame = spark.sql("select 1L doc_id, cast(unhex('FF8041') as string) text")
+    (row,) = suffix_dedup.removed_repeats(frame, kept="left").collect()
+    assert (row.n_bytes, row.n_removed, row.left) == (3, 0, "\ufffd\ufffdA")
