@@ -15,6 +15,9 @@ Every byte covered by a string of ``length`` bytes (a window) that also starts a
 3. Keys with more than ``most`` different segments do not meet in a task: their windows are counted one
    by one by Spark, by digests.
 
+Repeats of whole words, whatever their length in bytes, are found by the same steps on texts in which each word
+is a code of 8 bytes (``word_codes``): so many words are then as many bytes.
+
 A null text is empty.  Texts shorter than ``length`` keep all their bytes.  Repeated rows are copies of
 each other.  Long texts are read in blocks that overlap by a window, so memory is bounded.  An empty table
 gives no rows; other columns are not looked at."""
@@ -32,6 +35,8 @@ GRAM = 32  # at most; see anchor_size
 BLOCK = 1 << 18  # windows looked at together
 MOST = 4096
 BROADCAST_ROWS = 1_000_000  # 8 bytes each
+CODE = 8  # bytes of a word's code
+SPACES = np.isin(np.arange(256), [32, *range(9, 14)])  # what ends a word
 
 
 def anchor_size(length):
@@ -93,6 +98,49 @@ def pieces(texts, length, block=BLOCK):
         yield b"".join(held), where
 
 
+def word_places(data):
+    """Starts and ends of the words of a text's bytes."""
+    space = np.ones(len(data) + 2, bool)
+    np.take(SPACES, np.frombuffer(data, np.uint8), out=space[1:-1])
+    edges = np.flatnonzero(space[1:] != space[:-1])  # a start, its end, and so on
+    return edges[::2], edges[1::2]
+
+
+def word_codes(texts, table, block=BLOCK):
+    """Each text as the codes of its words, side by side: 64 bits of a hash of the word's bytes."""
+    up, down = table
+    data = b" ".join(texts)  # words never cross its spaces
+    raw = np.frombuffer(data, np.uint8)
+    starts, ends = word_places(data)
+    codes, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        first = starts[at]
+        stop = int(np.searchsorted(ends, first + block, side="right"))
+        if stop <= at:  # a word of over a block
+            word = hashlib.blake2b(data[first : ends[at]], digest_size=CODE)
+            codes[at], at = int.from_bytes(word.digest(), "little"), at + 1
+            continue
+        part = raw[first : ends[stop - 1]]
+        prefix = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=prefix[1:])
+        a, b = starts[at:stop] - first, ends[at:stop] - first
+        codes[at:stop] = (prefix[b] - prefix[a]) * down[a]
+        at = stop
+    codes ^= codes >> np.uint64(32)
+    codes *= np.uint64(0xD6E8FEB86659FD93)
+    codes ^= codes >> np.uint64(29)
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    cuts = [0, *np.searchsorted(starts, np.cumsum(sizes)).tolist()]
+    return [codes[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+
+def batch_texts(column, words, table):
+    """Bytes of a batch's texts, or of their words' codes; null stays null."""
+    texts = (v.as_buffer() if v.is_valid else None for v in column.cast(pa.binary()))
+    texts = [None if t is None else memoryview(t) for t in texts]
+    return word_codes([b"" if t is None else t for t in texts], table) if words else texts
+
+
 # A segment's place: start of its first window, windows less one, anchor's distance from the start.
 def packed_place(start, count, ahead):
     return start << 24 | count << 12 | ahead
@@ -102,16 +150,14 @@ def unpacked_place(place):
     return place >> 24, place >> 12 & 0xFFF, place & 0xFFF
 
 
-def segment_rows(docs, length):
-    """row, place, key, digest of every segment."""
+def segment_rows(docs, length, words=False, only_keys=False):
+    """row, place, key, digest of every segment, or its key only; ``words``: of the texts' codes."""
 
     def find(batches):
         table = powers(3 * BLOCK + 2 * length)
         for batch in batches:
             rows = batch.column(0).to_numpy(zero_copy_only=False)
-            texts = (v.as_buffer() if v.is_valid else None for v in batch.column(1).cast(pa.binary()))
-            texts = (None if t is None else memoryview(t) for t in texts)
-            for data, where in pieces(texts, length):
+            for data, where in pieces(batch_texts(batch.column(1), words, table), length):
                 raw = np.frombuffer(data, np.uint8)
                 view = memoryview(data)
                 first, last, at, key = segments(raw, length, table)
@@ -125,6 +171,9 @@ def segment_rows(docs, length):
                 text = np.searchsorted(starts, cuts, side="right") - 1
                 good = cuts <= ends[text]
                 cuts, stop, k, text = cuts[good], stop[good], k[good], text[good]
+                if only_keys:
+                    yield pa.RecordBatch.from_arrays([pa.array(key[k])], ["key"])
+                    continue
                 digests = [
                     hashlib.blake2b(view[a : b + length], digest_size=8).digest()
                     for a, b in zip(cuts.tolist(), stop.tolist())
@@ -136,9 +185,8 @@ def segment_rows(docs, length):
                     [pa.array(x) for x in columns], ["row", "place", "key", "digest"]
                 )
 
-    return docs.select("_row", "_text").mapInArrow(
-        tidy(find), "row bigint, place bigint, key bigint, digest bigint"
-    )
+    kinds = "key bigint" if only_keys else "row bigint, place bigint, key bigint, digest bigint"
+    return docs.select("_row", "_text").mapInArrow(tidy(find), kinds)
 
 
 def with_texts(docs, wanted):
@@ -162,19 +210,20 @@ def selected(joined):
     return joined.select("_row", "_text", "_s", "_id")  # _id: the exchange is shared, see below
 
 
-def bodies(docs, wanted, length):
+def bodies(docs, wanted, length, words=False):
     """key, row, place, sole, body: the bytes of wanted segments."""
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
     names = ["key", "row", "place", "sole", "body"]
 
     def cut(batches):
+        table = powers(BLOCK) if words else None
         for batch in batches:
             found, size = [[], [], [], [], []], 0
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch_texts(batch.column(1), words, table)
             for i, (row, segments_) in enumerate(
                 zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
             ):
-                data = memoryview(texts[i].as_buffer())
+                data = texts[i]
                 for s in segments_:
                     start, count, _ = unpacked_place(s["place"])
                     body = bytes(data[start : start + count + length])
@@ -191,23 +240,25 @@ def bodies(docs, wanted, length):
     )
 
 
-def single_windows(docs, wanted, length):
-    """row, start, sole, window: a digest of each window of wanted segments."""
+def single_windows(docs, wanted, length, words=False):
+    """row, start, sole, window: a digest of each window of wanted segments, of ``words`` of each that starts with one."""
+    step = CODE if words else 1
 
     def cut(batches):
+        table = powers(BLOCK) if words else None
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch_texts(batch.column(1), words, table)
             for i, (row, segments_) in enumerate(
                 zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
             ):
-                data = memoryview(texts[i].as_buffer())
+                data = texts[i]
                 for s in segments_:
                     start, count, _ = unpacked_place(s["place"])
-                    at = range(start, start + count + 1)
+                    at = range(start + -start % step, start + count + 1, step)
                     made = [hashlib.blake2b(data[w : w + length], digest_size=16).digest() for w in at]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([row] * len(at), pa.int64()), pa.array(at, pa.int64()),
-                         pa.array([s["sole"]] * len(at)), pa.array(made, pa.binary())],
+                         pa.array([s["sole"]] * len(at), pa.bool_()), pa.array(made, pa.binary())],
                         ["row", "start", "sole", "window"],
                     )
 
@@ -376,16 +427,14 @@ def with_rows(docs, doc_id, text):
     )
 
 
-def repeated_spans(docs, length=400, doc_id="doc_id", text="text", most=MOST):
-    """_id, _text, _row of every document, and _spans: array of (start, end) in bytes, or null."""
+def row_spans(keyed, length, most, words=False):
+    """row, _spans: array of (start, end) of repeats in the bytes of texts, or (``words``) of their codes."""
     if length <= GRAM or length >= 1 << 11:
         raise ValueError(f"length must be over {GRAM} and under {1 << 11}")
-    text_batches(docs)
-    # all three columns go into both joins with the texts, so one exchange serves both
-    keyed = with_rows(docs, doc_id, text)
-    segments_ = segment_rows(keyed, length)
+    segments_ = segment_rows(keyed, length, words)
     # stored, so that both sides of the join are plain exchanges and a hot key can be split
-    common = segments_.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    every = segment_rows(keyed, length, words, only_keys=True)
+    common = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     common = checkpointed(common)
     found = checkpointed(segments_.join(common, "key", "left_semi"))
     kinds = checkpointed(  # stored for the same reason
@@ -410,18 +459,31 @@ def repeated_spans(docs, length=400, doc_id="doc_id", text="text", most=MOST):
         "row", start.alias("start"), (start + count + length).alias("end")
     )
     spans = whole.unionByName(
-        sorted_repeats(bodies(keyed, meeting.where("not hot"), length), length)
+        sorted_repeats(bodies(keyed, meeting.where("not hot"), length, words), length)
     )
     if not meeting.where("hot").isEmpty():
-        windows = checkpointed(single_windows(keyed, meeting.where("hot"), length))
+        windows = checkpointed(single_windows(keyed, meeting.where("hot"), length, words))
         often = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1")
         spans = spans.unionByName(
             windows.where("sole")
             .join(often, "window")
             .select("row", "start", (F.col("start") + length).alias("end"))
         )
-    spans = spans.distinct().groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
-    return keyed.join(spans.hint("shuffle_hash"), keyed["_row"] == spans["row"], "left").drop("row")
+    return spans.distinct().groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
+
+
+def repeated_spans(docs, length=400, doc_id="doc_id", text="text", most=MOST, *, words=None):
+    """_id, _text, _row of every document, and _spans: array of (start, end) in bytes, or null.
+
+    ``words`` adds _runs: the same of repeats of so many words, in bytes of the text's codes."""
+    text_batches(docs)
+    # all three columns go into the joins with the texts, so one exchange serves them
+    found = keyed = with_rows(docs, doc_id, text)
+    kinds = [("_spans", length, False), *([("_runs", CODE * words, True)] if words else [])]
+    for name, size, coded in kinds:
+        spans = row_spans(keyed, size, most, coded).select(F.col("row").alias("_at"), F.col("_spans").alias(name))
+        found = found.join(spans.hint("shuffle_hash"), F.col("_row") == F.col("_at"), "left").drop("_at")
+    return found
 
 
 def whole_characters(data, spans):
@@ -437,20 +499,40 @@ def whole_characters(data, spans):
     return b"".join([*kept, data[at:]])
 
 
-def removed_repeats(docs, length=400, doc_id="doc_id", text="text", kept=None):
+def passages(data, runs, words):
+    """Byte spans and the number of words of repeated passages, from runs in the codes of a text."""
+    starts, ends = word_places(data)
+    whole = ((-(-a // CODE), b // CODE) for a, b in united(runs))
+    whole = [(a, b) for a, b in whole if b - a >= words]
+    return [(int(starts[a]), int(ends[b - 1])) for a, b in whole], sum(b - a for a, b in whole)
+
+
+def outside(data, spans):
+    """The bytes outside of sorted spans."""
+    edges = [0, *(x for span in spans for x in span), len(data)]
+    return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+
+
+def removed_repeats(docs, length=400, doc_id="doc_id", text="text", kept=None, words=None):
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document.
 
     ``kept`` names one more column: the text without its repeats, as ``without_repeats`` has it.
+    ``words`` adds n_passage_words and text_without_passages: the text without each word covered by
+    so many words that also start anywhere else, in bytes however few; white space is not compared.
     Bytes there that are not UTF-8 are replaced."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *[kept] * bool(kept)]
-    kinds = [*[pa.int64()] * 3, *[pa.string()] * (len(names) - 4)]
+    more = [(kept, "string")] * bool(kept)
+    more += [("n_passage_words", "bigint"), ("text_without_passages", "string")] * bool(words)
+    columns = [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"), *more]
+    names = ["doc_id", *(name for name, _ in columns)]
+    kinds = [pa.string() if t == "string" else pa.int64() for _, t in columns]
 
     def judge(batches):
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
+            all_runs = batch.column(4).to_pylist() if words else [None] * batch.num_rows
             out = [[] for _ in kinds]
-            for i, spans in enumerate(batch.column(2).to_pylist()):
+            for i, (spans, runs) in enumerate(zip(batch.column(2).to_pylist(), all_runs)):
                 data = memoryview(texts[i].as_buffer())
                 spans = united((s["start"], s["end"]) for s in spans or ())
                 digest, at = hashlib.sha256(), 0
@@ -460,17 +542,19 @@ def removed_repeats(docs, length=400, doc_id="doc_id", text="text", kept=None):
                 values = [len(data), sum(b - a for a, b in spans), len(spans), digest.hexdigest()]
                 if kept:
                     values.append(whole_characters(data, spans).decode("utf-8", "replace"))
+                if words:
+                    runs = [(r["start"], r["end"]) for r in runs or ()]
+                    cut, count = passages(data, runs, words) if runs else ([], 0)
+                    values += [count, outside(data, cut).decode("utf-8", "replace")]
                 for column, value in zip(out, values):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(x, t) for x, t in zip(out, kinds)]], names
             )
 
-    found = repeated_spans(docs, length, doc_id, text)
-    more = f", `{kept}` string" if kept else ""
-    return found.select("_id", "_text", "_spans", "_row").mapInArrow(
-        tidy(judge),
-        f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string{more}",
+    found = repeated_spans(docs, length, doc_id, text, words=words)
+    return found.select("_id", "_text", "_spans", "_row", *["_runs"] * bool(words)).mapInArrow(
+        tidy(judge), f"doc_id {kind}, " + ", ".join(f"`{name}` {t}" for name, t in columns)
     )
 
 
